@@ -89,6 +89,32 @@ VIEWS = {
                     prod_code, CAST(eop_dt + INTERVAL 1 DAY AS DATE) AS sales_date, sum(eop_qty) AS inv_qty
              FROM inventory GROUP BY 1, 2, 3) i
     ON d.platform = i.platform AND d.sales_date = i.sales_date AND d.prod_code = i.prod_code""",
+    # SKU feature base: footwear rows of the master with md keys and group
+    "sku": """
+  SELECT m.*, substr(m.prod_code, 1, 6) AS style_cd,
+         CAST(round_even(m.md * 10, 0) AS INTEGER) AS md10,
+         CAST(round_even(m.md * 10, 0) AS DOUBLE) / 10 AS md1,
+         m.gc_category || '_' || m.gender_group AS grp
+  FROM master m WHERE m.division = 'FOOTWEAR'""",
+    "bounds": """
+  SELECT season AS season1, min(cal_date) AS season_start, max(cal_date) AS season_end
+  FROM season_calendar GROUP BY season""",
+    # style rollup: sums, mean md, attributes of the best-selling SKU
+    "style": """
+  SELECT k.sales_date, k.style_cd, k.season1, k.inseason_flag1, k.sales_qty, k.sales_amt,
+         k.inv_qty, k.md,
+         CAST(round_even(k.md * 10, 0) AS INTEGER) AS md10,
+         CAST(round_even(k.md * 10, 0) AS DOUBLE) / 10 AS md1,
+         b.platform, b.MSRP, b.prod_code, b.style_number, b.division, b.gender_group,
+         b.gc_category, b.model, b.class_platform, b.power_item, b.color_desc, b.grp
+  FROM (SELECT sales_date, style_cd, season1, inseason_flag1, sum(sales_qty) AS sales_qty,
+               sum(sales_amt) AS sales_amt, coalesce(sum(inv_qty), 0) AS inv_qty,
+               sum(round_even(md * 100, 0)) / count(md) / 100.0 AS md
+        FROM sku GROUP BY sales_date, style_cd, season1, inseason_flag1) k
+  JOIN (SELECT *, row_number() OVER (PARTITION BY sales_date, style_cd, season1, inseason_flag1
+                                     ORDER BY sales_qty DESC, prod_code DESC) AS rn FROM sku) b
+    ON b.rn = 1 AND k.sales_date = b.sales_date AND k.style_cd = b.style_cd
+   AND k.season1 = b.season1 AND k.inseason_flag1 = b.inseason_flag1""",
 }
 
 
@@ -97,4 +123,7 @@ def with_views(query: str, extra: dict | None = None) -> str:
     views = dict(VIEWS)
     views.update(extra or {})
     ctes = ",\n".join(f"{name} AS ({body}\n)" for name, body in views.items())
+    q = query.lstrip()
+    if q[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{q[4:].lstrip()}"
     return f"WITH {ctes}\n{query}"
