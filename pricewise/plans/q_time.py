@@ -227,31 +227,38 @@ def historic_max_qty(spark, sf_dir):
     return tf.historic_max_qty(_style(spark, sf_dir), "style_cd", LEAD)
 
 
-def _rolling_sql(specs, shift, name_fmt, where="TRUE"):
-    """DuckDB oracle for W1: window over the spine ordinal, then one ASOF
-    join per window length (last complete window at or before date - shift)."""
+def rolling_ctes(specs, shift, name_fmt, where="TRUE", table="style", level="style_cd", out="roll"):
+    """DuckDB oracle for W1 as CTEs ending in ``out``: window over the spine
+    ordinal, then one ASOF join per window length (last complete window at or
+    before date - shift), NULL unless date - shift is a spine date."""
     ns = sorted({n for n, _ in specs})
     fn = {"max": "max", "min": "min", "std": "stddev_samp", "median": "median", "avg": "avg"}
-    parts = [f"""src AS (SELECT * FROM style WHERE {where}),
-sp AS (SELECT sales_date, row_number() OVER (ORDER BY sales_date) AS idx
-       FROM (SELECT DISTINCT sales_date FROM src) x),
-dd AS (SELECT d.style_cd, d.sales_date, d.v, sp.idx
-       FROM (SELECT style_cd, sales_date, avg(sales_qty) AS v FROM src GROUP BY 1, 2) d
-       JOIN sp ON d.sales_date = sp.sales_date),
-tg AS (SELECT DISTINCT style_cd, sales_date, sales_date - {shift} AS probe FROM style)"""]
+    p = out + "_"
+    parts = [f"""{p}src AS (SELECT * FROM {table} WHERE {where}),
+{p}sp AS (SELECT sales_date, row_number() OVER (ORDER BY sales_date) AS idx
+       FROM (SELECT DISTINCT sales_date FROM {p}src) x),
+{p}dd AS (SELECT d.{level}, d.sales_date, d.v, sp.idx
+       FROM (SELECT {level}, sales_date, avg(sales_qty) AS v FROM {p}src GROUP BY 1, 2) d
+       JOIN {p}sp sp ON d.sales_date = sp.sales_date),
+{p}tg AS (SELECT DISTINCT {level}, sales_date, sales_date - {shift} AS probe FROM {table})"""]
     for n in ns:
         cols = ", ".join(f"{fn[s]}(v) OVER w AS {name_fmt.format(n=n, stat=s)}" for m, s in specs if m == n)
-        parts.append(f"""r{n} AS (SELECT style_cd, sales_date AS d{n}, {cols}, count(v) OVER w AS c
-  FROM dd WINDOW w AS (PARTITION BY style_cd ORDER BY idx RANGE BETWEEN {n - 1} PRECEDING AND CURRENT ROW)),
-f{n} AS (SELECT * FROM r{n} WHERE c = {n})""")
+        parts.append(f"""{p}r{n} AS (SELECT {level}, sales_date AS d{n}, {cols}, count(v) OVER w AS c
+  FROM {p}dd WINDOW w AS (PARTITION BY {level} ORDER BY idx RANGE BETWEEN {n - 1} PRECEDING AND CURRENT ROW)),
+{p}f{n} AS (SELECT * FROM {p}r{n} WHERE c = {n})""")
     sel = ", ".join(
         f"CASE WHEN g.sales_date IS NOT NULL THEN f{n}.{name_fmt.format(n=n, stat=s)} END AS {name_fmt.format(n=n, stat=s)}"
         for n, s in specs)
-    joins = "\n".join(f"ASOF LEFT JOIN f{n} ON tg.style_cd = f{n}.style_cd AND tg.probe >= f{n}.d{n}" for n in ns)
-    return ("WITH " + ",\n".join(parts) + f"""
-SELECT tg.style_cd, tg.sales_date, {sel}
-FROM tg LEFT JOIN sp g ON g.sales_date = tg.probe
-{joins}""")
+    joins = "\n".join(f"ASOF LEFT JOIN {p}f{n} f{n} ON tg.{level} = f{n}.{level} AND tg.probe >= f{n}.d{n}"
+                      for n in ns)
+    parts.append(f"""{out} AS (SELECT tg.{level}, tg.sales_date, {sel}
+FROM {p}tg tg LEFT JOIN {p}sp g ON g.sales_date = tg.probe
+{joins})""")
+    return ",\n".join(parts)
+
+
+def _rolling_sql(specs, shift, name_fmt, where="TRUE"):
+    return f"WITH {rolling_ctes(specs, shift, name_fmt, where)}\nSELECT * FROM roll"
 
 
 W2_SPECS = [(n, s) for n in (1, 3, 7, 14, 21, 28) for s in tf.STATS if n > 1 or s == "avg"]
