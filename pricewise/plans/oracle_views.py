@@ -56,7 +56,7 @@ VIEWS = {
   SELECT * FROM (VALUES (0, '618', 6, 16, 3), (1, '99', 9, 9, 2), (2, '1111', 11, 11, 1), (3, '1212', 12, 12, 1))
     AS e(ev_idx, rm_name, mon, dy, n_days)""",
     "rm_calendar": """
-  SELECT CAST(make_date(CAST(y.yr AS INTEGER), e.mon, e.dy) + (dn.day_number - 1) AS DATE) AS sales_date,
+  SELECT CAST(make_date(CAST(y.yr AS INTEGER), e.mon, e.dy) + CAST(dn.day_number - 1 AS INTEGER) AS DATE) AS sales_date,
          e.rm_name,
          CAST((y.yr - y.y0) * 4 + e.ev_idx + 1 AS INTEGER) AS number,
          CAST(dn.day_number AS INTEGER) AS day_number
