@@ -1 +1,233 @@
-"""Registered plans."""
+"""Registered plans: scalar features, price buckets, day differences, the
+data profile, date-window refresh and forecast reports (F1-F3, P-5, P-11 -
+P-14, P-22, P-23, P-28, S10-S12, M6, A15-A18, W22, W23, O3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pricewise.functions import scalars as sc
+from pricewise.operators import competition as cp
+from pricewise.operators import ingest
+from pricewise.operators import modeling as md
+from pricewise.operators import moments as mo
+from pricewise.operators import reports as rp
+from pricewise.operators import timefeatures as tf
+from pricewise.plans import base
+from pricewise.plans.catalog import register
+from pricewise.plans.q_ingest import MASTER_COLS
+from pricewise.plans.q_time import rolling_ctes
+from pricewise.sources.fixtures import season_of
+from pricewise.streaming import increment as inc
+
+SHIFT = base.SHIFT
+
+
+@register("color_features", sql="""
+WITH lex AS (SELECT list(color) AS lx FROM color_lexicon),
+x AS (SELECT s.prod_code, s.sales_date, lower(s.color_desc) AS low,
+             string_split(lower(s.color_desc), '/') AS parts FROM sku s),
+y AS (SELECT x.*, string_split_regex(parts[1], '[- ]') AS w0, string_split_regex(parts[2], '[- ]') AS w1 FROM x)
+SELECT prod_code, sales_date, substr(prod_code, length(prod_code) - 2, 1) AS base_color,
+  CASE WHEN len(w0) > 1 THEN array_to_string(list_sort(list_distinct(list_intersect(w0, lx))), ' ') ELSE low END
+    AS major_color_desc,
+  CASE WHEN len(w1) > 1 THEN array_to_string(list_sort(list_distinct(list_intersect(w1, lx))), ' ') ELSE low END
+    AS minor_color_desc
+FROM y, lex""")
+def color_features(spark, sf_dir):
+    """Base colour and major / minor colour words from the lexicon."""
+    v = base.views(spark, sf_dir)
+    x = sc.with_color_features(base.sku_base(v), v.color_lexicon())
+    return x.select("prod_code", "sales_date", "base_color", "major_color_desc", "minor_color_desc")
+
+
+@register("price_buckets", sql="""
+WITH a AS (SELECT style_cd, sales_date, MSRP, round_even(sales_amt / sales_qty, 0) AS AUR FROM style),
+m AS (SELECT min(MSRP) AS mn, max(MSRP) AS mx, max(AUR) AS amx FROM a)
+SELECT a.style_cd, a.sales_date, a.AUR,
+  CASE WHEN MSRP > 0 AND MSRP <= 300 THEN 300 WHEN MSRP > 300 AND MSRP <= 500 THEN 500
+       WHEN MSRP > 500 AND MSRP <= 700 THEN 700 WHEN MSRP > 700 AND MSRP <= 1000 THEN 1000
+       WHEN MSRP > 1000 AND MSRP <= m.mx THEN 3000 END AS price_band,
+  CASE WHEN AUR > 0 AND AUR <= 200 THEN 200 WHEN AUR > 200 AND AUR <= 400 THEN 400
+       WHEN AUR > 400 AND AUR <= 600 THEN 600 WHEN AUR > 600 AND AUR <= 800 THEN 800
+       WHEN AUR > 800 AND AUR <= 1000 THEN 1000 WHEN AUR > 1000 AND AUR <= m.amx THEN 3000 END AS AUR_band,
+  (MSRP - m.mn) / (m.mx - m.mn) AS MSRP_pos
+FROM a, m""")
+def price_buckets(spark, sf_dir):
+    """P-11 + P-13 + P-14: AUR, right-closed MSRP / AUR bands, MSRP position."""
+    x = sc.price_buckets(cp.aur(base.style_base(base.views(spark, sf_dir))))
+    return x.select("style_cd", "sales_date", "AUR", "price_band", "AUR_band", "MSRP_pos")
+
+
+@register("days_since_columns", sql="""
+WITH f AS (SELECT prod_code, min(sales_date) AS first_sales_date FROM sku GROUP BY 1),
+i AS (SELECT x.prod_code, b.season1, min(x.sales_date) AS inseason_1st_day
+      FROM sku x JOIN bounds b ON x.sales_date BETWEEN b.season_start AND b.season_end GROUP BY 1, 2),
+m AS (SELECT x.prod_code, x.md10, b.season1, min(x.sales_date) AS this_md_first_day
+      FROM sku x JOIN bounds b ON x.sales_date BETWEEN b.season_start AND b.season_end GROUP BY 1, 2, 3),
+rs AS (SELECT ((CASE quarter(sales_date) WHEN 1 THEN 'SP' WHEN 2 THEN 'SU' WHEN 3 THEN 'FA' ELSE 'HO' END)
+               || CAST(year(sales_date) AS VARCHAR)) AS season1, sales_date AS rm_start
+       FROM rm_calendar WHERE rm_name = '99' AND day_number = 1)
+SELECT s.prod_code, s.sales_date,
+  date_diff('day', i.inseason_1st_day, s.sales_date) AS days_from_inseason_1st_day,
+  date_diff('day', f.first_sales_date, s.sales_date) AS days_from_hist_1st_day,
+  date_diff('day', m.this_md_first_day, s.sales_date) AS days_from_this_md_first_day,
+  date_diff('day', b.season_start, s.sales_date) AS days_from_season_begins,
+  CASE WHEN s.sales_date IN (SELECT rm_start FROM rs) THEN 1 ELSE 0 END AS is_rm,
+  CAST(date_diff('day', rs.rm_start, s.sales_date) AS DOUBLE) AS days_since_rm
+FROM sku s
+LEFT JOIN f ON f.prod_code = s.prod_code
+LEFT JOIN i ON i.prod_code = s.prod_code AND i.season1 = s.season1
+LEFT JOIN m ON m.prod_code = s.prod_code AND m.md10 = s.md10 AND m.season1 = s.season1
+LEFT JOIN bounds b ON b.season1 = s.season1
+LEFT JOIN rs ON rs.season1 = s.season1""")
+def days_since_columns(spark, sf_dir):
+    """P-22 + P-23: day differences to first days and season / RM starts."""
+    v = base.views(spark, sf_dir)
+    sku = base.sku_base(v)
+    bounds = ingest.season_bounds(v.season_calendar())
+    d = tf.first_dates(sku, bounds)
+    x = (sku.join(d["first_sales_date"], "prod_code", "left")
+         .join(d["inseason_1st_day"], ["prod_code", "season1"], "left")
+         .join(d["this_md_first_day"], ["prod_code", "md10", "season1"], "left"))
+    x = sc.days_since_columns(x, bounds)
+    rm = v.rm_calendar().filter((F.col("rm_name") == "99") & (F.col("day_number") == 1))
+    season_rm = rm.select(season_of(F.col("sales_date")).alias("season1"), F.col("sales_date").alias("rm_start"))
+    x = mo.days_from_moment(x, season_rm)
+    return x.select("prod_code", "sales_date", "days_from_inseason_1st_day", "days_from_hist_1st_day",
+                    "days_from_this_md_first_day", "days_from_season_begins", "is_rm", "days_since_rm")
+
+
+_PROFILE_COLS = [c for c in MASTER_COLS]
+
+
+@register("null_profile", sql="\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS null_rate FROM master"
+    for c in _PROFILE_COLS))
+def null_profile(spark, sf_dir):
+    """P-28: null rate per column of the data master (one pass + unpivot)."""
+    m = base.master(base.views(spark, sf_dir)).select(*_PROFILE_COLS)
+    return md.null_rates(m)
+
+
+FILTER_SEASONS = ["FA1999", "FA2000", "SU2001", "FA2001"]
+P5_DROP = ["platform", "color_desc", "sales_amt", "division", "style_number", "season1"]
+P5_KEEP = [c for c in MASTER_COLS if c not in P5_DROP]
+
+
+@register("filter_modeling_rows", sql=f"""
+SELECT {', '.join(P5_KEEP)} FROM master
+WHERE season1 IN ({', '.join(f"'{s}'" for s in FILTER_SEASONS)}) AND inseason_flag1 = 'Y'
+  AND sales_date NOT IN (SELECT sales_date FROM rm_calendar) AND md <= 0.95""")
+def filter_modeling_rows(spark, sf_dir):
+    """P-5: training seasons, in-season only, RM dates removed, md <= 0.95, columns dropped."""
+    v = base.views(spark, sf_dir)
+    x = md.filter_modeling_rows(base.master(v).select(*MASTER_COLS), FILTER_SEASONS, v.rm_calendar(),
+                                drop=P5_DROP)
+    return x.select(*P5_KEEP)
+
+
+REFRESH_FROM = "2000-01-01"
+
+
+@register("refresh_days_on_market", sql="""
+SELECT a.prod_code, a.sales_date, count(*) AS num_days_on_mkt,
+       CAST(sum(CASE WHEN b.inseason_flag1 = 'Y' THEN 1 ELSE 0 END) AS BIGINT) AS num_days_on_mkt_inseason
+FROM sku a JOIN sku b ON a.prod_code = b.prod_code AND b.sales_date <= a.sales_date
+GROUP BY a.prod_code, a.sales_date""")
+def refresh_days_on_market(spark, sf_dir):
+    """S10 + S11 + S12: a feature table saved before the increment (dates
+    before the high-water mark) refreshed by recomputing the new date window
+    over full history and splicing it in; equals a full recompute."""
+    sku = base.sku_base(base.views(spark, sf_dir))
+    stock = sku.filter(F.col("sales_date") < F.lit(REFRESH_FROM).cast("date"))
+    old = tf.days_on_market(stock)
+    hw = ingest.increment_bounds(stock).withColumnRenamed("data_to_date", "_hw")
+    increment = sku.crossJoin(F.broadcast(hw)).filter(F.col("sales_date") > F.col("_hw")).drop("_hw")
+    master = ingest.append_increment(stock, increment)
+    new = tf.days_on_market(master)
+    return inc.replace_date_window(old, new, REFRESH_FROM, "2100-12-31")
+
+
+# --------------------------------------------------------------- reports
+SCORED = rolling_ctes([(7, "avg")], SHIFT, "past_{n}_{stat}_aps") + """,
+sc AS (SELECT s.*, round_even(s.sales_amt / s.sales_qty, 0) AS AUR,
+              round_even(r.past_7_avg_aps, 0) AS predict_sales_qty
+       FROM style s JOIN roll r ON r.style_cd = s.style_cd AND r.sales_date = s.sales_date
+       WHERE r.past_7_avg_aps IS NOT NULL),
+m AS (SELECT sc.*, round_even(predict_sales_qty, 0) * AUR AS fcst_amt, sales_qty * AUR AS real_amt,
+             abs(round_even(predict_sales_qty, 0) / sales_qty - 1) AS MAPE,
+             abs(predict_sales_qty - sales_qty) / sales_qty AS MAPE_qty,
+             coalesce(abs(round_even(predict_sales_qty, 0) / sales_qty - 1) <= {thr}, false) AS within
+      FROM sc)"""
+
+
+def _scored(spark, sf_dir):
+    """Scored table of a baseline forecast (rounded past-7-day APS, shifted):
+    the report operators' input, derived from the data."""
+    s = cp.aur(base.style_base(base.views(spark, sf_dir)))
+    r = tf.rolling_sales_stats(s, s, "style_cd", [(7, "avg")], SHIFT)
+    return (s.join(r, ["style_cd", "sales_date"])
+            .withColumn("predict_sales_qty", F.rint("past_7_avg_aps"))
+            .filter(F.col("predict_sales_qty").isNotNull()))
+
+
+@register("forecast_summary", sql="WITH " + SCORED.format(thr=0.3) + """
+SELECT gender_group, sum(predict_sales_qty) AS tot_qty, sum(predict_sales_qty * AUR) AS tot_rev,
+  sum(CASE WHEN md > 0.8 THEN 1 ELSE 0 END) / count(*) AS full_price_share,
+  sum(CASE WHEN md > 0.8 THEN predict_sales_qty END) / sum(predict_sales_qty) AS full_price_qty_share,
+  sum(CASE WHEN md > 0.8 THEN predict_sales_qty * AUR END) / sum(predict_sales_qty * AUR) AS full_price_amt_share,
+  CAST(GROUPING(gender_group) AS INTEGER) AS is_total
+FROM sc GROUP BY ROLLUP (gender_group)""")
+def forecast_summary(spark, sf_dir):
+    """Forecast totals and full-price shares, overall and by gender."""
+    return rp.forecast_summary(_scored(spark, sf_dir))
+
+
+@register("error_by_group", sql="WITH " + SCORED.format(thr=0.33) + """
+SELECT gender_group, gc_category, sum(fcst_amt) AS fcst_amt, sum(real_amt) AS real_amt,
+  sum(round_even(predict_sales_qty, 0)) AS predict_sales_qty, sum(sales_qty) AS sales_qty,
+  CAST(GROUPING(gc_category) AS INTEGER) AS by_gender,
+  sum(fcst_amt) / sum(real_amt) - 1 AS mape_amt,
+  sum(round_even(predict_sales_qty, 0)) / sum(sales_qty) - 1 AS mape_qty
+FROM m GROUP BY GROUPING SETS ((gender_group), (gender_group, gc_category))""")
+def error_by_group(spark, sf_dir):
+    """M6 + A16: forecast versus real by gender and by gender x category."""
+    return rp.error_by_group(rp.forecast_metrics(_scored(spark, sf_dir), 0.33))
+
+
+@register("accuracy_share", sql="WITH " + SCORED.format(thr=0.33) + """
+SELECT CASE WHEN within THEN 'within' ELSE 'outside' END AS bucket, sum(real_amt) AS real_amt,
+       sum(sales_qty) AS sales_qty, CAST(count(style_cd) AS DOUBLE) AS n_rows
+FROM m GROUP BY 1
+UNION ALL
+SELECT 'share', sum(CASE WHEN within THEN real_amt END) / sum(real_amt),
+       sum(CASE WHEN within THEN sales_qty END) / sum(sales_qty),
+       sum(CASE WHEN within THEN 1.0 END) / count(style_cd)
+FROM m""")
+def accuracy_share(spark, sf_dir):
+    """Amount / qty / rows within the 0.33 error limit, and their share."""
+    return rp.accuracy_share(rp.forecast_metrics(_scored(spark, sf_dir), 0.33))
+
+
+@register("weighted_accuracy", sql="WITH " + SCORED.format(thr=0.3) + """
+SELECT median(MAPE_qty) AS median_mape,
+       sum(CASE WHEN MAPE_qty <= 0.3 THEN sales_qty END) / sum(sales_qty) AS qty_share_within,
+       sum(CASE WHEN MAPE_qty <= 0.3 THEN 1 ELSE 0 END) / count(*) AS row_share_within
+FROM m""")
+def weighted_accuracy(spark, sf_dir):
+    """Median error and shares within 0.3."""
+    return rp.weighted_accuracy(rp.forecast_metrics(_scored(spark, sf_dir), 0.3))
+
+
+@register("cumulative_share", sql="WITH " + SCORED.format(thr=0.33) + """,
+a AS (SELECT style_cd, sum(sales_qty) AS sales_qty, sum(predict_sales_qty) AS predict_sales_qty
+      FROM m GROUP BY style_cd),
+b AS (SELECT *, abs(predict_sales_qty / sales_qty - 1) AS MAPE FROM a)
+SELECT *, sum(sales_qty) OVER w / sum(sales_qty) OVER () AS cum_prct,
+       median(MAPE) OVER w AS median_mape,
+       CAST(sum(sales_qty) OVER w / sum(sales_qty) OVER () <= 0.3 AS INTEGER) AS in_top_share
+FROM b WINDOW w AS (ORDER BY sales_qty DESC, style_cd ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def cumulative_share(spark, sf_dir):
+    """W22 + W23 + O3: top-30% styles by qty, running share and running median error."""
+    return rp.cumulative_share(rp.forecast_metrics(_scored(spark, sf_dir), 0.33), "style_cd")
