@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricewise.functions.rules import np_round, safe_div
+from pricewise.session import materialize
 
 MISSING = -999.0
 
@@ -150,7 +151,9 @@ def feature_importance(model: PipelineModel, num: Sequence[str], cat: Sequence[s
 def train_evaluate(df: DataFrame, level: str, numer: str, denom: str | None, train_ratio: float = 0.75,
                    seed: int = 82, exclude: Sequence[str] = ("sales_date",), **params) -> tuple[PipelineModel, DataFrame]:
     """M8: label, sparse-column pruning, split, fit, score the test part (M3-M6)."""
-    x = boost_label(df, numer, denom)
+    # many passes follow (null rates, indexers, split, boosting): cut the
+    # lineage once into the checkpoint folder instead of recomputing windows
+    x = materialize(boost_label(df, numer, denom), "model_table")
     x = prune_sparse_columns(x, 0.98, keep=[level, "sales_date", "label", "y", numer] + ([denom] if denom else []))
     excl = set(exclude) | {level, "label", "y", numer}
     num, cat = feature_split(x, list(excl))
