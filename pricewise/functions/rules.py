@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -84,3 +84,31 @@ def right_closed_bins(c: ColumnOrName, edges: Sequence[float | Column],
         cond = (c > lo_c) & (c <= hi_c)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr
+
+
+def grouped_with_median(df: DataFrame, keys: Sequence[str], median_of: str, sums: Sequence[str],
+                        median_out: str | None = None) -> DataFrame:
+    """Exact median (linear interpolation of the two middle values, as pandas
+    and ``percentile``) together with sums, per group.
+
+    Rows are first combined to (group, value) counts with a hash aggregate
+    (map-side combine, so a hot group travels as its distinct values only);
+    the median is then read from the running count over the group's
+    distinct values. Faster than the object aggregate of ``percentile`` and
+    bounded per group by the number of distinct values."""
+    median_out = median_out or median_of
+    v = F.col(median_of)
+    per = (df.groupBy(*keys, median_of)
+           .agg(*[F.sum(c).alias(c) for c in sums],
+                F.sum(F.when(v.isNotNull(), 1).otherwise(0)).alias("_c")))
+    w_run = Window.partitionBy(*keys).orderBy(median_of).rowsBetween(Window.unboundedPreceding, 0)
+    w_all = Window.partitionBy(*keys)
+    per = (per.withColumn("_cum", F.sum("_c").over(w_run))
+              .withColumn("_n", F.sum("_c").over(w_all)))
+    lo = F.floor((F.col("_n") + 1) / 2)
+    hi = F.ceil((F.col("_n") + 1) / 2)
+    ok = v.isNotNull()
+    return (per.groupBy(*keys)
+            .agg(*[F.sum(c).alias(c) for c in sums],
+                 ((F.min(F.when(ok & (F.col("_cum") >= lo), v))
+                   + F.min(F.when(ok & (F.col("_cum") >= hi), v))) / 2.0).alias(median_out)))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewise.functions.rules import np_round, safe_div
+from pricewise.functions.rules import grouped_with_median, np_round, safe_div
 from pricewise.sources.fixtures import map_column
 
 SALES_KEYS = ["platform", "season1", "inseason_flag1", "prod_code", "size_cd", "sales_date", "MSRP"]
@@ -58,10 +58,7 @@ def daily_sku_sales(sales: DataFrame, platform: str | None = None) -> DataFrame:
     """A1: per (platform, date, product, season, flag): sum qty, sum amount,
     median MSRP (sizes collapse)."""
     s = sales if platform is None else sales.filter(F.col("platform") == platform)
-    return (s.groupBy(*DAILY_KEYS)
-            .agg(F.sum("sales_qty").alias("sales_qty"),
-                 F.sum("sales_amt").alias("sales_amt"),
-                 F.median("MSRP").alias("MSRP")))
+    return grouped_with_median(s, DAILY_KEYS, "MSRP", ["sales_qty", "sales_amt"])
 
 
 def markdown_rate(df: DataFrame, out: str = "md") -> DataFrame:

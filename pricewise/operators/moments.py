@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.functions.frames import UNBOUNDED
-from pricewise.functions.rules import np_round, pct_rank_avg, safe_div
+from pricewise.functions.rules import grouped_with_median, np_round, pct_rank_avg, safe_div
 from pricewise.operators.ingest import daily_inventory
 
 
@@ -28,9 +28,8 @@ def prepare_moments(rm_sales: DataFrame, master: DataFrame, rm_calendar: DataFra
          .withColumn("style_cd", F.substring("prod_code", 1, 6)))
     div = (master.select(F.col("style_number").alias("style_cd"), "division", "gender_group").distinct())
     r = r.join(div, "style_cd", "left").filter(F.col("division") == division)
-    r = (r.groupBy(level, "sales_date", "gender_group")
-         .agg(F.sum("sales_qty").alias("rm_sales_qty"), F.sum("sales_amt").alias("rm_sales_amt"),
-              F.median("MSRP").alias("MSRP")))
+    r = (grouped_with_median(r, [level, "sales_date", "gender_group"], "MSRP", ["sales_qty", "sales_amt"])
+         .withColumnRenamed("sales_qty", "rm_sales_qty").withColumnRenamed("sales_amt", "rm_sales_amt"))
     # the RM calendar is a few days a year: broadcast
     r = r.join(F.broadcast(rm_calendar), "sales_date", "left")
     i = daily_inventory(inv, store_platform, 1).filter(F.col("platform") == platform)
