@@ -202,13 +202,14 @@ def same_md_history(df: DataFrame, level: str, shift: int) -> DataFrame:
 def inseason_previous_aps(df: DataFrame, level: str, shift: int) -> DataFrame:
     """Per (product, md) running mean qty inside one season, read at
     date - shift; the season is that of the spine date date - shift (Q6).
-    One row per (product, md, date) of the data."""
+    One row per (product, md, date) of the data; NULL when date - shift is
+    not a spine date (its season is then unknown)."""
     src = (df.groupBy(level, "md10", "season1", "sales_date")
            .agg(F.sum("sales_qty").alias("_q"), F.count(F.lit(1)).alias("_n")))
     season_of_day = F.broadcast(df.select(F.col("sales_date").alias("_sd"),
                                           F.col("season1").alias("_sseason")).distinct())
     targets = (df.select(level, "md10", "sales_date").distinct()
-               .join(season_of_day, F.date_sub("sales_date", shift) == F.col("_sd"))
+               .join(season_of_day, F.date_sub("sales_date", shift) == F.col("_sd"), "left")
                .drop("_sd").withColumnRenamed("_sseason", "season1"))
     res = lookback(targets, src, [level, "md10", "season1"], "sales_date",
                    {"inseason_previous_md_aps":

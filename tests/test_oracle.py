@@ -13,7 +13,8 @@ from check_oracle import TABLES, digest, tolerant_equal  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 FAST = ["daily_sku_sales", "style_rollup", "seasons_to_date", "first_14d_sales", "inseason_md_stats",
-        "same_md_frequency", "rolling_all_prices", "markdown_rounds", "price_band_competitors",
+        "same_md_frequency", "inseason_previous_aps", "rolling_all_prices", "markdown_rounds",
+        "price_band_competitors",
         "inventory_advantage", "asof_last_same_md", "competitor_days_same_md", "competitive_position",
         "moment_history", "season_sell_through", "color_features", "accuracy_share", "refresh_days_on_market"]
 
