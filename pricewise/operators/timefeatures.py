@@ -50,10 +50,14 @@ def sku_count_in_style(sku: DataFrame, time_scope: str = "season") -> DataFrame:
 # ------------------------------------------------------- season windows
 def with_calendar_season(df: DataFrame, bounds: DataFrame, date_col: str = "sales_date") -> DataFrame:
     """Attach the calendar season whose [start, end] holds the date.
-    ``bounds`` (A13) has one row per season: broadcast, calendar-bounded."""
-    b = F.broadcast(bounds.select(F.col("season1").alias("cal_season"), "season_start", "season_end"))
-    return df.join(b, (F.col(date_col) >= F.col("season_start")) & (F.col(date_col) <= F.col("season_end")),
-                   "left")
+
+    The season bounds (A13) are expanded to one row per calendar day
+    (bounded by the calendar) and broadcast, so the lookup is an equi hash
+    join on the day instead of a range (nested-loop) join."""
+    days = bounds.select(F.col("season1").alias("cal_season"), "season_start", "season_end",
+                         F.explode(F.sequence("season_start", "season_end")).alias("_cal_day"))
+    return (df.join(F.broadcast(days), F.col(date_col) == F.col("_cal_day"), "left")
+            .drop("_cal_day"))
 
 
 def seasons_to_date(df: DataFrame, bounds: DataFrame, level: str = "prod_code",
@@ -94,10 +98,11 @@ def first_14d_sales(df: DataFrame, bounds: DataFrame, lead: int, level: str = "p
     qty / (start + 14 - in-season first day) and mean md per (product,
     season); rows dated from season start to start + 13 + lead get NULL."""
     firsts = first_dates(df, bounds, level)["inseason_1st_day"]
-    b = F.broadcast(bounds.select("season1", "season_start"))
-    early = (df.join(b, (F.col("sales_date") >= F.col("season_start"))
-                     & (F.col("sales_date") <= F.date_add("season_start", 13)))
-             .drop(b.season1)
+    # first 14 days of each season, one row per day: an equi join on the day
+    days14 = bounds.select(F.col("season1").alias("_s"), "season_start",
+                           F.explode(F.sequence("season_start", F.date_add("season_start", 13))).alias("_d14"))
+    early = (df.join(F.broadcast(days14), F.col("sales_date") == F.col("_d14"))
+             .drop("_s", "_d14")
              .join(firsts, [level, "season1"], "left")
              .withColumn("_days", F.datediff(F.date_add("season_start", 14), "inseason_1st_day")))
     agg = (early.groupBy(level, "season1")
