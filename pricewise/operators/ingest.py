@@ -175,3 +175,28 @@ def traffic_total(traffic: DataFrame, stores: Sequence[str]) -> DataFrame:
     return (traffic.filter(F.col("store_nm").isin(list(stores)))
             .groupBy("sales_date").agg(F.sum("site_traffic").alias("site_traffic")))
 
+
+
+def join_site_traffic(df: DataFrame, traffic: DataFrame, stores: Sequence[str]) -> DataFrame:
+    """Daily total traffic of the sub-platforms, left-joined on date. One
+    row per day (calendar-bounded), so it is broadcast."""
+    return df.join(F.broadcast(traffic_total(traffic, stores)), "sales_date", "left")
+
+
+def join_style_traffic(df: DataFrame, style_traffic: DataFrame) -> DataFrame:
+    """Mean style traffic per (style, date), left-joined."""
+    t = style_traffic.groupBy("style_cd", "sales_date").agg(F.avg("style_traffic").alias("style_traffic"))
+    return df.join(t, ["style_cd", "sales_date"], "left")
+
+
+def join_natural(df: DataFrame, other: DataFrame, how: str = "left") -> DataFrame:
+    """Join on all common columns (e.g. is_rm / is_preheat flags by date)."""
+    common = [c for c in df.columns if c in other.columns]
+    return df.join(other, common, how)
+
+
+def join_feature_table(df: DataFrame, features: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drop the columns both sides have (except the keys), then
+    left-join the feature table on the keys."""
+    keep = [c for c in features.columns if c in set(keys) or c not in df.columns]
+    return df.join(features.select(*keep), list(keys), "left")

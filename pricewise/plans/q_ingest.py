@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
+from pricewise.functions import scalars
 from pricewise.operators import ingest
 from pricewise.plans import base
 from pricewise.plans.catalog import register
+from pricewise.sources.fixtures import STORE_PLATFORM
 
 MASTER_COLS = ["platform", "sales_date", "prod_code", "season1", "inseason_flag1", "sales_qty",
                "sales_amt", "MSRP", "style_number", "division", "gender_group", "gc_category",
@@ -17,3 +17,22 @@ MASTER_COLS = ["platform", "sales_date", "prod_code", "season1", "inseason_flag1
 def daily_sku_sales(spark, sf_dir):
     """Flagship: S1 -> A1 -> J1 -> P-9 -> J2 (daily data master, MAIN)."""
     return base.master(base.views(spark, sf_dir)).select(*MASTER_COLS)
+
+
+MAIN_STORES = [s for s, p in STORE_PLATFORM.items() if p == base.PLATFORM]
+
+
+@register("site_traffic", sql=f"""
+SELECT m.prod_code, m.sales_date,
+       CASE WHEN m.sales_date = DATE '{base.FCST_DATE}' THEN {base.FCST_TRAFFIC} ELSE t.site_traffic END AS site_traffic
+FROM master m
+LEFT JOIN (SELECT sales_date, CAST(sum(site_traffic) AS BIGINT) AS site_traffic FROM traffic
+           WHERE store_nm IN ({', '.join(f"'{s}'" for s in MAIN_STORES)}) GROUP BY sales_date) t
+  ON t.sales_date = m.sales_date""")
+def site_traffic(spark, sf_dir):
+    """A20 + J6 + P-19: daily traffic of the platform's stores joined to the
+    master; the planned figure replaces it on the forecast day."""
+    v = base.views(spark, sf_dir)
+    x = ingest.join_site_traffic(base.master(v), v.traffic(), MAIN_STORES)
+    x = scalars.override_on_date(x, "site_traffic", base.FCST_DATE, base.FCST_TRAFFIC)
+    return x.select("prod_code", "sales_date", "site_traffic")
