@@ -7,17 +7,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricewise.llm import langid, mixing, quality
 from pricewise.llm.common import table
 from pricewise.llm.jaccard import jaccard_components
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, lang (null: rejected), probability, declared, host for every page; the
+    text model learns from labelled documents."""
+    return langid.identify_pages(table(spark, sf_dir, "pages"), langid.fit(table(spark, sf_dir, "documents")))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id for every document."""
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the base counts, base_failed, posterior, kept for every document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
     "op4_jaccard_join": op4_jaccard_join,
+    "op8_quality_rules": op8_quality_rules,
+    "op10_source_mix": op10_source_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_source_mix": mixing.ORACLE_SQL,
+}
