@@ -24,7 +24,10 @@ pairs left to compare outnumber the entries and keep shrinking; then exactly the
 pairs of different components that share a signature are compared. Every link
 between different components is found, so components are exact.
 
-**Verification** is exact on the sets (64-bit shingle hashes).
+**Verification.** Parity bits of the sets (half a byte per shingle) bound the
+difference of two sets from below and drop most pairs that don't link; what is
+left is verified exactly on the sets (64-bit shingle hashes), which are made again
+from the texts of these documents alone.
 
 Defined cases: a null or blank text has an empty set, n_shingles 0 and links
 with nothing; 1 to 4 words are one shingle; repeated rows are equal sets and so
@@ -57,6 +60,28 @@ def entity(shingles: np.ndarray) -> int:
     return int(mix(mix(shingles).sum(dtype=U64, keepdims=True) + U64(len(shingles))).astype(np.int64)[0])
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """One bit for each of 4 n or more cells: whether an odd number of shingles fall
+    into it. Sets that differ in d shingles differ in d bits at most."""
+    width = 1 << max(6, int(4 * len(shingles) - 1).bit_length())
+    return np.packbits(np.bincount((shingles & U64(width - 1)).astype(np.int64), minlength=width) & 1).tobytes()
+
+
+def _close(batches):
+    """The pairs (a, b, n, m) whose parities allow a link: linked sets differ in
+    (n + m) / 7 shingles at most."""
+    for batch in batches:
+        keep = []
+        for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "pa", "pb"))):
+            x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            while len(x) != len(y):  # half as wide: cells a half apart meet
+                if len(x) > len(y):
+                    x, y = y, x
+                y = y[:len(y) // 2] ^ y[len(y) // 2:]
+            keep.append(7 * int(np.bitwise_count(x ^ y).sum()) <= n + m)
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
+
+
 def _sets(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, list[np.ndarray]]]:
     data, off = text_bytes(batch.column(name))
     for i, j in slices(off):
@@ -64,33 +89,35 @@ def _sets(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, list[np.
 
 
 def _describe(docs: DataFrame) -> DataFrame:
-    """(doc_id, entity, n) per row, and after them the partition's counters
-    (block, counts) with a null n."""
+    """(doc_id, entity, n, parity) per row, and after them the partition's counters
+    (block, counts) with a null n. Only the first of a batch's equal sets has its parity."""
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("entity", T.LongType()),
-                           T.StructField("n", T.LongType()), T.StructField("block", T.IntegerType()),
-                           T.StructField("counts", T.BinaryType())])
+                           T.StructField("n", T.LongType()), T.StructField("parity", T.BinaryType()),
+                           T.StructField("block", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def run(batches):
         load, kind = np.zeros(CELLS, np.int64), None
         for batch in batches:
-            ids, sizes, seen = [], [], set()
+            ids, sizes, bits, seen = [], [], [], set()
             kind = batch.column("doc_id").type
             for _, _, sets in _sets(batch, "text"):
                 for s in sets:
                     ids.append(entity(s))
                     sizes.append(len(s))
+                    bits.append(None if ids[-1] in seen else parity(s))
                     if ids[-1] not in seen:
                         seen.add(ids[-1])
                         np.add.at(load, (s & _MASK).astype(np.int64), 1)
             k = len(ids)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=schema.names)
+                 pa.array(bits, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=schema.names)
         if kind is not None:
             parts = load.reshape(BLOCKS, -1)
             for b in range(BLOCKS):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([b], pa.int32()),
+                    [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                     pa.array([b], pa.int32()),
                      pa.array([parts[b].astype(np.uint32).tobytes()], pa.binary())], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -237,36 +264,41 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 _NEAR = "4 * least(n, m) >= 3 * greatest(n, m)"  # a linked pair's sizes
 
 
-def _links(docs: DataFrame, codes, frequent: int) -> DataFrame:
+def _links(docs: DataFrame, every: DataFrame, codes, frequent: int) -> DataFrame:
     """Roots (node, root) of the entities that link with another."""
     shared = materialize(
         _index(docs, codes, frequent).repartition("sig").sortWithinPartitions("sig", "entity")
         .mapInArrow(_shared, "sig long, entity long, n int"), "shared")
-    spark = docs.sparkSession
+    none = docs.sparkSession.range(0)
     entries = shared.count()
-    roots = materialize(spark.range(0).selectExpr("id AS node", "id AS root"), "roots")
-    found = materialize(spark.range(0).selectExpr("id AS a", "id AS b"), "links")
-    wanted = shared.select("entity").distinct()
-    sets = materialize(_entity_sets(docs, wanted), "sets") if entries else None
-    before, turn = None, 0
+    roots = none.selectExpr("id AS node", "id AS root")
+    found = none.selectExpr("id AS a", "id AS b")
+    if entries:
+        parities = materialize(every.where("parity IS NOT NULL").groupBy("entity").agg(F.first("parity").alias("parity"))
+                               .join(shared.select("entity").distinct(), "entity", "left_semi"), "parities")
+    before, turn = 0, 0
     while entries:
         known = shared.join(roots, shared["entity"] == roots["node"], "left") \
             .select("sig", "entity", "n", F.coalesce("root", "entity").alias("part"))
-        mixed = known.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("k")) \
-            .where("low < high")
-        todo = mixed.agg(F.sum(F.expr("k * (k - 1) div 2"))).first()[0] or 0
+        mixed = known.groupBy("sig", "part").agg(F.count("*").alias("k")).groupBy("sig") \
+            .agg(F.expr("(sum(k) * sum(k) - sum(k * k)) div 2").alias("open")).where("open > 0")
+        todo = mixed.agg(F.sum("open")).first()[0] or 0
         if todo == 0:
             break
         if last := (turn > 0 and (todo <= entries or todo > 0.8 * before)):
-            open_ = known.join(mixed.select("sig"), "sig", "left_semi")
-            other = open_.selectExpr("sig", "entity AS b", "n AS m", "part AS qart")
-            pairs = open_.withColumnRenamed("entity", "a").join(other, "sig").where(f"part <> qart AND a < b AND {_NEAR}")
+            left = known.join(mixed.select("sig"), "sig", "left_semi")
+            other = left.selectExpr("sig", "entity AS b", "n AS m", "part AS qart")
+            pairs = left.withColumnRenamed("entity", "a").join(other, "sig").where(f"part <> qart AND a < b AND {_NEAR}")
         else:
             hub = known.groupBy("sig").agg(F.min(F.struct(F.xxhash64("entity", F.lit(turn)), "entity", "n", "part")).alias("h")) \
                 .selectExpr("sig", "h.entity AS b", "h.n AS m", "h.part AS qart")
             pairs = known.withColumnRenamed("entity", "a").join(hub, "sig").where(f"part <> qart AND {_NEAR}")
-        links = _verify(pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), sets)
-        found = materialize(found.unionByName(links), "links")
+        pairs = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "least(n, m) AS n", "greatest(n, m) AS m").distinct()
+        close = materialize(
+            pairs.join(parities.withColumnsRenamed({"entity": "a", "parity": "pa"}), "a")
+            .join(parities.withColumnsRenamed({"entity": "b", "parity": "pb"}), "b").mapInArrow(_close, "a long, b long"), "close")
+        sets = materialize(_entity_sets(docs, close.selectExpr("explode(array(a, b)) AS entity").distinct()), "sets")
+        found = materialize(found.unionByName(_verify(close, sets)), "links")
         roots = components(found)
         if last:
             break
@@ -278,7 +310,7 @@ def _membership(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, entity, n) per row, and (entity, root, component_id) per entity that is not empty."""
     every = materialize(_describe(docs), "described")
     codes, frequent = _frequency_codes(every)
-    roots = _links(docs, docs.sparkSession.sparkContext.broadcast(codes), frequent)
+    roots = _links(docs, every, docs.sparkSession.sparkContext.broadcast(codes), frequent)
     rows = every.where("block IS NULL").select("doc_id", "entity", "n")
     first = rows.where("n > 0").groupBy("entity").agg(F.min("doc_id").alias("first"))
     placed = first.join(roots, first["entity"] == roots["node"], "left") \
