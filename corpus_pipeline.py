@@ -1,28 +1,60 @@
-"""From raw documents to token ids, in stages that can be run one by one."""
+"""From raw documents to token ids, in stages that can be run one by one.
+
+Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return
+the columns of ``docs``. ``run`` writes each stage's result as a table and reads it
+again for the next, so a lost executor costs a stage at most.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewise.llm import jaccard
+from pricewise.llm import jaccard, langid, mixing, pieces, quality
 from pricewise.llm.common import materialize, table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language that is found go."""
+    return langid.keep_known(docs)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality.keep_good(docs)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: one document of each group of near copies stays."""
+    """One document of each group of near copies stays."""
     return jaccard.drop_near_copies(docs)
 
 
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.draw(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with a column ``ids`` of token ids."""
+    return pieces.add_ids(docs, pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 STAGES = [
-    ("near copies", near_copies),
+    ("language ID", language_id),
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_copies),
+    ("mixing sources", source_mix),
+    ("SentencePiece encoding", token_ids),
 ]
 
-#: SQL cannot express the stages; tests compare them with brute force.
+#: SQL cannot express language ID, the join and encoding; tests compare the stages with
+#: brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = materialize(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return docs

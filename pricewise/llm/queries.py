@@ -5,13 +5,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewise.llm import langid, mixing, quality
+from pricewise.llm import embeddings, langid, licenses, mixing, pieces, quality, sharding, token_counts, warc
 from pricewise.llm.common import table
 from pricewise.llm.jaccard import jaccard_components
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, as
+    read back from the archives written."""
+    read = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard for every document."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, lang (null: rejected), probability, declared, host for every page; the
     text model learns from labelled documents."""
@@ -23,23 +36,47 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, canonical_digest, license_id, notices for every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known(spark))
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every vector."""
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, lossless for every document."""
+    model = pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.tokenize(table(spark, sf_dir, "documents"), model)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the base counts, base_failed, posterior, kept for every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit for every document."""
+    vocabulary = token_counts.WordBpe(public_tokenizers.path("word_bpe_49k.json"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_language_id": op3_language_id,
-    "op4_jaccard_join": op4_jaccard_join,
-    "op8_quality_rules": op8_quality_rules,
-    "op10_source_mix": op10_source_mix,
+    f.__name__: f for f in (
+        op1_warc, op2_sharding, op3_language_id, op4_jaccard_join, op5_license_scan, op6_embedding_dedup, op7_sentencepiece,
+        op8_quality_rules, op9_token_counts, op10_source_mix)
 }
 
+#: The other operators are compared with brute force in tests/llm.
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": warc.ORACLE_SQL,
+    "op5_license_scan": licenses.oracle_sql(),
     "op10_source_mix": mixing.ORACLE_SQL,
 }
