@@ -166,7 +166,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             for r in batch.to_pylist():
                 if out is None:
                     path, n, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = store.open_output_stream(f"{at}/{path.rsplit('/', 1)[1]}")
+                    out = store.open_output_stream(f"{at}/{path.rsplit('/', 1)[1]}", compression=None)
                     out.write(member({"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": DATE,
                                       "Content-Type": "application/warc-fields"}, b"format: WARC file version 1.1\r\n"))
                 raw = page_record(r["id"] or "", r["url"], r["payload"], r["digest"], r["refers_to"])
@@ -203,7 +203,7 @@ def read_archives(volumes: DataFrame, id_type: str = "long") -> DataFrame:
             for path in b.column("path").to_pylist():
                 store, at = _open(path)
                 rows, size = [], 0
-                with store.open_input_stream(at) as stream:
+                with store.open_input_stream(at, compression=None) as stream:
                     try:
                         for head, block in records(stream):
                             kind = head["WARC-Type"]
