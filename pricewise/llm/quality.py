@@ -22,15 +22,16 @@ from pricewise.llm.common import fresh, materialize
 
 ROUNDS = 40
 
-#: A rule: the share it looks at; it votes good up to the first bound, bad from the second.
+#: A rule: the share it looks at; it votes good up to the first bound, bad from the
+#: second; it abstains between them, and where there is nothing to divide by.
 RULES = {
-    "symbols": ("q.n_symbols / q.n_words", 0.02, 0.15),
-    "marks": ("q.n_marks / q.word_chars", 0.12, 0.20),
-    "capitals": ("q.n_capitals / q.word_chars", 0.20, 0.50),
-    "word_length": ("abs(q.word_chars / q.n_words - 6)", 4.0, 10.0),
-    "same_lines": ("q.n_dup_lines / q.n_lines", 0.10, 0.30),
-    "same_words": ("q.n_repeat_words / q.n_words", 0.25, 0.50),
-    "endless_lines": ("1 - q.n_ended / q.n_lines", 0.50, 0.90),
+    "symbols": ("try_divide(q.n_symbols, q.n_words)", 0.02, 0.15),
+    "marks": ("try_divide(q.n_marks, q.word_chars)", 0.12, 0.20),
+    "capitals": ("try_divide(q.n_capitals, q.word_chars)", 0.20, 0.50),
+    "word_length": ("abs(try_divide(q.word_chars, q.n_words) - 6)", 4.0, 10.0),
+    "same_lines": ("try_divide(q.n_dup_lines, q.n_lines)", 0.10, 0.30),
+    "same_words": ("try_divide(q.n_repeat_words, q.n_words)", 0.25, 0.50),
+    "endless_lines": ("1 - try_divide(q.n_ended, q.n_lines)", 0.50, 0.90),
 }
 
 # Words covered by 3-word windows that occur twice or more: windows are sorted by
