@@ -61,7 +61,7 @@ def pct_rank_avg(value: str, partition: Sequence[str], ascending: bool = True) -
     """Pandas rank(pct=True, method='average').
 
     (min rank + (ties - 1) / 2) / number of non-null values; NULL stays NULL.
-    Computed with three window functions over one partition spec.
+    Three window functions over the same keys (and, for ties, the value).
     """
     v = F.col(value)
     order = v.asc_nulls_last() if ascending else v.desc_nulls_last()

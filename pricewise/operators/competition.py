@@ -1,10 +1,13 @@
 """Competitor features inside price bands.
 
-Price-band counts and sums are range frames, not joins: rows of one
-(date, group) are ordered by price and a frame [price - 100, price + 100]
-(or +/- 300 from 2000 up) covers exactly the band. When the band belongs to
-a row on another date (J15, J17) the probe rows are stacked with the
-population of that date and the same frame sums population values only.
+Price-band counts and sums come from running totals, not joins or sliding
+frames: with the rows of one (date, group) in order of price, the band
+[price - 100, price + 100] (or +/- 300 from 2000 up) holds the total up to its
+upper edge, plus the total from its lower edge on, less the total. Each is one
+pass. When the band belongs to a row on another date (J15, J17) the probe rows
+are stacked with the population of that date and only population values count.
+A row without a group or price is in no band (P3): its counts are 0, its sums
+NULL.
 The one theta join (J18) is bucketed by price so only neighbouring prices
 meet, and its candidate side is pre-aggregated per (date, price).
 """
@@ -20,7 +23,6 @@ from pricewise.functions.frames import UNBOUNDED
 from pricewise.functions.rules import day_number, np_round, pct_rank_avg, safe_div
 
 NARROW, WIDE, WIDE_FROM = 100.0, 300.0, 2000.0   # band half-widths; wide band from price 2000
-MD_LEVELS = range(0, 11)                          # md10 takes the values 0..10 (md capped at 1)
 
 
 def unit_price(df: DataFrame, fcst_date: str | None = None, out: str = "md_price") -> DataFrame:
@@ -44,13 +46,23 @@ def price_band_bounds(df: DataFrame, price: str = "md_price") -> DataFrame:
             .withColumn("comp_price_high", F.col(price) + half))
 
 
-def _band_frames(part: Sequence, price: str):
-    base = Window.partitionBy(*part).orderBy(F.col(price))
-    return base.rangeBetween(-int(NARROW), int(NARROW)), base.rangeBetween(-int(WIDE), int(WIDE))
+def band_total(value: str, part: Sequence[str], price: str, half: float) -> Column:
+    """Sum of the SQL expression ``value`` over the rows of the partition priced
+    within +/- half of the row (any width): three running totals, one pass each."""
+    v = f"sum(CASE WHEN {price} IS NOT NULL THEN {value} END)"
+    by = f"PARTITION BY {', '.join(part)}"
+    edge = f"RANGE BETWEEN UNBOUNDED PRECEDING AND {float(half)!r}D FOLLOWING"
+    return F.expr(f"{v} OVER ({by} ORDER BY {price} {edge}) + {v} OVER ({by} ORDER BY {price} DESC {edge}) - {v} OVER ({by})")
 
 
-def _pick(price_col: Column, narrow: Column, wide: Column) -> Column:
-    return F.when(price_col.isNull(), F.lit(None)).when(price_col < WIDE_FROM, narrow).otherwise(wide)
+def _band(value: str, part: Sequence[str], price: str) -> Column:
+    """The total over the row's own band; NULL without a price or partition key."""
+    p = F.col(price)
+    known = p.isNotNull()
+    for c in part:
+        known = known & F.col(c).isNotNull()
+    return F.when(~known, None).when(p < WIDE_FROM, band_total(value, part, price, NARROW)) \
+        .otherwise(band_total(value, part, price, WIDE))
 
 
 # ------------------------------------------------------------------ J14
@@ -61,24 +73,19 @@ def price_band_competitors(df: DataFrame, key: str = "style_cd", group: str = "g
     w1 = Window.partitionBy(key, "sales_date").orderBy("md10", "prod_code")
     d = (df.withColumn("_rn", F.row_number().over(w1)).filter("_rn = 1")
          .select(key, "sales_date", group, "md10", "md_price"))
-    wn, ww = _band_frames(["sales_date", group], "md_price")
-    one = F.lit(1)
-    cnt = {}
-    for tag, w in (("n", wn), ("w", ww)):
-        cnt[f"all_{tag}"] = F.count(one).over(w)
-        cnt[f"sale_{tag}"] = F.sum(F.when(F.col("md10") < 10, 1).otherwise(0)).over(w)
-        for v in MD_LEVELS:
-            cnt[f"l{v}_{tag}"] = F.sum(F.when(F.col("md10") == v, 1).otherwise(0)).over(w)
-    d = d.select("*", *[c.alias(k) for k, c in cnt.items()])
-    p = F.col("md_price")
-
-    def lower(tag):
-        return sum(F.when(F.col("md10") > v, F.col(f"l{v}_{tag}")).otherwise(0) for v in MD_LEVELS)
-
-    return d.select(key, "sales_date",
-                    _pick(p, F.col("all_n"), F.col("all_w")).cast("long").alias("num_styles_in_group"),
-                    _pick(p, F.col("sale_n"), F.col("sale_w")).cast("long").alias("num_styles_on_sale_in_group"),
-                    _pick(p, lower("n"), lower("w")).cast("long").alias("num_styles_lower_MD_in_group"))
+    # the rows at a lower md: for each md of the (date, group), the rows below it
+    # are stacked under it, so any md values do and a busy group splits by md
+    levels = d.filter(F.col(group).isNotNull()).groupBy("sales_date", group).agg(F.collect_set("md10").alias("_levels"))
+    below = (d.join(levels, ["sales_date", group])
+             .select("sales_date", group, "md_price", F.explode(F.filter("_levels", lambda v: v > F.col("md10"))).alias("_level"),
+                     F.lit(1).alias("_n")))
+    u = d.withColumn("_level", F.col("md10")).withColumn("_n", F.lit(0)).unionByName(below, allowMissingColumns=True)
+    lower = u.withColumn("_low", _band("_n", ["sales_date", group, "_level"], "md_price")).filter("_n = 0")
+    part = ["sales_date", group]
+    out = (lower.withColumn("_all", _band("1", part, "md_price"))
+           .withColumn("_sale", _band("IF(md10 < 10, 1, 0)", part, "md_price")))
+    return out.select(key, "sales_date", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(n) for c, n in (
+        ("_all", "num_styles_in_group"), ("_sale", "num_styles_on_sale_in_group"), ("_low", "num_styles_lower_MD_in_group"))])
 
 
 # ------------------------------------------------------ band sums
@@ -93,9 +100,7 @@ def band_sums(population: DataFrame, probes: DataFrame, group: str = "grp") -> D
                             (F.col("md1") * F.col("inv_qty")).alias("_md_inv"),
                             F.lit(False).alias("_probe"))
     u = probes.withColumn("_probe", F.lit(True)).unionByName(pop, allowMissingColumns=True)
-    wn, ww = _band_frames(["_pdate", group], "_pprice")
-    p = F.col("_pprice")
-    sums = {name: _pick(p, F.sum(c).over(wn), F.sum(c).over(ww))
+    sums = {name: _band(c, ["_pdate", group], "_pprice")
             for name, c in (("_s_inv", "_inv"), ("_s_aur", "_aur_inv"), ("_s_md", "_md_inv"))}
     return (u.select("*", *[c.alias(k) for k, c in sums.items()]).filter("_probe")
             .drop("_probe", "_inv", "_aur_inv", "_md_inv"))
@@ -201,14 +206,17 @@ def competitive_position(df: DataFrame, group_cols: Sequence[str], grp_name: str
     """Among rows of the group within +/- rng of the row's price:
     weight (md x inv) / mean weight (999 when the mean is not > 0), row
     count, and position = rows with a strictly better rank value / count
-    (2 decimals; ascending: smaller is better)."""
-    w = Window.partitionBy(*group_cols).orderBy(F.col(price_col)).rangeBetween(-int(rng), int(rng))
+    (2 decimals; ascending: smaller is better). Rows without a group are dropped
+    (P3); ``rng`` may be any number."""
+    df = df.dropna(subset=list(group_cols))
+    frame = (f"OVER (PARTITION BY {', '.join(group_cols)} ORDER BY {price_col} "
+             f"RANGE BETWEEN {float(rng)!r}D PRECEDING AND {float(rng)!r}D FOLLOWING)")
     weight = F.col(md_col) * F.col(inv_col)
-    mean_w = F.avg(weight).over(w)
-    ranks = F.collect_list(F.col(rank_col)).over(w)
+    mean_w = F.expr(f"avg({md_col} * {inv_col}) {frame}")
+    ranks = F.expr(f"collect_list({rank_col}) {frame}")
     own = F.col(rank_col)
     better = F.size(F.filter(ranks, (lambda v: v < own) if ascending else (lambda v: v > own)))
-    n = F.count(F.lit(1)).over(w)
+    n = F.expr(f"count(1) {frame}")
     pre = f"same_{grp_name}_{price_col}"
     return df.select(
         "*",
@@ -236,5 +244,8 @@ def competing_features(df: DataFrame, level: str, rank_fill: str = "past_7_aps")
 def inventory_rank(df: DataFrame, keys: Sequence[str] = ("sales_date", "gender_group"),
                    value: str = "inv_qty") -> DataFrame:
     """Percent rank of inventory within (date, gender), descending,
-    2 decimals (P7 average ties)."""
-    return df.withColumn("inv_qty_rank", np_round(pct_rank_avg(value, list(keys), ascending=False), 2))
+    2 decimals (P7 average ties); NULL without a key (P3)."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return df.withColumn("inv_qty_rank", F.when(known, np_round(pct_rank_avg(value, list(keys), ascending=False), 2)))

@@ -89,9 +89,9 @@ def broad_inventory(inv: DataFrame, store_platform: dict, platform: str, lag_day
     return (x.groupBy("platform", level, "sales_date")
             .agg(F.sum("eop_qty").alias("inv_qty"),
                  F.sum("in_transit_qty").alias("in_transit_qty"),
-                 F.sum("bz_wh_transit_qty").alias("bz_wh_transit_qty"))
+                 F.sum("warehouse_transit_qty").alias("warehouse_transit_qty"))
             .withColumn("broad_inv_qty",
-                        F.col("inv_qty") + F.col("in_transit_qty") + F.col("bz_wh_transit_qty")))
+                        F.col("inv_qty") + F.col("in_transit_qty") + F.col("warehouse_transit_qty")))
 
 
 def join_lagged_inventory(daily: DataFrame, inv_daily: DataFrame,
@@ -109,7 +109,7 @@ def join_attributes(df: DataFrame, attrs: DataFrame, key: str = "prod_code") ->
 
 def data_master(sales: DataFrame, attrs: DataFrame, inv: DataFrame, store_platform: dict,
                 platform: str, lag_days: int = 1) -> DataFrame:
-    """init.py merge: A1 -> J1 -> P-9 -> J2. One row per (platform, date,
+    """The daily data master: A1 -> J1 -> P-9 -> J2. One row per (platform, date,
     product, season, flag)."""
     daily = daily_sku_sales(sales, platform)
     master = markdown_rate(join_attributes(daily, attrs))
@@ -129,10 +129,10 @@ def dedup_keep_ordered(df: DataFrame, keys: Sequence[str], order: Sequence) -> D
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def season_rank(season: F.Column, first_year: int, last_year: int) -> F.Column:
-    """P-17: rank of a season in the ordered list SP, SU, FA, HO of
-    first_year..last_year; the short form SP18 is widened to SP2018 first.
-    Built from the rule, NULL when unmapped (Q14)."""
+def season_rank(season: F.Column, first_year: int = 0) -> F.Column:
+    """P-17: rank of a season in the ordered list SP, SU, FA, HO of the years
+    from first_year on, by arithmetic, with no last year; the short form SP18
+    is widened to SP2018 first. NULL when it is no season (Q14)."""
     s = F.when(F.length(season) == 4,
                F.concat(F.substring(season, 1, 2), F.lit("20"), F.substring(season, 3, 2))
                ).otherwise(season)
@@ -140,7 +140,7 @@ def season_rank(season: F.Column, first_year: int, last_year: int) -> F.Column:
                            F.substring(s, 1, 2))
     yr = F.substring(s, 3, 4).try_cast("int")
     rank = (yr - first_year) * 4 + pos - 1
-    return F.when((pos > 0) & (yr >= first_year) & (yr <= last_year), rank.cast("int"))
+    return F.when(pos > 0, rank.cast("int"))
 
 
 def season_bounds(calendar: DataFrame, date_col: str = "cal_date", season_col: str = "season") -> DataFrame:

@@ -12,9 +12,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,24 +81,28 @@ def drop_overlapping_columns(left: DataFrame, right: DataFrame, keys: Sequence[s
 
 def join_checked(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join that fails if right keys are not unique (the row count
-    would change). The check is an aggregation, evaluated with the join."""
-    dup = right.groupBy(*keys).count().filter("count > 1").limit(1)
-    if dup.count() > 0:
-        raise ValueError("right side of the left join has duplicate keys; row count would change")
-    return left.join(right, list(keys), "left")
+    would change). The check is part of the plan: keys are counted over the
+    partitioning that the join uses, and a second row of a key raises an error
+    when the query runs."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    once = F.assert_true(n == 1, F.lit("right side of the left join has duplicate keys; row count would change"))
+    checked = right.withColumn("_once", once).filter("_once IS NULL").drop("_once")
+    return left.join(checked, list(keys), "left")
 
 
 # ------------------------------------------------------------ sampling
 def resample_rows(df: DataFrame, rm_dates: DataFrame, keep_since: str, under: float, upper: float,
                   seed: int = 82) -> DataFrame:
     """M1: keep RM rows and rows since ``keep_since`` whole, sample the others
-    at ``under``, and add an extra sample of RM rows at ``upper``."""
+    at ``under``, and add an extra sample of RM rows at ``upper``. Which rows are
+    drawn follows from a hash of their values, not from files or partitions."""
+    share = lambda k: F.pmod(F.xxhash64(F.lit(k), *df.columns), F.lit(1 << 30)) / float(1 << 30)
     rm = F.broadcast(rm_dates.select("sales_date").distinct().withColumn("_rm", F.lit(True)))
     x = df.join(rm, "sales_date", "left").fillna(False, subset=["_rm"])
     keep = F.col("_rm") | (F.col("sales_date") >= F.lit(keep_since).cast("date"))
     out = (x.filter(keep)
-           .unionByName(x.filter(~keep).sample(fraction=under, seed=seed))
-           .unionByName(x.filter(F.col("_rm")).sample(fraction=upper, seed=seed + 1)))
+           .unionByName(x.filter(~keep & (share(seed) < under)))
+           .unionByName(x.filter(F.col("_rm") & (share(seed + 1) < upper))))
     return out.drop("_rm")
 
 
@@ -116,15 +120,29 @@ def feature_split(df: DataFrame, exclude: Sequence[str]) -> tuple[list[str], lis
     return num, cat
 
 
-def build_pipeline(num: Sequence[str], cat: Sequence[str], max_iter: int = 30, max_depth: int = 6,
-                   step: float = 0.07, seed: int = 82, max_bins: int = 64) -> Pipeline:
-    """M2 + M4: index categories (unknown kept), assemble, boosted trees."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in cat]
-    vec = VectorAssembler(inputCols=list(num) + [f"{c}__idx" for c in cat], outputCol="features",
-                          handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                       stepSize=step, seed=seed, maxBins=max_bins, lossType="squared")
-    return Pipeline(stages=[*idx, vec, gbt])
+def fit_trees(train: DataFrame, num: Sequence[str], cat: Sequence[str], max_iter: int = 30, max_depth: int = 6,
+              step: float = 0.07, seed: int = 82, min_bins: int = 64, wide: int = 256) -> PipelineModel:
+    """M2 + M4: index categories (unknown kept), assemble, boosted trees. The number
+    of bins follows the widest category, so any number of values can be fitted; a
+    column of more than ``wide`` values enters as an ordered number (its index, by
+    falling frequency), which needs no bin for each value."""
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep").fit(train) for c in cat]
+    size = {c: len(m.labels) + 1 for c, m in zip(cat, idx)}
+    as_number = [c for c in cat if size[c] > wide]
+    plain = SQLTransformer(statement=", ".join(["SELECT *", *(f"CAST(`{c}__idx` AS DOUBLE) + 0 AS `{c}__num`" for c in as_number)])
+                           + " FROM __THIS__")
+    vec = VectorAssembler(inputCols=list(num) + [f"{c}__num" if c in as_number else f"{c}__idx" for c in cat],
+                          outputCol="features", handleInvalid="keep")
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=seed,
+                       maxBins=max([min_bins, *(n for n in size.values() if n <= wide)]), lossType="squared")
+    return Pipeline(stages=[*idx, plain, vec, gbt]).fit(train)
+
+
+def split_by_key(df: DataFrame, keys: Sequence[str], train_ratio: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """M3: (train, test) by a hash of the key columns, so the split is the same
+    however the rows lie in files or partitions."""
+    share = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)) / float(1 << 30)
+    return df.filter(share < train_ratio), df.filter(share >= train_ratio)
 
 
 def encode_missing(df: DataFrame, num: Sequence[str]) -> DataFrame:
@@ -158,8 +176,8 @@ def train_evaluate(df: DataFrame, level: str, numer: str, denom: str | None, tra
     excl = set(exclude) | {level, "label", "y", numer}
     num, cat = feature_split(x, list(excl))
     x = encode_missing(x, num)
-    train, test = x.randomSplit([train_ratio, 1 - train_ratio], seed=seed)
-    model = build_pipeline(num, cat, seed=seed, **params).fit(train)
+    train, test = split_by_key(x, [level, "sales_date"], train_ratio, seed)
+    model = fit_trees(train, num, cat, seed=seed, **params)
     return model, score_forecast(model, test, denom)
 
 

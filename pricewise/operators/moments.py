@@ -137,6 +137,6 @@ FEATURES = ["last_rm_flag", "last_rm_sales_qty", "last_rm_md", "last_rm_qty_rank
 
 
 def moment_features(rm: DataFrame, level: str, cols: Sequence[str] = FEATURES) -> DataFrame:
-    """rm.py main: J12 -> J13 -> W21 -> feature columns."""
+    """The chain of moment features: J12 -> J13 -> W21 -> feature columns."""
     x = moment_history(same_moment_last_year(previous_moment(rm, level), level), level)
     return x.select(level, "sales_date", "gender_group", *cols)

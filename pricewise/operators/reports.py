@@ -38,8 +38,8 @@ def forecast_summary(scored: DataFrame, by: str = "gender_group", full_price_md:
     return (scored.filter(F.col(pred).isNotNull()).rollup(by)
             .agg(F.sum(pred).alias("tot_qty"), F.sum(rev).alias("tot_rev"),
                  (F.sum(F.when(full, 1).otherwise(0)) / F.count(F.lit(1))).alias("full_price_share"),
-                 safe_div(F.sum(F.when(full, F.col(pred))), F.sum(pred)).alias("full_price_qty_share"),
-                 safe_div(F.sum(F.when(full, rev)), F.sum(rev)).alias("full_price_amt_share"),
+                 safe_div(F.sum(F.when(full, F.col(pred)).otherwise(0.0)), F.sum(pred)).alias("full_price_qty_share"),
+                 safe_div(F.sum(F.when(full, rev).otherwise(0.0)), F.sum(rev)).alias("full_price_amt_share"),
                  F.grouping(by).cast("int").alias("is_total")))
 
 
@@ -57,24 +57,28 @@ def error_by_group(metrics: DataFrame, g1: str = "gender_group", g2: str = "gc_c
 def accuracy_share(metrics: DataFrame, key: str = "style_cd") -> DataFrame:
     """Amount, qty and row count of rows within / outside the error
     threshold, plus a share row (within / total)."""
-    g = (metrics.groupBy(F.when(F.col("within"), "within").otherwise("outside").alias("bucket"))
+    cols = ["real_amt", "sales_qty", "n_rows"]
+    g = (metrics.groupBy(F.col("within").alias("_w"))
          .agg(F.sum("real_amt").alias("real_amt"), F.sum("sales_qty").alias("sales_qty"),
               F.count(key).cast("double").alias("n_rows")))
-    tot = metrics.agg(*[F.sum(F.when(F.col("within"), c)).alias(f"w_{n}") for n, c in
-                        (("real_amt", F.col("real_amt")), ("sales_qty", F.col("sales_qty")),
-                         ("n_rows", F.lit(1.0)))],
-                      F.sum("real_amt").alias("t_real_amt"), F.sum("sales_qty").alias("t_sales_qty"),
-                      F.count(key).cast("double").alias("t_n_rows"))
-    share = tot.select(F.lit("share").alias("bucket"),
-                       *[safe_div(f"w_{n}", f"t_{n}").alias(n) for n in ("real_amt", "sales_qty", "n_rows")])
-    return g.unionByName(share)
+    # the table is read once: two rows, gathered into one, give all three
+    one = g.agg(*[F.sum(F.when(F.col("_w") == w, F.col(c))).alias(f"{t}_{c}") for w, t in ((True, "w"), (False, "o")) for c in cols],
+                *[F.sum(c).alias(f"t_{c}") for c in cols],
+                *[F.max(F.col("_w") == w).alias(f"has_{t}") for w, t in ((True, "w"), (False, "o"))])
+
+    def row(name, there, make):
+        return F.struct(F.lit(name).alias("bucket"), *[make(c).alias(c) for c in cols], there.alias("_there"))
+    rows = F.array(row("within", F.coalesce("has_w", F.lit(False)), lambda c: F.col(f"w_{c}")),
+                   row("outside", F.coalesce("has_o", F.lit(False)), lambda c: F.col(f"o_{c}")),
+                   row("share", F.lit(True), lambda c: safe_div(F.coalesce(f"w_{c}", F.lit(0.0)), f"t_{c}")))
+    return one.select(F.inline(rows)).filter("_there").drop("_there")
 
 
 def weighted_accuracy(metrics: DataFrame, threshold: float = 0.3) -> DataFrame:
     """Median error; qty-weighted and row share of rows with error <= threshold."""
     ok = F.col("MAPE_qty") <= threshold
     return metrics.agg(F.percentile("MAPE_qty", 0.5).alias("median_mape"),
-                       safe_div(F.sum(F.when(ok, F.col("sales_qty"))), F.sum("sales_qty")).alias("qty_share_within"),
+                       safe_div(F.sum(F.when(ok, F.col("sales_qty")).otherwise(0.0)), F.sum("sales_qty")).alias("qty_share_within"),
                        (F.sum(F.when(ok, 1).otherwise(0)) / F.count(F.lit(1))).alias("row_share_within"))
 
 
@@ -97,22 +101,21 @@ def cumulative_share(metrics: DataFrame, level: str, share: float = 0.3, pred: s
 
 def confusion_matrix(scored: DataFrame, real: str, predicted: str, bins: int = 15) -> DataFrame:
     """edges = quantiles of the rounded real boost (duplicates dropped);
-    real and predicted boosts are cut on the same right-closed edges (the
-    first bin includes its left edge); counts per (real bin, predicted bin)
-    and the diagonal share."""
+    real and predicted boosts are cut on the same right-closed edges, the lowest
+    of which is open a thousandth below, so that a boost equal to it is in the
+    first bin; counts per (real bin, predicted bin) and the diagonal share."""
     probs = [i / bins for i in range(bins + 1)]
     edges = scored.agg(F.array_distinct(F.percentile(F.rint(real), probs)).alias("_e"))
     x = scored.crossJoin(F.broadcast(edges))  # one row of <= bins + 1 edges
 
-    def bin_of(c, include_lowest):
-        # index i such that e[i-1] < v <= e[i]; v == e[0] is bin 1 only for the
-        # quantile cut of the real boost
-        lo = F.col(c) >= F.element_at("_e", 1) if include_lowest else F.col(c) > F.element_at("_e", 1)
+    def bin_of(c):
+        # index i such that e[i-1] < v <= e[i], with e[0] lowered
+        lo = F.col(c) > F.element_at("_e", 1) - 0.001
         return F.when(lo & (F.col(c) <= F.element_at("_e", -1)),
                       F.greatest(F.lit(1), F.size(F.filter("_e", lambda e: e < F.col(c)))))
 
     x = x.withColumn("_rb", F.rint(real))
-    cm = (x.select(bin_of("_rb", True).alias("real_bin"), bin_of(predicted, False).alias("pred_bin"))
+    cm = (x.select(bin_of("_rb").alias("real_bin"), bin_of(predicted).alias("pred_bin"))
           .filter(F.col("real_bin").isNotNull() & F.col("pred_bin").isNotNull())
           .groupBy("real_bin", "pred_bin").count())
     w = Window.partitionBy()

@@ -30,7 +30,7 @@ def style_rollup(sku: DataFrame, attr_cols: Sequence[str] = ATTR_COLS) -> DataFr
     attrs = [c for c in attr_cols if c in sku.columns]
     best = F.max_by(F.struct(*attrs), F.struct("sales_qty", "prod_code"))
     agg = (sku.groupBy(*keys)
-           .agg(F.sum("sales_qty").alias("sales_qty"), F.sum("sales_amt").alias("sales_amt"),
+           .agg(sum0("sales_qty").alias("sales_qty"), sum0("sales_amt").alias("sales_amt"),
                 sum0("inv_qty").alias("inv_qty"),
                 # mean md from integer hundredths: an exact sum, so the 1-decimal
                 # md key does not depend on summation order
@@ -79,36 +79,44 @@ def seasons_to_date(df: DataFrame, bounds: DataFrame, level: str = "prod_code",
 
 
 def first_dates(df: DataFrame, bounds: DataFrame, level: str = "prod_code") -> dict[str, DataFrame]:
-    """A10: first sale date per product; first date of the product inside each
-    calendar season; first date inside the season at each md level."""
-    cal = with_calendar_season(df, bounds)
+    """A10: first sale date per product; first row of the product inside each
+    calendar season; first row inside the season at each md level. The season of
+    a first row is the row's own, which need not be the calendar's; of several
+    calendar seasons whose first row has one season, the earliest date counts."""
+    cal = with_calendar_season(df, bounds).filter(F.col("cal_season").isNotNull() & F.col(level).isNotNull())
+
+    def first(keys, out):
+        row = F.min(F.struct("sales_date", "season1"))
+        return (cal.groupBy(*keys, "cal_season").agg(row.alias("_f"))
+                .groupBy(*keys, F.col("_f.season1").alias("season1")).agg(F.min("_f.sales_date").alias(out)))
     return {
         "first_sales_date": df.groupBy(level).agg(F.min("sales_date").alias("first_sales_date")),
-        "inseason_1st_day": (cal.filter(F.col("cal_season").isNotNull())
-                             .groupBy(level, F.col("cal_season").alias("season1"))
-                             .agg(F.min("sales_date").alias("inseason_1st_day"))),
-        "this_md_first_day": (cal.filter(F.col("cal_season").isNotNull())
-                              .groupBy(level, "md10", F.col("cal_season").alias("season1"))
-                              .agg(F.min("sales_date").alias("this_md_first_day"))),
+        "inseason_1st_day": first([level], "inseason_1st_day"),
+        "this_md_first_day": first([level, "md10"], "this_md_first_day"),
     }
 
 
 def first_14d_sales(df: DataFrame, bounds: DataFrame, lead: int, level: str = "prod_code") -> DataFrame:
     """A9 + P-20: over the first 14 days of each season, sum of
-    qty / (start + 14 - in-season first day) and mean md per (product,
-    season); rows dated from season start to start + 13 + lead get NULL."""
+    qty / (start + 14 - in-season first day) and mean md per (product, season of
+    the row); rows dated from season start to start + 13 + lead get NULL. Rows of
+    one season in the first days of two calendar seasons each divide by their own
+    days; the earlier calendar season's value counts."""
     firsts = first_dates(df, bounds, level)["inseason_1st_day"]
     # first 14 days of each season, one row per day: an equi join on the day
     days14 = bounds.select(F.col("season1").alias("_s"), "season_start",
                            F.explode(F.sequence("season_start", F.date_add("season_start", 13))).alias("_d14"))
     early = (df.join(F.broadcast(days14), F.col("sales_date") == F.col("_d14"))
-             .drop("_s", "_d14")
+             .drop("_d14")
              .join(firsts, [level, "season1"], "left")
              .withColumn("_days", F.datediff(F.date_add("season_start", 14), "inseason_1st_day")))
-    agg = (early.groupBy(level, "season1")
-           # the day count is constant per (product, season): divide the exact sum once
-           .agg(F.try_divide(F.sum("sales_qty"), F.max("_days")).alias("first_14d_APS"),
-                F.avg("md1").alias("first_14d_avg_md")))
+    agg = (early.groupBy(level, "season1", "season_start")
+           # the day count is constant here: divide the exact sum once
+           .agg(F.try_divide(sum0("sales_qty"), F.max("_days")).alias("first_14d_APS"),
+                F.avg("md1").alias("first_14d_avg_md"))
+           .groupBy(level, "season1")
+           .agg(F.min(F.struct("season_start", "first_14d_APS", "first_14d_avg_md")).alias("_a"))
+           .select(level, "season1", "_a.first_14d_APS", "_a.first_14d_avg_md"))
     rows = df.select(level, "sales_date", "season1").distinct().join(agg, [level, "season1"], "left")
     masked = with_calendar_season(rows, bounds)
     in_gap = ((F.col("sales_date") >= F.col("season_start"))

@@ -13,7 +13,7 @@ from pricewise.sources.fixtures import STORE_PLATFORM, RetailViews
 PLATFORM = "MAIN"          # the platform the model is built for
 DIVISION = "FOOTWEAR"      # the division the features are built for
 LEAD = 32                  # days between forecast and sale (reference default)
-SHIFT = 14                 # shift of the rolling / history features
+SHIFT = LEAD               # shift of the rolling / history features: nothing inside the lead gap
 FCST_DATE = "2001-09-09"   # forecast day of the registered plans (a retail-moment start)
 FCST_TRAFFIC = 5000000     # planned site traffic for the forecast day (P-19)
 

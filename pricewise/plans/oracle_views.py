@@ -18,8 +18,8 @@ VIEWS = {
   SELECT o.o_orderpriority AS store_nm,
          CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN 'SIDE' ELSE 'MAIN' END AS platform,
          CAST(l.l_shipdate AS DATE) AS sales_date,
-         (CASE quarter(l.l_shipdate) WHEN 1 THEN 'SP' WHEN 2 THEN 'SU' WHEN 3 THEN 'FA' ELSE 'HO' END)
-           || CAST(year(l.l_shipdate) AS VARCHAR) AS season1,
+         (CASE quarter(l.l_shipdate - t.back) WHEN 1 THEN 'SP' WHEN 2 THEN 'SU' WHEN 3 THEN 'FA' ELSE 'HO' END)
+           || CAST(year(l.l_shipdate - t.back) AS VARCHAR) AS season1,
          CASE WHEN (s.brand_no + quarter(l.l_shipdate)) % 3 = 0 THEN 'N' ELSE 'Y' END AS inseason_flag1,
          s.style_cd, s.prod_code, CAST(s.p_size AS VARCHAR) AS size_cd,
          CAST(s.p_size * 50 AS DOUBLE) AS MSRP,
@@ -29,12 +29,14 @@ VIEWS = {
          l.l_linenumber AS line_no
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part_sku s ON l.l_partkey = s.p_partkey""",
+  JOIN part_sku s ON l.l_partkey = s.p_partkey
+  JOIN (VALUES (true, INTERVAL 3 MONTH), (false, INTERVAL 0 MONTH)) AS t(off, back)
+    ON t.off = ((s.brand_no + quarter(l.l_shipdate)) % 3 = 0)""",
     "attributes": """
   SELECT prod_code, style_cd AS style_number,
          CASE WHEN p_type = 'PROMO' THEN 'OTHER' ELSE 'FOOTWEAR' END AS division,
          'G' || CAST(brand_no % 2 AS VARCHAR) AS gender_group,
-         'C' || CAST(brand_no % 3 AS VARCHAR) AS gc_category,
+         CASE WHEN brand_no <> 23 THEN 'C' || CAST(brand_no % 3 AS VARCHAR) END AS gc_category,
          'M' || CAST(brand_no % 5 AS VARCHAR) AS model,
          p_type AS class_platform,
          CASE WHEN brand_no % 4 = 0 THEN NULL ELSE 'P' || CAST(brand_no % 4 AS VARCHAR) END AS power_item,
@@ -44,7 +46,7 @@ VIEWS = {
   SELECT store_nm, prod_code, CAST(sales_date - INTERVAL 1 DAY AS DATE) AS eop_dt,
          sum(100.0 - sales_qty) AS eop_qty,
          CAST(sum(line_no) AS DOUBLE) AS in_transit_qty,
-         CAST(2 * sum(line_no) AS DOUBLE) AS bz_wh_transit_qty
+         CAST(2 * sum(line_no) AS DOUBLE) AS warehouse_transit_qty
   FROM sales_trans GROUP BY store_nm, prod_code, CAST(sales_date - INTERVAL 1 DAY AS DATE)""",
     "season_calendar": """
   SELECT CAST(d AS DATE) AS cal_date,
@@ -71,7 +73,7 @@ VIEWS = {
   FROM orders GROUP BY o_orderpriority, CAST(o_orderdate AS DATE)""",
     "color_lexicon": """
   SELECT DISTINCT split_part(p_name, ' ', 1) AS color FROM part""",
-    # data master (init.py merge) for platform MAIN, inventory lagged one day
+    # data master for platform MAIN, inventory lagged one day
     "master": """
   SELECT d.platform, d.sales_date, d.prod_code, d.season1, d.inseason_flag1,
          d.sales_qty, d.sales_amt, d.MSRP,

@@ -34,10 +34,10 @@ WITH {SKUB},
 d AS (SELECT style_cd, sales_date, grp, md10, md_price, lo, hi FROM
         (SELECT *, row_number() OVER (PARTITION BY style_cd, sales_date ORDER BY md10, prod_code) AS rn FROM skub) z
       WHERE rn = 1)
-SELECT x.style_cd, x.sales_date, count(*) AS num_styles_in_group,
+SELECT x.style_cd, x.sales_date, count(y.style_cd) AS num_styles_in_group,
        CAST(sum(CASE WHEN y.md10 < 10 THEN 1 ELSE 0 END) AS BIGINT) AS num_styles_on_sale_in_group,
        CAST(sum(CASE WHEN y.md10 < x.md10 THEN 1 ELSE 0 END) AS BIGINT) AS num_styles_lower_MD_in_group
-FROM d x JOIN d y ON y.sales_date = x.sales_date AND y.grp = x.grp AND y.md_price BETWEEN x.lo AND x.hi
+FROM d x LEFT JOIN d y ON y.sales_date = x.sales_date AND y.grp = x.grp AND y.md_price BETWEEN x.lo AND x.hi
 GROUP BY x.style_cd, x.sales_date""")
 def price_band_competitors(spark, sf_dir):
     """Styles in the group and price band on the same date (all / on sale / lower md)."""
@@ -66,15 +66,17 @@ def inventory_advantage(spark, sf_dir):
 
 
 @register("asof_last_same_md", sql=f"""
-WITH {SKUB},
+WITH {SKUB.replace("skub AS (", "skub AS MATERIALIZED (")},
 src AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY prod_code, md10, sales_date
                                                     ORDER BY sales_amt) AS rn FROM skub) z WHERE rn = 1),
 t AS (SELECT prod_code, md10, sales_date, grp, lo, hi, sales_date - {LEAD} AS probe FROM skub),
-a AS (SELECT t.*, s.sales_date AS ad, s.sales_qty AS aq, s.inv_qty AS ainv, s.md_price AS ap, s.md1 AS am
+-- the population by (date, group, price): what the bands are summed over
+pop AS MATERIALIZED (SELECT sales_date, grp, md_price, sum(inv_qty) AS si, sum(md_price * inv_qty) AS sa, sum(md1 * inv_qty) AS sm
+        FROM skub GROUP BY sales_date, grp, md_price),
+a AS MATERIALIZED (SELECT t.*, s.sales_date AS ad, s.sales_qty AS aq, s.inv_qty AS ainv, s.md_price AS ap, s.md1 AS am
       FROM t ASOF LEFT JOIN src s ON t.prod_code = s.prod_code AND t.md10 = s.md10 AND t.probe >= s.sales_date),
-band AS (SELECT a.prod_code, a.sales_date, sum(y.inv_qty) AS si, sum(y.md_price * y.inv_qty) AS sa,
-                sum(y.md1 * y.inv_qty) AS sm
-         FROM a JOIN skub y ON y.sales_date = a.ad AND y.grp = a.grp AND y.md_price BETWEEN a.lo AND a.hi
+band AS (SELECT a.prod_code, a.sales_date, sum(y.si) AS si, sum(y.sa) AS sa, sum(y.sm) AS sm
+         FROM a JOIN pop y ON y.sales_date = a.ad AND y.grp = a.grp AND y.md_price BETWEEN a.lo AND a.hi
          GROUP BY a.prod_code, a.sales_date)
 SELECT a.prod_code, a.sales_date, CAST(a.md10 AS DOUBLE) / 10 AS md1, a.aq AS aps_last_md,
        date_diff('day', a.ad, a.probe) AS interval_after_last_md,

@@ -138,7 +138,7 @@ r AS (SELECT c.*, round_even((rank() OVER (PARTITION BY season1, gender_group, t
                    + (count(*) OVER (PARTITION BY season1, gender_group, t, cum) - 1) / 2.0)
                    / count(cum) OVER (PARTITION BY season1, gender_group, t), 2) AS rk FROM c),
 bi AS (SELECT substr(prod_code, 1, 6) AS style_cd, CAST(eop_dt + {LEAD} AS DATE) AS sales_date,
-              sum(eop_qty) + sum(in_transit_qty) + sum(bz_wh_transit_qty) AS broad_inv_qty
+              sum(eop_qty) + sum(in_transit_qty) + sum(warehouse_transit_qty) AS broad_inv_qty
        FROM inventory WHERE store_nm <> '4-NOT SPECIFIED' GROUP BY 1, 2),
 o AS (SELECT s.style_cd, s.sales_date, s.season1, r.cum AS sn_cum_qty, r.rk AS sn_cum_qty_rank,
              round_even(r.cum / (bi.broad_inv_qty + r.cum), 2) AS sn_to_date_st,

@@ -16,7 +16,7 @@ from pricewise.operators import timefeatures as tf
 from pricewise.plans import base
 from pricewise.plans.catalog import register
 from pricewise.plans.q_ingest import MASTER_COLS
-from pricewise.plans.q_time import rolling_ctes
+from pricewise.plans.q_time import first_in_season, rolling_ctes
 from pricewise.sources.fixtures import season_of
 from pricewise.streaming import increment as inc
 
@@ -59,12 +59,10 @@ def price_buckets(spark, sf_dir):
     return x.select("style_cd", "sales_date", "AUR", "price_band", "AUR_band", "MSRP_pos")
 
 
-@register("days_since_columns", sql="""
+@register("days_since_columns", sql=f"""
 WITH f AS (SELECT prod_code, min(sales_date) AS first_sales_date FROM sku GROUP BY 1),
-i AS (SELECT x.prod_code, b.season1, min(x.sales_date) AS inseason_1st_day
-      FROM sku x JOIN bounds b ON x.sales_date BETWEEN b.season_start AND b.season_end GROUP BY 1, 2),
-m AS (SELECT x.prod_code, x.md10, b.season1, min(x.sales_date) AS this_md_first_day
-      FROM sku x JOIN bounds b ON x.sales_date BETWEEN b.season_start AND b.season_end GROUP BY 1, 2, 3),
+i AS (SELECT prod_code, season1, d AS inseason_1st_day FROM {first_in_season("prod_code")} q),
+m AS (SELECT prod_code, md10, season1, d AS this_md_first_day FROM {first_in_season("prod_code", "md10")} q),
 rs AS (SELECT ((CASE quarter(sales_date) WHEN 1 THEN 'SP' WHEN 2 THEN 'SU' WHEN 3 THEN 'FA' ELSE 'HO' END)
                || CAST(year(sales_date) AS VARCHAR)) AS season1, sales_date AS rm_start
        FROM rm_calendar WHERE rm_name = '99' AND day_number = 1)
@@ -146,7 +144,7 @@ def refresh_days_on_market(spark, sf_dir):
     increment = sku.crossJoin(F.broadcast(hw)).filter(F.col("sales_date") > F.col("_hw")).drop("_hw")
     master = ingest.append_increment(stock, increment)
     new = tf.days_on_market(master)
-    return inc.replace_date_window(old, new, REFRESH_FROM, "2100-12-31")
+    return inc.replace_date_window(old, new, REFRESH_FROM)
 
 
 # --------------------------------------------------------------- reports

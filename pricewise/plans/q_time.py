@@ -13,7 +13,7 @@ from pricewise.sources.fixtures import season_of
 
 LEAD = base.LEAD
 SHIFT = base.SHIFT
-RANK_YEARS = (1990, 2030)   # season ordinal list SP1990 .. HO2030, built from the rule
+FIRST_YEAR = 1990   # the season ordinals count from SP1990
 
 
 def _sku(spark, sf_dir):
@@ -76,16 +76,25 @@ def seasons_to_date(spark, sf_dir):
     return a7.join(a8, ["prod_code", "season1"])
 
 
-@register("first_dates", sql="""
-SELECT s.prod_code, s.sales_date, s.md1, f.first_sales_date, i.inseason_1st_day, m.this_md_first_day
+def first_in_season(*keys: str) -> str:
+    """SQL for the first row of the keys in each calendar season: the keys, the
+    row's season1, and its date d."""
+    k = ", ".join(keys)
+    of_x = ", ".join(f"x.{c}" for c in keys)
+    return f"""(SELECT {k}, season1, min(sales_date) AS d FROM
+    (SELECT {of_x}, x.season1, x.sales_date,
+            row_number() OVER (PARTITION BY {of_x}, b.season1 ORDER BY x.sales_date, x.season1) AS rn
+     FROM sku x JOIN bounds b ON x.sales_date BETWEEN b.season_start AND b.season_end) z
+  WHERE rn = 1 GROUP BY {k}, season1)"""
+
+
+@register("first_dates", sql=f"""
+SELECT s.prod_code, s.sales_date, s.md1, f.first_sales_date, i.d AS inseason_1st_day, m.d AS this_md_first_day
 FROM sku s
 LEFT JOIN (SELECT prod_code, min(sales_date) AS first_sales_date FROM sku GROUP BY 1) f
   ON s.prod_code = f.prod_code
-LEFT JOIN (SELECT x.prod_code, b.season1, min(x.sales_date) AS inseason_1st_day
-           FROM sku x JOIN bounds b ON x.sales_date BETWEEN b.season_start AND b.season_end GROUP BY 1, 2) i
-  ON s.prod_code = i.prod_code AND s.season1 = i.season1
-LEFT JOIN (SELECT x.prod_code, x.md10, b.season1, min(x.sales_date) AS this_md_first_day
-           FROM sku x JOIN bounds b ON x.sales_date BETWEEN b.season_start AND b.season_end GROUP BY 1, 2, 3) m
+LEFT JOIN {first_in_season("prod_code")} i ON s.prod_code = i.prod_code AND s.season1 = i.season1
+LEFT JOIN {first_in_season("prod_code", "md10")} m
   ON s.prod_code = m.prod_code AND s.md10 = m.md10 AND s.season1 = m.season1""")
 def first_dates(spark, sf_dir):
     """A10: first sale date; first in-season day; first day at this md in season."""
@@ -107,15 +116,13 @@ SELECT r.prod_code, r.sales_date, r.season1,
        ELSE e.first_14d_avg_md END AS first_14d_avg_md
 FROM (SELECT DISTINCT prod_code, sales_date, season1 FROM sku) r
 LEFT JOIN bounds rb ON r.sales_date BETWEEN rb.season_start AND rb.season_end
-LEFT JOIN (
-  SELECT s.prod_code, s.season1,
-         sum(s.sales_qty) / max(date_diff('day', f.inseason_1st_day, b.season_start + 14)) AS first_14d_APS,
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY prod_code, season1 ORDER BY season_start) AS rn FROM (
+  SELECT s.prod_code, s.season1, b.season_start,
+         sum(s.sales_qty) / max(date_diff('day', f.d, b.season_start + 14)) AS first_14d_APS,
          avg(s.md1) AS first_14d_avg_md
   FROM sku s JOIN bounds b ON s.sales_date BETWEEN b.season_start AND b.season_start + 13
-  LEFT JOIN (SELECT x.prod_code, b2.season1, min(x.sales_date) AS inseason_1st_day
-             FROM sku x JOIN bounds b2 ON x.sales_date BETWEEN b2.season_start AND b2.season_end
-             GROUP BY 1, 2) f ON f.prod_code = s.prod_code AND f.season1 = s.season1
-  GROUP BY s.prod_code, s.season1) e
+  LEFT JOIN {first_in_season("prod_code")} f ON f.prod_code = s.prod_code AND f.season1 = s.season1
+  GROUP BY s.prod_code, s.season1, b.season_start) y) z WHERE rn = 1) e
   ON r.prod_code = e.prod_code AND r.season1 = e.season1""")
 def first_14d_sales(spark, sf_dir):
     """A9 + P-20: first-14-day APS and md per (product, season), masked in the gap days."""
@@ -145,13 +152,13 @@ def inseason_md_stats(spark, sf_dir):
 
 
 def _rank_sql(season_expr: str) -> str:
-    y0 = RANK_YEARS[0]
+    y0 = FIRST_YEAR
     return (f"((CAST(substr({season_expr}, 3, 4) AS INTEGER) - {y0}) * 4 + "
             f"CASE substr({season_expr}, 1, 2) WHEN 'SP' THEN 0 WHEN 'SU' THEN 1 "
             f"WHEN 'FA' THEN 2 WHEN 'HO' THEN 3 END)")
 
 
-_DATE_RANK = f"((year({{d}}) - {RANK_YEARS[0]}) * 4 + quarter({{d}}) - 1)"
+_DATE_RANK = f"((year({{d}}) - {FIRST_YEAR}) * 4 + quarter({{d}}) - 1)"
 
 
 @register("same_md_frequency", sql=f"""
@@ -168,8 +175,8 @@ FROM style a""")
 def same_md_frequency(spark, sf_dir):
     """W5 + W6: running count at this md, and its in-season part (style level)."""
     s = _style(spark, sf_dir)
-    s = (s.withColumn("season_rank", ingest.season_rank(F.col("season1"), *RANK_YEARS))
-         .withColumn("cal_rank", ingest.season_rank(season_of(F.col("sales_date")), *RANK_YEARS)))
+    s = (s.withColumn("season_rank", ingest.season_rank(F.col("season1"), FIRST_YEAR))
+         .withColumn("cal_rank", ingest.season_rank(season_of(F.col("sales_date")), FIRST_YEAR)))
     s = tf.inseason_md_frequency(tf.same_md_frequency(s, "style_cd"), "style_cd", "season_rank", "cal_rank")
     return s.select("style_cd", "sales_date", "md1", "same_md_hist_frequency", "same_md_inseason_freq")
 

@@ -22,13 +22,16 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
 }
 
 
-def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app: str = "pricewise", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """A session with the settings above. The master and the size of the driver's
+    heap are the caller's (or the submit command's)."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -49,10 +52,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; make a scratch one only when unset
-    (local tests)."""
+    """The session's checkpoint folder. Where none is set, a scratch folder is made
+    in local mode only: on a cluster the executors would not see it."""
     found = checkpoint_dir(spark)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="pricewise-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
@@ -67,3 +72,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/pricewise-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Remove the files of a materialised frame that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/pricewise-stage/" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

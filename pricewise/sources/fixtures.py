@@ -2,7 +2,7 @@
 
 Every view is a lazy DataFrame over the parquet files, so filters and column
 pruning reach the scans. The same definitions exist as DuckDB CTEs in
-``pricewise.plans.oracle`` for the SQL oracle.
+``pricewise.plans.oracle_views`` for the SQL oracle.
 
 Join strategy: lineitem x orders and lineitem x part are fact x large-dimension
 joins; their sides grow with the data, so no broadcast is forced and Spark/AQE
@@ -90,15 +90,16 @@ class RetailViews:
         k = F.round(F.col("l_discount") * 100.0)
         md_pct = F.lit(100.0) - F.lit(5.0) * k
         msrp = (F.col("p_size") * 50).cast("double")
+        off = (F.col("brand_no") + F.quarter(sales_date)) % 3 == 0
         return (li.join(orders, li.l_orderkey == orders.o_orderkey)
                 .join(sku, li.l_partkey == sku.p_partkey)
                 .select(
                     F.col("o_orderpriority").alias("store_nm"),
                     map_column(F.col("o_orderpriority"), STORE_PLATFORM).alias("platform"),
                     sales_date.alias("sales_date"),
-                    season_of(sales_date).alias("season1"),
-                    F.when((F.col("brand_no") + F.quarter(sales_date)) % 3 == 0, F.lit("N"))
-                     .otherwise(F.lit("Y")).alias("inseason_flag1"),
+                    # out-of-season rows sell goods of the season before
+                    F.when(off, season_of(F.add_months(sales_date, -3))).otherwise(season_of(sales_date)).alias("season1"),
+                    F.when(off, F.lit("N")).otherwise(F.lit("Y")).alias("inseason_flag1"),
                     "style_cd", "prod_code",
                     F.col("p_size").cast("string").alias("size_cd"),
                     msrp.alias("MSRP"),
@@ -122,7 +123,7 @@ class RetailViews:
                     F.when(F.col("p_type") == PROMO_TYPE, F.lit("OTHER"))
                      .otherwise(F.lit("FOOTWEAR")).alias("division"),
                     F.concat(F.lit("G"), (b % 2).cast("string")).alias("gender_group"),
-                    F.concat(F.lit("C"), (b % 3).cast("string")).alias("gc_category"),
+                    F.when(b != 23, F.concat(F.lit("C"), (b % 3).cast("string"))).alias("gc_category"),
                     F.concat(F.lit("M"), (b % 5).cast("string")).alias("model"),
                     F.col("p_type").alias("class_platform"),
                     F.when(b % 4 == 0, F.lit(None).cast("string"))
@@ -138,7 +139,7 @@ class RetailViews:
         return (s.groupBy("store_nm", "prod_code", F.date_sub("sales_date", 1).alias("eop_dt"))
                 .agg(F.sum(100.0 - F.col("sales_qty")).alias("eop_qty"),
                      F.sum("line_no").cast("double").alias("in_transit_qty"),
-                     (2 * F.sum("line_no")).cast("double").alias("bz_wh_transit_qty")))
+                     (2 * F.sum("line_no")).cast("double").alias("warehouse_transit_qty")))
 
     # ------------------------------------------------------------ calendars
     def _date_bounds(self) -> DataFrame:

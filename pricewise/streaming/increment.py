@@ -19,19 +19,41 @@ def _d(x):
     return F.lit(x).cast("date")
 
 
-def replace_date_window(old: DataFrame, new: DataFrame, start: str, end: str,
+def _inside(date_col: str, start: str, end: str | None):
+    d = F.col(date_col)
+    return d >= _d(start) if end is None else d.between(_d(start), _d(end))
+
+
+def replace_date_window(old: DataFrame, new: DataFrame, start: str, end: str | None = None,
                         date_col: str = "sales_date") -> DataFrame:
-    """Old rows outside [start, end] plus new rows inside, old column order."""
-    keep = old.filter((F.col(date_col) < _d(start)) | (F.col(date_col) > _d(end)))
-    fresh = new.filter(F.col(date_col).between(_d(start), _d(end)))
-    return keep.unionByName(fresh.select(*old.columns))
+    """Old rows outside [start, end] plus new rows inside, old column order.
+    The window is open after ``start`` when ``end`` is None; old rows without a
+    date stay."""
+    keep = old.filter(~F.coalesce(_inside(date_col, start, end), F.lit(False)))
+    return keep.unionByName(new.filter(_inside(date_col, start, end)).select(*old.columns))
 
 
-def write_date_window(df: DataFrame, path: str, date_col: str = "sales_date") -> None:
-    """S8 + S12 on disk: parquet partitioned by date; only the dates present
-    in ``df`` are overwritten (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(date_col).parquet(path))
+def write_date_window(df: DataFrame, path: str, start: str | None = None, end: str | None = None,
+                      date_col: str = "sales_date") -> None:
+    """S8 + S12 on disk: a parquet table partitioned by date. Without ``start`` the
+    whole table is written. With it the whole window is replaced: dates of the
+    window that have no new rows lose their folders. Rows are dealt by date, so a
+    date is one task's files."""
+    if start is not None:
+        df = df.filter(_inside(date_col, start, end))
+    out = df.repartition(date_col).write.partitionBy(date_col).mode("overwrite")
+    if start is None:
+        out.parquet(path)
+        return
+    out.option("partitionOverwriteMode", "dynamic").parquet(path)
+    spark = df.sparkSession
+    old = spark.read.parquet(path).filter(_inside(date_col, start, end)).select(date_col).distinct()
+    stale = old.join(df.select(date_col).distinct(), date_col, "left_anti")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for row in stale.collect():  # dates of the window, at most one a day
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{date_col}={row[0]}")
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def reuse_cached(rows: DataFrame, cached: DataFrame, keys: Sequence[str],
