@@ -97,11 +97,12 @@ def band_sums(population: DataFrame, probes: DataFrame, group: str = "grp") -> D
                             F.col("md_price").alias("_pprice"),
                             F.col("inv_qty").alias("_inv"),
                             (F.col("md_price") * F.col("inv_qty")).alias("_aur_inv"),
-                            (F.col("md1") * F.col("inv_qty")).alias("_md_inv"),
+                            (F.rint(F.col("md1") * 10.0) * F.col("inv_qty")).alias("_md_inv"),
                             F.lit(False).alias("_probe"))
     u = probes.withColumn("_probe", F.lit(True)).unionByName(pop, allowMissingColumns=True)
     sums = {name: _band(c, ["_pdate", group], "_pprice")
             for name, c in (("_s_inv", "_inv"), ("_s_aur", "_aur_inv"), ("_s_md", "_md_inv"))}
+    sums["_s_md"] = sums["_s_md"] / 10.0  # added up in tenths, so exactly
     return (u.select("*", *[c.alias(k) for k, c in sums.items()]).filter("_probe")
             .drop("_probe", "_inv", "_aur_inv", "_md_inv"))
 

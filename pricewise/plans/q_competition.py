@@ -49,7 +49,7 @@ WITH {SKUB},
 own AS (SELECT prod_code, sales_date, count(*) AS n, min(inv_qty) AS inv, min(md_price) AS p, min(md1) AS m
         FROM skub GROUP BY prod_code, sales_date),
 band AS (SELECT x.prod_code, x.sales_date, sum(y.inv_qty) AS si, sum(y.md_price * y.inv_qty) AS sa,
-                sum(y.md1 * y.inv_qty) AS sm
+                sum(y.md10 * y.inv_qty) / 10.0 AS sm
          FROM skub x JOIN skub y ON y.sales_date = x.sales_date - {LEAD} AND y.grp = x.grp
                                 AND y.md_price BETWEEN x.lo AND x.hi
          GROUP BY x.prod_code, x.sales_date)
@@ -71,11 +71,11 @@ src AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY prod_code, md10
                                                     ORDER BY sales_amt) AS rn FROM skub) z WHERE rn = 1),
 t AS (SELECT prod_code, md10, sales_date, grp, lo, hi, sales_date - {LEAD} AS probe FROM skub),
 -- the population by (date, group, price): what the bands are summed over
-pop AS MATERIALIZED (SELECT sales_date, grp, md_price, sum(inv_qty) AS si, sum(md_price * inv_qty) AS sa, sum(md1 * inv_qty) AS sm
+pop AS MATERIALIZED (SELECT sales_date, grp, md_price, sum(inv_qty) AS si, sum(md_price * inv_qty) AS sa, sum(md10 * inv_qty) AS sm
         FROM skub GROUP BY sales_date, grp, md_price),
 a AS MATERIALIZED (SELECT t.*, s.sales_date AS ad, s.sales_qty AS aq, s.inv_qty AS ainv, s.md_price AS ap, s.md1 AS am
       FROM t ASOF LEFT JOIN src s ON t.prod_code = s.prod_code AND t.md10 = s.md10 AND t.probe >= s.sales_date),
-band AS (SELECT a.prod_code, a.sales_date, sum(y.si) AS si, sum(y.sa) AS sa, sum(y.sm) AS sm
+band AS (SELECT a.prod_code, a.sales_date, sum(y.si) AS si, sum(y.sa) AS sa, sum(y.sm) / 10.0 AS sm
          FROM a JOIN pop y ON y.sales_date = a.ad AND y.grp = a.grp AND y.md_price BETWEEN a.lo AND a.hi
          GROUP BY a.prod_code, a.sales_date)
 SELECT a.prod_code, a.sales_date, CAST(a.md10 AS DOUBLE) / 10 AS md1, a.aq AS aps_last_md,
