@@ -194,12 +194,25 @@ def daily_by_key(df: DataFrame, keys: Sequence[str], value: str = "sales_qty", h
     return out
 
 
-def same_md_history(df: DataFrame, level: str, shift: int) -> DataFrame:
+def off_dates(df: DataFrame, exclude: DataFrame | None) -> DataFrame:
+    """P-4: the rows whose date isn't in ``exclude`` (sales_date; calendar-bounded)."""
+    if exclude is None:
+        return df
+    return df.join(F.broadcast(exclude.select("sales_date").distinct()), "sales_date", "left_anti")
+
+
+def same_md_history(df: DataFrame, level: str, shift: int, exclude: DataFrame | None = None) -> DataFrame:
     """Per (product, md) running max / min / mean of daily mean qty up to
     date - shift; mean divides by the row count (Q13). NULL unless
-    date - shift is a spine date. One row per (product, md, date)."""
+    date - shift is a spine date. One row per (product, md, date); rows on
+    excluded dates keep their place but give no value, nor a spine date."""
     daily = daily_by_key(df, [level, "md10"])
-    sp = spine(df)
+    if exclude is not None:
+        days = F.broadcast(exclude.select("sales_date").distinct().withColumn("_off", F.lit(True)))
+        on = F.col("_off").isNull()
+        daily = (daily.join(days, "sales_date", "left")
+                 .withColumn("_v", F.when(on, F.col("_v"))).withColumn("_n", F.when(on, F.col("_n"))))
+    sp = spine(off_dates(df, exclude))
     w = (Window.partitionBy(level, "md10").orderBy(day_number("sales_date"))
          .rangeBetween(UNBOUNDED, -shift))
     res = daily.select(level, "md10", "sales_date",
@@ -212,14 +225,15 @@ def same_md_history(df: DataFrame, level: str, shift: int) -> DataFrame:
                       *[F.when(F.col("_on_spine"), F.col(c)).alias(c) for c in cols])
 
 
-def inseason_previous_aps(df: DataFrame, level: str, shift: int) -> DataFrame:
+def inseason_previous_aps(df: DataFrame, level: str, shift: int, exclude: DataFrame | None = None) -> DataFrame:
     """Per (product, md) running mean qty inside one season, read at
     date - shift; the season is that of the spine date date - shift (Q6).
     One row per (product, md, date) of the data; NULL when date - shift is
-    not a spine date (its season is then unknown)."""
-    src = (df.groupBy(level, "md10", "season1", "sales_date")
+    not a spine date (its season is then unknown). Rows on excluded dates are
+    targets only."""
+    src = (off_dates(df, exclude).groupBy(level, "md10", "season1", "sales_date")
            .agg(F.sum("sales_qty").alias("_q"), F.count(F.lit(1)).alias("_n")))
-    season_of_day = F.broadcast(df.select(F.col("sales_date").alias("_sd"),
+    season_of_day = F.broadcast(off_dates(df, exclude).select(F.col("sales_date").alias("_sd"),
                                           F.col("season1").alias("_sseason")).distinct())
     targets = (df.select(level, "md10", "sales_date").distinct()
                .join(season_of_day, F.date_sub("sales_date", shift) == F.col("_sd"), "left")
@@ -284,11 +298,12 @@ def rolling_sales_stats(df: DataFrame, targets: DataFrame, level: str, specs: Se
                          *[F.when(F.col("_on_spine"), F.col(k)).alias(k) for k in cols])
 
 
-def rolling_all_prices(df: DataFrame, level: str, shift: int) -> DataFrame:
+def rolling_all_prices(df: DataFrame, level: str, shift: int, exclude: DataFrame | None = None) -> DataFrame:
     """W1 for N in 1, 3, 7, 14, 21, 28 and max / min / std / median / avg
-    (N = 1: avg only) on all rows: 26 columns."""
+    (N = 1: avg only) on all rows: 26 columns. Excluded dates aren't on the spine;
+    their rows are targets only."""
     specs = [(n, s) for n in (1, 3, 7, 14, 21, 28) for s in STATS if n > 1 or s == "avg"]
-    return rolling_sales_stats(df, df, level, specs, shift)
+    return rolling_sales_stats(off_dates(df, exclude), df, level, specs, shift)
 
 
 def md_split(df: DataFrame, marked_down: bool, rule: str = "reference") -> DataFrame:

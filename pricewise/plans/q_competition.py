@@ -65,10 +65,11 @@ def inventory_advantage(spark, sf_dir):
     return cp.inventory_advantage(_sku(spark, sf_dir), LEAD)
 
 
-@register("asof_last_same_md", sql=f"""
+def _asof_sql(source: str) -> str:
+    return f"""
 WITH {SKUB.replace("skub AS (", "skub AS MATERIALIZED (")},
 src AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY prod_code, md10, sales_date
-                                                    ORDER BY sales_amt) AS rn FROM skub) z WHERE rn = 1),
+                                                    ORDER BY sales_amt) AS rn FROM skub WHERE {source}) z WHERE rn = 1),
 t AS (SELECT prod_code, md10, sales_date, grp, lo, hi, sales_date - {LEAD} AS probe FROM skub),
 -- the population by (date, group, price): what the bands are summed over
 pop AS MATERIALIZED (SELECT sales_date, grp, md_price, sum(inv_qty) AS si, sum(md_price * inv_qty) AS sa, sum(md10 * inv_qty) AS sm
@@ -83,12 +84,21 @@ SELECT a.prod_code, a.sales_date, CAST(a.md10 AS DOUBLE) / 10 AS md1, a.aq AS ap
        CASE WHEN b.si > 0 THEN a.ainv / b.si END AS inv_adv_last_md,
        CASE WHEN b.si > 0 THEN a.ainv * a.ap / b.sa END AS AUR_inv_adv_last_md,
        CASE WHEN b.si > 0 THEN a.ainv * a.am / b.sm END AS md_inv_adv_last_md
-FROM a LEFT JOIN band b ON a.prod_code = b.prod_code AND a.sales_date = b.sales_date""")
+FROM a LEFT JOIN band b ON a.prod_code = b.prod_code AND a.sales_date = b.sales_date"""
+
+
+@register("asof_last_same_md", sql=_asof_sql("TRUE"))
 def asof_last_same_md(spark, sf_dir):
     """J16 + J17: last sale at the same md (as-of, lead days back) and its band shares."""
     return cp.asof_last_same_md(_sku(spark, sf_dir), LEAD)
 
 
+@register("asof_last_same_md_off_moments", sql=_asof_sql("sales_date NOT IN (SELECT sales_date FROM rm_calendar)"))
+def asof_last_same_md_off_moments(spark, sf_dir):
+    """P-4 + J16 + J17: the last sale at the same md off the retail moments."""
+    return cp.asof_last_same_md(_sku(spark, sf_dir), LEAD, exclude=base.views(spark, sf_dir).rm_calendar())
+
+
 @register("competitor_days_same_md", sql=f"""
 WITH {SKUB},
 c AS (SELECT s.*, b.season1 AS cal_season FROM skub s

@@ -309,3 +309,61 @@ FROM r""")
 def markdown_rounds(spark, sf_dir):
     """Markdown round number and day in round (style level)."""
     return tf.markdown_rounds(_style(spark, sf_dir), "style_cd")
+
+
+# ------------------------------------------------- retail-moment dates excluded
+OFF = "sales_date NOT IN (SELECT sales_date FROM rm_calendar)"
+
+
+def _moments(spark, sf_dir):
+    return base.views(spark, sf_dir).rm_calendar()
+
+
+@register("rolling_all_prices_off_moments", sql=_rolling_sql(W2_SPECS, SHIFT, "past_{n}_{stat}_aps", OFF))
+def rolling_all_prices_off_moments(spark, sf_dir):
+    """P-4 + W2: rolling stats over the dates off the retail moments; all rows are targets."""
+    return tf.rolling_all_prices(_style(spark, sf_dir), "style_cd", SHIFT, _moments(spark, sf_dir))
+
+
+@register("same_md_history_off_moments", sql=f"""
+WITH every AS (SELECT DISTINCT style_cd, md10, sales_date FROM style),
+     daily AS (SELECT style_cd, md10, sales_date, avg(sales_qty) AS v, count(*) AS n
+               FROM style WHERE {OFF} GROUP BY style_cd, md10, sales_date),
+     sp AS (SELECT DISTINCT sales_date AS d FROM style WHERE {OFF})
+SELECT t.style_cd, t.md10, t.sales_date,
+  CASE WHEN g.d IS NOT NULL THEN max(s.v) END AS same_md_hist_max_aps,
+  CASE WHEN g.d IS NOT NULL THEN min(s.v) END AS same_md_hist_min_aps,
+  CASE WHEN g.d IS NOT NULL THEN sum(s.v) / sum(s.n) END AS same_md_hist_mean_aps
+FROM every t
+LEFT JOIN daily s ON s.style_cd = t.style_cd AND s.md10 = t.md10 AND s.sales_date <= t.sales_date - {SHIFT}
+LEFT JOIN sp g ON g.d = t.sales_date - {SHIFT}
+GROUP BY t.style_cd, t.md10, t.sales_date, g.d""")
+def same_md_history_off_moments(spark, sf_dir):
+    """P-4 + W7: running APS at this md off the retail moments; all rows are targets."""
+    return tf.same_md_history(_style(spark, sf_dir), "style_cd", SHIFT, _moments(spark, sf_dir))
+
+
+@register("inseason_previous_aps_off_moments", sql=f"""
+WITH t AS (SELECT DISTINCT style_cd, md10, sales_date FROM style),
+     src AS (SELECT * FROM style WHERE {OFF}),
+     sd AS (SELECT DISTINCT sales_date AS d, season1 FROM src)
+SELECT t.style_cd, t.md10, t.sales_date,
+  (SELECT sum(b.sales_qty) / NULLIF(count(*), 0) FROM src b
+    WHERE b.style_cd = t.style_cd AND b.md10 = t.md10 AND b.season1 = sd.season1
+      AND b.sales_date <= t.sales_date - {SHIFT}) AS inseason_previous_md_aps
+FROM t LEFT JOIN sd ON sd.d = t.sales_date - {SHIFT}""")
+def inseason_previous_aps_off_moments(spark, sf_dir):
+    """P-4 + W8: in-season APS at this md off the retail moments; all rows are targets."""
+    return tf.inseason_previous_aps(_style(spark, sf_dir), "style_cd", SHIFT, _moments(spark, sf_dir))
+
+
+@register("inseason_md_stats_off_moments", sql=f"""
+SELECT a.prod_code, a.sales_date, a.md1,
+  (SELECT avg(b.sales_qty) FROM sku b WHERE b.prod_code = a.prod_code AND b.md10 = a.md10 AND b.{OFF}
+     AND b.sales_date >= s.season_start AND b.sales_date <= a.sales_date - {LEAD}) AS inseason_APS_this_md,
+  (SELECT count(*) FROM sku b WHERE b.prod_code = a.prod_code AND b.md10 = a.md10
+     AND b.sales_date >= s.season_start AND b.sales_date <= a.sales_date - {LEAD}) AS num_days_this_md_inseason
+FROM sku a JOIN bounds s ON a.sales_date BETWEEN s.season_start AND s.season_end""")
+def inseason_md_stats_off_moments(spark, sf_dir):
+    """P-4 + W10 + W12: the mean off the retail moments; the day count over all rows."""
+    return tf.inseason_md_window(_sku(spark, sf_dir), _bounds(spark, sf_dir), LEAD, exclude=_moments(spark, sf_dir))
