@@ -92,11 +92,15 @@ def join_checked(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
 
 # ------------------------------------------------------------ sampling
 def resample_rows(df: DataFrame, rm_dates: DataFrame, keep_since: str, under: float, upper: float,
-                  seed: int = 82) -> DataFrame:
+                  seed: int = 82, keys: Sequence[str] | None = None) -> DataFrame:
     """M1: keep RM rows and rows since ``keep_since`` whole, sample the others
     at ``under``, and add an extra sample of RM rows at ``upper``. Which rows are
-    drawn follows from a hash of their values, not from files or partitions."""
-    share = lambda k: F.pmod(F.xxhash64(F.lit(k), *df.columns), F.lit(1 << 30)) / float(1 << 30)
+    drawn follows from a hash of their ``keys`` (all columns by default), not from
+    files or partitions."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys or df.columns]
+
+    def share(k: int):
+        return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(k)), *text)), 1, 8), 16, 10).cast("double") / float(16 ** 8)
     rm = F.broadcast(rm_dates.select("sales_date").distinct().withColumn("_rm", F.lit(True)))
     x = df.join(rm, "sales_date", "left").fillna(False, subset=["_rm"])
     keep = F.col("_rm") | (F.col("sales_date") >= F.lit(keep_since).cast("date"))

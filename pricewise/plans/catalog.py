@@ -41,4 +41,4 @@ def oracle() -> dict[str, str]:
 def _load() -> None:
     # importing the modules registers their plans
     from pricewise.plans import (  # noqa: F401
-        q_ingest, q_time, q_competition, q_moments, q_reports, q_features, q_model)
+        q_ingest, q_time, q_competition, q_moments, q_reports, q_features, q_forecast, q_model)
