@@ -32,7 +32,8 @@ def forecast_metrics(scored: DataFrame, threshold: float = 0.3, pred: str = PRED
 def forecast_summary(scored: DataFrame, by: str = "gender_group", full_price_md: float = 0.8,
                      pred: str = PRED) -> DataFrame:
     """Total qty and revenue of the forecast, share of full-price rows,
-    qty and revenue; overall (is_total = 1) and per group (rollup)."""
+    qty and revenue; overall (is_total = 1) and per group (rollup). Rows without
+    a group count in the total only (P3)."""
     rev = F.col(pred) * F.col("AUR")
     full = F.col("md") > full_price_md
     return (scored.filter(F.col(pred).isNotNull()).rollup(by)
@@ -40,16 +41,19 @@ def forecast_summary(scored: DataFrame, by: str = "gender_group", full_price_md:
                  (F.sum(F.when(full, 1).otherwise(0)) / F.count(F.lit(1))).alias("full_price_share"),
                  safe_div(F.sum(F.when(full, F.col(pred)).otherwise(0.0)), F.sum(pred)).alias("full_price_qty_share"),
                  safe_div(F.sum(F.when(full, rev).otherwise(0.0)), F.sum(rev)).alias("full_price_amt_share"),
-                 F.grouping(by).cast("int").alias("is_total")))
+                 F.grouping(by).cast("int").alias("is_total"))
+            .filter((F.col("is_total") == 1) | F.col(by).isNotNull()))
 
 
 def error_by_group(metrics: DataFrame, g1: str = "gender_group", g2: str = "gc_category",
                    pred: str = PRED) -> DataFrame:
     """Sums of forecast / real qty and amount and their ratio - 1, by
-    gender and by gender x category (grouping sets)."""
+    gender and by gender x category (grouping sets); groups without a key are
+    dropped (P3)."""
     sums = [F.sum("fcst_amt").alias("fcst_amt"), F.sum("real_amt").alias("real_amt"),
             F.sum(np_round(pred, 0)).alias(pred), F.sum("sales_qty").alias("sales_qty")]
     g = metrics.groupingSets([[g1], [g1, g2]], g1, g2).agg(*sums, F.grouping(g2).cast("int").alias("by_gender"))
+    g = g.filter(F.col(g1).isNotNull() & ((F.col("by_gender") == 1) | F.col(g2).isNotNull()))
     return (g.withColumn("mape_amt", safe_div("fcst_amt", "real_amt") - 1)
             .withColumn("mape_qty", safe_div(pred, "sales_qty") - 1))
 

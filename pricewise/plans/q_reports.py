@@ -173,10 +173,10 @@ def _scored(spark, sf_dir):
 @register("forecast_summary", sql="WITH " + SCORED.format(thr=0.3) + """
 SELECT gender_group, sum(predict_sales_qty) AS tot_qty, sum(predict_sales_qty * AUR) AS tot_rev,
   sum(CASE WHEN md > 0.8 THEN 1 ELSE 0 END) / count(*) AS full_price_share,
-  sum(CASE WHEN md > 0.8 THEN predict_sales_qty END) / sum(predict_sales_qty) AS full_price_qty_share,
-  sum(CASE WHEN md > 0.8 THEN predict_sales_qty * AUR END) / sum(predict_sales_qty * AUR) AS full_price_amt_share,
+  sum(CASE WHEN md > 0.8 THEN predict_sales_qty ELSE 0 END) / sum(predict_sales_qty) AS full_price_qty_share,
+  sum(CASE WHEN md > 0.8 THEN predict_sales_qty * AUR ELSE 0 END) / sum(predict_sales_qty * AUR) AS full_price_amt_share,
   CAST(GROUPING(gender_group) AS INTEGER) AS is_total
-FROM sc GROUP BY ROLLUP (gender_group)""")
+FROM sc GROUP BY ROLLUP (gender_group) HAVING GROUPING(gender_group) = 1 OR gender_group IS NOT NULL""")
 def forecast_summary(spark, sf_dir):
     """Forecast totals and full-price shares, overall and by gender."""
     return rp.forecast_summary(_scored(spark, sf_dir))
@@ -188,7 +188,8 @@ SELECT gender_group, gc_category, sum(fcst_amt) AS fcst_amt, sum(real_amt) AS re
   CAST(GROUPING(gc_category) AS INTEGER) AS by_gender,
   sum(fcst_amt) / sum(real_amt) - 1 AS mape_amt,
   sum(round_even(predict_sales_qty, 0)) / sum(sales_qty) - 1 AS mape_qty
-FROM m GROUP BY GROUPING SETS ((gender_group), (gender_group, gc_category))""")
+FROM m GROUP BY GROUPING SETS ((gender_group), (gender_group, gc_category))
+HAVING gender_group IS NOT NULL AND (GROUPING(gc_category) = 1 OR gc_category IS NOT NULL)""")
 def error_by_group(spark, sf_dir):
     """M6 + A16: forecast versus real by gender and by gender x category."""
     return rp.error_by_group(rp.forecast_metrics(_scored(spark, sf_dir), 0.33))
@@ -199,9 +200,9 @@ SELECT CASE WHEN within THEN 'within' ELSE 'outside' END AS bucket, sum(real_amt
        sum(sales_qty) AS sales_qty, CAST(count(style_cd) AS DOUBLE) AS n_rows
 FROM m GROUP BY 1
 UNION ALL
-SELECT 'share', sum(CASE WHEN within THEN real_amt END) / sum(real_amt),
-       sum(CASE WHEN within THEN sales_qty END) / sum(sales_qty),
-       sum(CASE WHEN within THEN 1.0 END) / count(style_cd)
+SELECT 'share', sum(CASE WHEN within THEN real_amt ELSE 0 END) / sum(real_amt),
+       sum(CASE WHEN within THEN sales_qty ELSE 0 END) / sum(sales_qty),
+       sum(CASE WHEN within THEN 1.0 ELSE 0 END) / count(style_cd)
 FROM m""")
 def accuracy_share(spark, sf_dir):
     """Amount / qty / rows within the 0.33 error limit, and their share."""
@@ -210,7 +211,7 @@ def accuracy_share(spark, sf_dir):
 
 @register("weighted_accuracy", sql="WITH " + SCORED.format(thr=0.3) + """
 SELECT median(MAPE_qty) AS median_mape,
-       sum(CASE WHEN MAPE_qty <= 0.3 THEN sales_qty END) / sum(sales_qty) AS qty_share_within,
+       sum(CASE WHEN MAPE_qty <= 0.3 THEN sales_qty ELSE 0 END) / sum(sales_qty) AS qty_share_within,
        sum(CASE WHEN MAPE_qty <= 0.3 THEN 1 ELSE 0 END) / count(*) AS row_share_within
 FROM m""")
 def weighted_accuracy(spark, sf_dir):
@@ -229,3 +230,21 @@ FROM b WINDOW w AS (ORDER BY sales_qty DESC, style_cd ROWS BETWEEN UNBOUNDED PRE
 def cumulative_share(spark, sf_dir):
     """W22 + W23 + O3: top-30% styles by qty, running share and running median error."""
     return rp.cumulative_share(rp.forecast_metrics(_scored(spark, sf_dir), 0.33), "style_cd")
+
+
+PROBS = ", ".join(f"{i}.0 / 15" for i in range(16))
+
+
+def _bin_sql(v: str) -> str:
+    return f"CASE WHEN {v} > e[1] - 0.001 AND {v} <= e[len(e)] THEN greatest(1, len(list_filter(e, lambda x: x < {v}))) END"
+
+
+@register("confusion_matrix", sql="WITH " + SCORED.format(thr=0.33) + f""",
+ed AS (SELECT list_sort(list_distinct(quantile_cont(round_even(sales_qty, 0), [{PROBS}]))) AS e FROM sc),
+bn AS (SELECT CAST({_bin_sql("round_even(sales_qty, 0)")} AS INTEGER) AS real_bin, CAST({_bin_sql("predict_sales_qty")} AS INTEGER) AS pred_bin
+       FROM sc CROSS JOIN ed),
+ct AS (SELECT real_bin, pred_bin, count(*) AS count FROM bn WHERE real_bin IS NOT NULL AND pred_bin IS NOT NULL GROUP BY 1, 2)
+SELECT *, sum(CASE WHEN real_bin = pred_bin THEN count ELSE 0 END) OVER () / sum(count) OVER () AS diag_share FROM ct""")
+def confusion_matrix(spark, sf_dir):
+    """A19 on the baseline forecast: 15 quantile bins of real qty against the forecast's."""
+    return rp.confusion_matrix(_scored(spark, sf_dir), "sales_qty", "predict_sales_qty", 15)
