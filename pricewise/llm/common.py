@@ -50,19 +50,18 @@ def components(edges: DataFrame) -> DataFrame:
     roots and the remaining edges are written as tables after every round; hubs
     are handled by partial aggregation and plain joins.
     """
-    left = materialize(edges.where("a <> b").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), "edges")
-    nodes = left.selectExpr("explode(array(a, b)) AS node").distinct()
-    tree = materialize(nodes.withColumn("root", F.col("node")), "tree")
-    while not left.isEmpty():
+    left, tree = edges.where("a <> b").select("a", "b"), None
+    while tree is None or not left.isEmpty():
         both = left.unionByName(left.selectExpr("b AS a", "a AS b"))
         step = materialize(both.groupBy("a").agg(F.min("b").alias("to"))
                            .selectExpr("a AS node", "least(a, to) AS to"), "step")
-        tree = materialize(
-            tree.join(step.withColumnsRenamed({"node": "root"}), "root", "left")
-            .select("node", F.coalesce("to", "root").alias("root")), "tree")
+        if tree is None:
+            tree = step.withColumnRenamed("to", "root")
+        else:
+            tree = materialize(tree.join(step.withColumnRenamed("node", "root"), "root", "left")
+                               .select("node", F.coalesce("to", "root").alias("root")), "tree")
         a = step.withColumnsRenamed({"node": "a", "to": "ta"})
         b = step.withColumnsRenamed({"node": "b", "to": "tb"})
-        left = materialize(
-            left.join(a, "a").join(b, "b").where("ta <> tb")
-            .selectExpr("least(ta, tb) AS a", "greatest(ta, tb) AS b").distinct(), "edges")
+        left = materialize(left.join(a, "a").join(b, "b").where("ta <> tb")
+                           .selectExpr("least(ta, tb) AS a", "greatest(ta, tb) AS b").distinct(), "edges")
     return tree

@@ -17,11 +17,17 @@ the other's prefix and so shares a single rare shingle or a frequent pair. To
 keep the pairs linear, frequent shingles fall into ``2**level`` groups by hash,
 ``level`` following the set size; a set indexes at its own level and the next.
 
+Each entry states the most that its set can share with a partner if the entry is
+where their first common shingle lies: the shingles from there on, or, for pairs of
+frequent ones, all but the rare. A linked pair shares 3 / 7 of both sizes together, so
+pairs whose entries allow less are no candidates there; the first common shingle's own
+entry never fails this.
+
 **Candidates.** Index entries are sorted by signature and singletons dropped.
 Within a signature a member is compared with a hub, not with all others; members
-that already are in one component need no comparison. Hub rounds go on while the
-pairs left to compare outnumber the entries and keep shrinking; then exactly the
-pairs of different components that share a signature are compared. Every link
+that already are in one component need no comparison. Hub rounds, with new hubs each,
+go on until the pairs left to compare are few against the entries or stop shrinking;
+then exactly the pairs of different components that share a signature are compared. Every link
 between different components is found, so components are exact.
 
 **Verification.** Parity bits of the sets (half a byte per shingle) bound the
@@ -37,6 +43,7 @@ null; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +58,8 @@ from pricewise.llm.ragged import U64, mix, shingle_hashes, slices, text_bytes
 CELLS = 1 << 22
 BLOCKS = 64
 _MASK = U64(CELLS - 1)
+#: Hubs of a round for members that share many signatures.
+HUBS = 16
 #: Frequent shingles of one group in an average document of a level.
 GROUP = 8
 
@@ -118,7 +127,7 @@ def _describe(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
                      pa.array([b], pa.int32()),
-                     pa.array([parts[b].astype(np.uint32).tobytes()], pa.binary())], names=schema.names)
+                     pa.array([zlib.compress(np.minimum(parts[b], 65535).astype(np.uint16).tobytes(), 1)], pa.binary())], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -127,7 +136,7 @@ def _merge_counts(batches):
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for b, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-            part = np.frombuffer(raw, np.uint32).astype(np.int64)
+            part = np.frombuffer(zlib.decompress(raw), np.uint16).astype(np.int64)
             total[b] = total[b] + part if b in total else part
     for b, load in total.items():
         code = np.minimum(255, np.floor(8 * np.log2(1 + load))).astype(np.uint8)
@@ -147,16 +156,17 @@ def _frequency_codes(described: DataFrame) -> tuple[np.ndarray, int]:
     return codes.reshape(-1), min(254, int(8 * np.log2(1 + 2 * mean + 32)))
 
 
-def signatures(shingles: np.ndarray, codes: np.ndarray, frequent: int) -> np.ndarray:
-    """The signatures of one set (see the module's docstring)."""
+def signatures(shingles: np.ndarray, codes: np.ndarray, frequent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of one set (see the module's docstring), and for each the most
+    that the set can share with a partner whose first common shingle is here."""
     n = len(shingles)
     if n < 3:
-        return shingles[:0]  # links with equal sets only
+        return shingles[:0], np.zeros(0, np.int32)  # links with equal sets only
     key = np.sort((codes[(shingles & _MASK).astype(np.int64)].astype(U64) << U64(56)) | (shingles >> U64(8)))
     need = n - (3 * n + 3) // 4 + 1
     rare = int(np.searchsorted(key, U64(frequent + 1) << U64(56)))
     if rare >= need:
-        return mix(key[:need])
+        return mix(key[:need]), n - np.arange(need, dtype=np.int32)
     out, tail = [mix(key[:rare])], key[rare:]
     # sizes of two linked sets differ by 4/3 at most, so their levels by 1 at most
     own = max(0, int(np.floor(np.log2(n / GROUP))))
@@ -171,29 +181,36 @@ def signatures(shingles: np.ndarray, codes: np.ndarray, frequent: int) -> np.nda
             member = tail[:stop][group[:stop] == g]
             i, j = np.triu_indices(len(member), 1)
             out.append(mix(member[i] * U64(3) + mix(member[j]) + U64(level)))
-    return np.unique(np.concatenate(out))
+    sig = np.concatenate(out)
+    return sig, np.r_[n - np.arange(rare), np.full(len(sig) - rare, n - rare)].astype(np.int32)
+
+
+COLUMNS = ["sig", "entity", "n", "most"]
+ENTRY = "sig long, entity long, n int, most int"
 
 
 def _index(docs: DataFrame, codes, frequent: int) -> DataFrame:
-    """(sig, entity, n), each entity once a batch at most."""
+    """(sig, entity, n, most), each entity once a batch at most."""
 
     def run(batches):
         for batch in batches:
             for _, _, sets in _sets(batch, "text"):
-                seen, sig, ids, sizes = set(), [], [], []
+                seen, sig, ids, sizes, most = set(), [], [], [], []
                 for s in sets:
                     e = entity(s)
                     if len(s) and e not in seen:
                         seen.add(e)
-                        sig.append(signatures(s, codes.value, frequent))
+                        found = signatures(s, codes.value, frequent)
+                        sig.append(found[0])
+                        most.append(found[1])
                         ids.append(np.full(len(sig[-1]), e, np.int64))
                         sizes.append(np.full(len(sig[-1]), len(s), np.int32))
                 if sig:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(sig).astype(np.int64)), pa.array(np.concatenate(ids)),
-                         pa.array(np.concatenate(sizes))], names=["sig", "entity", "n"])
+                         pa.array(np.concatenate(sizes)), pa.array(np.concatenate(most))], names=COLUMNS)
 
-    return docs.select("text").mapInArrow(run, "sig long, entity long, n int")
+    return docs.select("text").mapInArrow(run, ENTRY)
 
 
 def _shared(batches):
@@ -202,19 +219,18 @@ def _shared(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, ent, n = (batch.column(c).to_numpy() for c in ("sig", "entity", "n"))
+        rows = [batch.column(c).to_numpy() for c in COLUMNS]
         if held is not None:
-            sig, ent, n = (np.r_[h, x] for h, x in zip(held[:3], (sig, ent, n)))
-        keep = np.r_[True, (sig[1:] != sig[:-1]) | (ent[1:] != ent[:-1])]
-        sig, ent, n = sig[keep], ent[keep], n[keep]
-        same = sig[1:] == sig[:-1]
-        known = np.r_[held is not None and held[3], same]  # equals the one before
+            rows = [np.r_[h, x] for h, x in zip(held[0], rows)]
+        keep = np.r_[True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])]
+        rows = [x[keep] for x in rows]
+        same = rows[0][1:] == rows[0][:-1]
+        known = np.r_[held is not None and held[1], same]  # equals the one before
         known[:-1] |= same
-        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][known[:-1]]) for x in (sig, ent, n)], names=["sig", "entity", "n"])
-        before = bool(same[-1]) if len(same) else bool(known[0])
-        held = (sig[-1:], ent[-1:], n[-1:], before)
-    if held is not None and held[3]:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[:3]], names=["sig", "entity", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][known[:-1]]) for x in rows], names=COLUMNS)
+        held = [x[-1:] for x in rows], bool(same[-1]) if len(same) else bool(known[0])
+    if held is not None and held[1]:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=COLUMNS)
 
 
 def _entity_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -261,14 +277,15 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .where(100 * both >= 75 * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
-_NEAR = "4 * least(n, m) >= 3 * greatest(n, m)"  # a linked pair's sizes
+# a linked pair's sizes, and what it shares: 3 / 7 of both sizes together at least
+_NEAR = "4 * least(n, m) >= 3 * greatest(n, m) AND 7 * least(most, qost) >= 3 * (n + m)"
 
 
 def _links(docs: DataFrame, every: DataFrame, codes, frequent: int) -> DataFrame:
     """Roots (node, root) of the entities that link with another."""
     shared = materialize(
         _index(docs, codes, frequent).repartition("sig").sortWithinPartitions("sig", "entity")
-        .mapInArrow(_shared, "sig long, entity long, n int"), "shared")
+        .mapInArrow(_shared, ENTRY), "shared")
     none = docs.sparkSession.range(0)
     entries = shared.count()
     roots = none.selectExpr("id AS node", "id AS root")
@@ -279,19 +296,21 @@ def _links(docs: DataFrame, every: DataFrame, codes, frequent: int) -> DataFrame
     before, turn = 0, 0
     while entries:
         known = shared.join(roots, shared["entity"] == roots["node"], "left") \
-            .select("sig", "entity", "n", F.coalesce("root", "entity").alias("part"))
+            .select(*COLUMNS, F.coalesce("root", "entity").alias("part"))
         mixed = known.groupBy("sig", "part").agg(F.count("*").alias("k")).groupBy("sig") \
             .agg(F.expr("(sum(k) * sum(k) - sum(k * k)) div 2").alias("open")).where("open > 0")
         todo = mixed.agg(F.sum("open")).first()[0] or 0
         if todo == 0:
             break
-        if last := (turn > 0 and (todo <= entries or todo > 0.8 * before)):
+        if last := (turn > 0 and (todo <= entries // 16 or todo > 0.9 * before)):
             left = known.join(mixed.select("sig"), "sig", "left_semi")
-            other = left.selectExpr("sig", "entity AS b", "n AS m", "part AS qart")
+            other = left.selectExpr("sig", "entity AS b", "n AS m", "most AS qost", "part AS qart")
             pairs = left.withColumnRenamed("entity", "a").join(other, "sig").where(f"part <> qart AND a < b AND {_NEAR}")
         else:
-            hub = known.groupBy("sig").agg(F.min(F.struct(F.xxhash64("entity", F.lit(turn)), "entity", "n", "part")).alias("h")) \
-                .selectExpr("sig", "h.entity AS b", "h.n AS m", "h.part AS qart")
+            # a few hubs for members that share many signatures, not one for each
+            chance = F.xxhash64("entity", F.lit(turn), F.pmod("sig", F.lit(HUBS)))
+            hub = known.groupBy("sig").agg(F.min(F.struct(chance, "entity", "n", "most", "part")).alias("h")) \
+                .selectExpr("sig", "h.entity AS b", "h.n AS m", "h.most AS qost", "h.part AS qart")
             pairs = known.withColumnRenamed("entity", "a").join(hub, "sig").where(f"part <> qart AND {_NEAR}")
         pairs = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "least(n, m) AS n", "greatest(n, m) AS m").distinct()
         close = materialize(
