@@ -37,7 +37,8 @@ from pricewise.llm.ragged import U64, mix, slices, text_bytes
 DROPOUT = 0.1
 VARIANTS = 4
 SEED = 7
-KEPT = 300_000
+KEPT = 150_000
+SLICE = 1_000_000
 _UNIT = re.compile(" +[^ \n]*|[^ \n]+|\n")
 _MARK = "▁"
 
@@ -153,7 +154,7 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "
         for batch in batches:
             text = batch.column(text_col)
             _, off = text_bytes(text)
-            for i, j in slices(off):
+            for i, j in slices(off, SLICE):
                 part = text.slice(i, j - i)
                 flat, at = encoder.encode(part.fill_null("").to_pylist())
                 at = pa.array(at, pa.int32(), mask=np.r_[part.is_null().to_numpy(zero_copy_only=False), False])
