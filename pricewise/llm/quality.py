@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewise.llm.common import fresh, materialize
+from pricewise.llm.common import materialize
 
 ROUNDS = 40
 
@@ -96,7 +96,7 @@ def _rate(kind: str, vote: int, weight: str) -> str:
 
 def fit(voted: DataFrame) -> tuple[float, list[float], list[float]]:
     """Share of good documents, and each rule's accuracy on good and on bad ones, from
-    a frame with a column ``v`` of votes."""
+    a frame with a column ``v`` of votes (null: not judged)."""
     tally = voted.groupBy("v").agg(F.count("*").cast("double").alias("n"))
     k = len(RULES)
     start = f"named_struct('prior', 0.8D, 'good', array_repeat(0.9D, {k}), 'bad', array_repeat(0.5D, {k}))"
@@ -104,7 +104,7 @@ def fit(voted: DataFrame) -> tuple[float, list[float], list[float]]:
         1 / (1 + exp(-{_log_odds("p.prior", "p.good", "p.bad", "x.v")}))))), e -> named_struct(
           'prior', greatest(0.05D, least(0.95D, aggregate(e, 0D, (x, y) -> x + y.n * y.q) / aggregate(e, 0D, (x, y) -> x + y.n))),
           'good', {_rate("good", 1, "y.q")}, 'bad', {_rate("bad", -1, "(1 - y.q)")}))[0]"""
-    one = tally.agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("tally")) \
+    one = tally.agg(F.sort_array(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n")))).alias("tally")) \
         .selectExpr(f"IF(size(tally) = 0, {start}, aggregate(sequence(1, {ROUNDS}), {start}, {step})) AS m").first()["m"]
     return one["prior"], one["good"], one["bad"]
 
@@ -129,8 +129,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that pass, with all columns."""
-    q, = fresh(docs, "q")
-    judged = docs.withColumn(q, F.expr(counts(text_col)))
-    passed = judged.where(f"NOT {FAILED}".replace("q.", f"{q}."))
-    model = fit(passed.select(F.expr(votes(q)).alias("v")))
-    return passed.where(F.expr(verdict(model, f"({votes(q)})")) >= 0.5).select(docs.columns)
+    # each pass states its condition as one expression over one value q: columns that a
+    # filter uses would be put into it, and so computed, once for each mention
+    every = f"transform(array({counts(text_col)}), q -> "
+    model = fit(docs.select(F.expr(f"{every}IF({FAILED}, CAST(NULL AS ARRAY<INT>), {votes('q')}))[0]").alias("v")))
+    return docs.where(F.expr(f"{every}NOT {FAILED} AND {verdict(model, votes('q'))} >= 0.5D)[0]"))
