@@ -11,11 +11,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricewise.llm import jaccard, langid, mixing, pieces, quality
-from pricewise.llm.common import materialize, table
+from pricewise.llm.common import materialize, ship, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language that is found go."""
+    ship(spark)
     return langid.keep_known(docs)
 
 
@@ -26,6 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    ship(spark)
     return jaccard.drop_near_copies(docs)
 
 
@@ -36,6 +38,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with a column ``ids`` of token ids."""
+    ship(spark)
     return pieces.add_ids(docs, pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model")))
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricewise.llm import embeddings, langid, licenses, mixing, pieces, quality, sharding, token_counts, warc
-from pricewise.llm.common import table
+from pricewise.llm.common import ship, table
 from pricewise.llm.jaccard import jaccard_components
 
 
@@ -68,8 +68,15 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def _shipped(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
+    f.__name__: _shipped(f) for f in (
         op1_warc, op2_sharding, op3_language_id, op4_jaccard_join, op5_license_scan, op6_embedding_dedup, op7_sentencepiece,
         op8_quality_rules, op9_token_counts, op10_source_mix)
 }
