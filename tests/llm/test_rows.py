@@ -3,6 +3,7 @@ import hashlib
 import math
 import re
 import struct
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -187,6 +188,29 @@ def test_scan(spark, docs, no_docs):
     assert licenses.scan(mine, licenses.known(spark).limit(0)).where("license_id is not null").count() == 0
 
 
+def test_ordinary_licence_files(spark):
+    """Files as projects have them: titles, copyright lines without a year, other wrapping, list marks and holders."""
+    texts = {}
+    for k, v in licenses.texts():
+        texts.setdefault(k, v)
+    body = texts["MIT"]
+    short = lambda t: textwrap.fill(" ".join(t.split()), 60)
+    bsd = texts["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ").replace("the copyright holder nor", "Acme Inc. nor")
+    apache = texts["Apache-2.0"]
+    files = [("MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + body, "MIT"), ("The MIT License (MIT)\r\n\r\nCopyright Jane Doe\r\n\r\n" + body, "MIT"),
+             ("Copyright Jane Doe\nCopyright © 2021 John\n\n" + short(body), "MIT"), ("ISC License\n\nCopyright Jane\n" + texts["ISC"], "ISC"),
+             (bsd.replace("<year>", "2020"), "BSD-3-Clause"), (short(texts["BSD-2-Clause"].split("<owner>")[1]), "BSD-2-Clause"),
+             (apache.replace("[yyyy] [name of copyright owner]", "2020 Acme").replace("     ", ""), "Apache-2.0"),
+             (apache.split("APPENDIX")[0], "Apache-2.0"), ("\n".join(apache.strip().split("\n")[3:]), "Apache-2.0"),
+             (body + "\nNot for commercial use.", None), ("No use is permitted under this license.\n" + body, None), ("MIT License\n\nCopyright Jane", None)]
+    files += [(texts[k], k) for k in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense", "Zlib", "BSL-1.0", "0BSD")]
+    mine = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(files)], "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in licenses.scan(mine, licenses.known(spark)).collect()}
+    assert got == {i: k for i, (_, k) in enumerate(files)}
+    long = spark.createDataFrame([(1, "copyright x\n" * 200_000)], "doc_id long, text string")
+    assert licenses.scan(long, licenses.known(spark)).first().license_id is None
+
+
 # language ID
 
 def cell(a, b, c):
