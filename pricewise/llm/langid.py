@@ -12,7 +12,9 @@ For each document the log-probabilities of every language add up:
   (``KAPPA`` documents' worth each). A document's own posterior is taken out.
 
 The text model is fitted on about ``SAMPLE`` labelled rows of each language, drawn
-by a hash of the id; all else uses every row. A document is rejected (lang null) if
+by a hash of the id; all else uses every row. Every label makes a language, however few
+rows it has: its frequencies are smoothed towards those of all languages together
+(``PRIOR`` trigrams' worth), and those towards the background. A document is rejected (lang null) if
 ``und`` wins or no language reaches a probability of one half.
 
 Defined cases: a null or letterless text has no text evidence, so that the rest
@@ -35,7 +37,7 @@ from pricewise.llm.ragged import slices, text_bytes
 
 CELLS = 1 << 16
 SAMPLE = 2000
-LEAST = 20  # labelled rows that make a language
+PRIOR = 2000.0  # trigrams' worth of all languages' text that each language starts from
 DAMP = 64.0
 KAPPA = 20.0
 _FOLD = np.full(256, 32, np.uint8)
@@ -69,7 +71,7 @@ def trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
         ) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probabilities of the cells (CELLS x languages)."""
-    have = labelled.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count().where(F.col("count") >= LEAST)
+    have = labelled.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count()
     share = {row[0]: SAMPLE / row[1] for row in have.collect()}  # one row per language
     names = sorted(share)
     if not names:
@@ -95,7 +97,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     seen = np.zeros((CELLS, len(names)))
     for lang, cell, n in tally.toPandas().itertuples(index=False):  # CELLS rows per language at most
         seen[cell, names.index(lang)] = n
-    return names, np.log((seen + 0.5) / (seen.sum(axis=0) + 0.5 * CELLS))
+    both = seen.sum(axis=1, keepdims=True)
+    pooled = (both + 0.5) / (both.sum() + 0.5 * CELLS)
+    return names, np.log((seen + PRIOR * pooled) / (seen.sum(axis=0) + PRIOR))
 
 
 def score(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str, name: str) -> DataFrame:

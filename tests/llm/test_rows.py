@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricewise.llm import langid, licenses, mixing, quality, sharding
@@ -278,6 +279,24 @@ def test_language_edge_cases(spark, docs, no_docs):
     assert langid.keep_known(foreign).where("doc_id = 10000000").count() == 0
 
 
+def test_rare_languages_are_found(spark):
+    """Languages of few labelled rows make models too, and tables with only such ones are not rejected whole."""
+    known = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = {r.lang for r in known.select("lang").distinct().collect()}
+    few = known.where("doc_id % 2 = 1").withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("doc_id"))).where("k <= 5")
+    for train, test in ((known, known), (few, known.where("doc_id % 2 = 0"))):
+        model = langid.fit(train)
+        assert set(model[0]) == labels
+        scored = langid.score(test, model, "text", "ll").withColumn("none", F.lit(None).cast("string"))
+        fused = langid.fuse(scored, len(model[0]) + 1, "ll", "none", "none", "source", "none")
+        rows = fused.withColumn("found", langid.decide(fused, model[0], "posterior")[0]).select("lang", "found").collect()
+        for lang in labels:
+            of = [r.found for r in rows if r.lang == lang]
+            assert sum(f == lang for f in of) / len(of) > 0.8
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    assert {r.lang for r in langid.identify_pages(pages, langid.fit(known)).collect()} >= labels
+
+
 def test_key_is_the_digest_of_id_and_text(docs):
     for r in docs.withColumn("k", mixing.mix_key("doc_id", "text")).collect():
         raw = f"mix:{'' if r.doc_id is None else r.doc_id}:{r.text or ''}"
