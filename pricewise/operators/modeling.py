@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,22 +124,21 @@ def feature_split(df: DataFrame, exclude: Sequence[str]) -> tuple[list[str], lis
     return num, cat
 
 
-def fit_trees(train: DataFrame, num: Sequence[str], cat: Sequence[str], max_iter: int = 30, max_depth: int = 6,
-              step: float = 0.07, seed: int = 82, min_bins: int = 64, wide: int = 256) -> PipelineModel:
-    """M2 + M4: index categories (unknown kept), assemble, boosted trees. The number
-    of bins follows the widest category, so any number of values can be fitted; a
-    column of more than ``wide`` values enters as an ordered number (its index, by
-    falling frequency), which needs no bin for each value."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep").fit(train) for c in cat]
-    size = {c: len(m.labels) + 1 for c, m in zip(cat, idx)}
-    as_number = [c for c in cat if size[c] > wide]
-    plain = SQLTransformer(statement=", ".join(["SELECT *", *(f"CAST(`{c}__idx` AS DOUBLE) + 0 AS `{c}__num`" for c in as_number)])
-                           + " FROM __THIS__")
-    vec = VectorAssembler(inputCols=list(num) + [f"{c}__num" if c in as_number else f"{c}__idx" for c in cat],
-                          outputCol="features", handleInvalid="keep")
+def fit_trees(train: DataFrame, num: Sequence[str], cat: Sequence[str], max_iter: int = 900, max_depth: int = 13,
+              step: float = 0.07, seed: int = 82, bins: int = 255, min_leaf: int = 20, smoothing: float = 20.0) -> PipelineModel:
+    """M2 + M4: index categories (unknown kept), encode each by its smoothed mean label
+    (a grouped aggregate, the same for any number of values; unknown ones get the mean of
+    all), assemble, boosted trees. Rounds, depth and rate are the reference's; ``bins`` and
+    ``min_leaf`` are its library's defaults."""
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in cat]
+    mean = [TargetEncoder(inputCols=[f"{c}__idx" for c in cat], outputCols=[f"{c}__mean" for c in cat], labelCol="label",
+                          targetType="continuous", smoothing=smoothing, handleInvalid="keep")] if cat else []
+    # "+ 0" drops the column's mark as a category, which the encoder leaves on it
+    plain = SQLTransformer(statement=", ".join(["SELECT *", *(f"`{c}__mean` + 0 AS `{c}__num`" for c in cat)]) + " FROM __THIS__")
+    vec = VectorAssembler(inputCols=list(num) + [f"{c}__num" for c in cat], outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=seed,
-                       maxBins=max([min_bins, *(n for n in size.values() if n <= wide)]), lossType="squared")
-    return Pipeline(stages=[*idx, plain, vec, gbt]).fit(train)
+                       maxBins=bins, minInstancesPerNode=min_leaf, lossType="squared")
+    return Pipeline(stages=[*idx, *mean, plain, vec, gbt]).fit(train)
 
 
 def split_by_key(df: DataFrame, keys: Sequence[str], train_ratio: float, seed: int) -> tuple[DataFrame, DataFrame]:
