@@ -42,10 +42,18 @@ class Merges:
         return np.where(there, self.rank[at], NONE)
 
 
+def _place(start, mid, end) -> np.ndarray:
+    """What a candidate, the join of [start, mid) and [mid, end), adds to its key."""
+    return start.astype(U64) * _C1 + mid.astype(U64) * _C2 + end.astype(U64) * _C3
+
+
+def below(h: np.ndarray, drop: float) -> np.ndarray:
+    return (mix(h) >> U64(11)) < U64(int(drop * 2**53))
+
+
 def _skipped(key, start, mid, end, drop: float) -> np.ndarray:
     """Whether the candidate that joins [start, mid) and [mid, end) is left out."""
-    h = key + start.astype(U64) * _C1 + mid.astype(U64) * _C2 + end.astype(U64) * _C3
-    return (mix(h) >> U64(11)) < U64(int(drop * 2**53))
+    return below(key + _place(start, mid, end), drop)
 
 
 def _merge_long(ids: np.ndarray, table: Merges, key, drop: float) -> np.ndarray:
@@ -76,10 +84,12 @@ def _merge_long(ids: np.ndarray, table: Merges, key, drop: float) -> np.ndarray:
     return np.array([s for s in sym if s is not None], np.int32)
 
 
-def merge(flat: np.ndarray, off: np.ndarray, table: Merges, keys: np.ndarray | None = None, drop: float = 0.0
-          ) -> tuple[np.ndarray, np.ndarray]:
+def merge(flat: np.ndarray, off: np.ndarray, table: Merges, keys: np.ndarray | None = None, drop: float = 0.0,
+          agenda: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """All sequences merged, as flat symbols and offsets. With ``keys`` (one per
-    sequence), a candidate is skipped with probability ``drop``, by its keyed hash."""
+    sequence), a candidate is skipped with probability ``drop``, by its keyed hash.
+    ``agenda`` takes up (sequences, places) of all candidates met, but for those of
+    sequences of over ``LONG`` symbols."""
     n = np.diff(off)
     lens, done = n.copy(), []
     for row in np.flatnonzero(n > LONG):
@@ -97,6 +107,9 @@ def merge(flat: np.ndarray, off: np.ndarray, table: Merges, keys: np.ndarray | N
         if keys is not None and size > 1:
             skip = _skipped(keys[rows][:, None], s[:, :-1], s[:, 1:], s[:, 1:] + 1, drop)
         r = table.ranks(x[:, :-1], x[:, 1:], skip)
+        if agenda is not None:
+            i, k = np.nonzero(r != NONE)
+            agenda.append((rows[i], _place(k, k + 1, k + 2)))
         if held is not None:
             rows, x, s, r = (np.concatenate([a, b]) for a, b in zip(held, (rows, x, s, r)))
         if not len(rows):
@@ -129,6 +142,11 @@ def merge(flat: np.ndarray, off: np.ndarray, table: Merges, keys: np.ndarray | N
                 end = np.where(k + 2 < size - 1, s[at, np.minimum(k + 2, size - 2)], n[rows[at]])
                 skip = _skipped(keys[rows[at]], s[at, k], s[at, k + 1], end, drop)
             r[at, k] = table.ranks(x[at, k], x[at, k + 1], skip)
+            if agenda is not None:
+                hit = r[at, k] != NONE
+                i, c = at[hit], k[hit]
+                end = np.where(c + 2 < size - 1, s[i, np.minimum(c + 2, size - 2)], n[rows[i]])
+                agenda.append((rows[i], _place(s[i, c], s[i, c + 1], end)))
         held = (rows, x, s, r)
     out_off = np.r_[0, np.cumsum(lens)]
     out = np.empty(out_off[-1], np.int32)

@@ -4,9 +4,10 @@ A text is cut before each run of blanks, which no piece crosses. Each distinct u
 of a slice of texts goes through the merge agenda of :mod:`pricewise.llm.bpe`: at
 each step a unit takes its best-scored candidate (the leftmost of equals). A
 candidate, the join of two neighbouring spans, is skipped with probability
-``dropout`` by a hash of the seed, the unit, its variant and the three bounds, so a
-rerun gives the same ids. Which of ``VARIANTS`` segmentations a word of a document
-gets follows from a hash of the seed, the document's text and the word's position.
+``dropout`` by a hash of the seed, the document's text, the unit's position in it and
+the three bounds, so each occurrence of a word is drawn anew and a rerun gives the same
+ids. An occurrence of which no candidate of the plain agenda is skipped has the plain
+segmentation, which is kept; all others are merged one by one.
 With dropout 0 the ids are those of the library.
 
 Characters outside the vocabulary become byte pieces. So does U+2581, which the
@@ -30,15 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricewise.llm.bpe import Merges, merge
+from pricewise.llm.bpe import LONG, Merges, below, merge
 from pricewise.llm.common import fresh
 from pricewise.llm.ragged import U64, mix, slices, text_bytes
 
 DROPOUT = 0.1
-VARIANTS = 4
 SEED = 7
 KEPT = 150_000
 SLICE = 1_000_000
+TOGETHER = 1 << 14
 _UNIT = re.compile(" +[^ \n]*|[^ \n]+|\n")
 _MARK = "▁"
 
@@ -75,11 +76,12 @@ class Pieces:
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_off = np.r_[0, np.cumsum([len(r) for r in raw])]
 
-    def encode_units(self, units: list[str], keys: np.ndarray | None, drop: float) -> tuple[np.ndarray, np.ndarray]:
+    def encode_units(self, units: list[str], keys: np.ndarray | None, drop: float, agenda: list | None = None
+                     ) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units, flat, and offsets."""
         chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
         off = np.r_[0, np.cumsum([len(u) for u in units], dtype=np.int64)]
-        flat, off = merge(self.char[chars], off, self.merges, keys, drop)
+        flat, off = merge(self.char[chars], off, self.merges, keys, drop, agenda)
         odd = np.flatnonzero(flat < 0)
         if len(odd):  # these become the bytes of the character
             as_bytes = [self.byte[list(chr(-1 - c).encode())] for c in flat[odd].tolist()]
@@ -105,42 +107,66 @@ def gather(flat: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.ndar
 
 
 class Encoder:
-    """Ids of texts, with the segmentations of units seen."""
+    """Ids of texts, with the plain segmentations and agendas of units seen."""
 
     def __init__(self, pieces: Pieces, drop: float, seed: int):
         self.pieces, self.drop, self.seed = pieces, drop, seed
         self._forget()
 
     def _forget(self) -> None:
-        self.place: list[dict[str, int]] = [{} for _ in range(VARIANTS)]
+        self.place: dict[str, int] = {}
+        self.units: list[str] = []
         self.flat, self.off = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.met, self.met_off = np.zeros(0, U64), np.zeros(1, np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        agenda: list | None = [] if self.drop else None
+        # a long unit nearly always has a candidate skipped: with dropout it is only merged by occurrence
+        flat, off = self.pieces.encode_units(["" if self.drop and len(u) > LONG else u for u in new], None, 0.0, agenda)
+        self.off = np.r_[self.off, off[1:] + len(self.flat)]
+        self.flat = np.r_[self.flat, flat]
+        if self.drop:
+            rows = np.concatenate([r for r, _ in agenda] or [np.zeros(0, np.int64)])
+            order = np.argsort(rows, kind="stable")
+            self.met_off = np.r_[self.met_off, np.cumsum(np.bincount(rows, minlength=len(new))) + len(self.met)]
+            self.met = np.r_[self.met, np.concatenate([p for _, p in agenda] or [np.zeros(0, U64)])[order]]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and offsets."""
         if len(self.off) > KEPT:
             self._forget()
-        codes, counts, new = [], [], []
-        size = len(self.off) - 1
+        codes, counts, keys, known = [], [], [], self.place
+        size = len(self.units)
         for t in texts:
             units = _UNIT.findall(f" {t}") if t else []
-            key = U64(xxhash.xxh64_intdigest(t.encode(), self.seed))
-            pick = (mix(np.arange(len(units), dtype=U64) + key) % U64(VARIANTS)).tolist() if self.drop else [0] * len(units)
-            for u, v in zip(units, pick):
-                known = self.place[v]
+            for u in units:
                 if (at := known.get(u)) is None:
-                    at = known[u] = size + len(new)
-                    new.append((u, v))
+                    at = known[u] = len(self.units)
+                    self.units.append(u)
                 codes.append(at)
             counts.append(len(units))
-        if new:
-            keys = None
             if self.drop:
-                keys = np.array([xxhash.xxh64_intdigest(u.encode(), self.seed * VARIANTS + v + 1) for u, v in new], U64)
-            flat, off = self.pieces.encode_units([u for u, _ in new], keys, self.drop)
-            self.off = np.r_[self.off, off[1:] + len(self.flat)]
-            self.flat = np.r_[self.flat, flat]
-        flat, at = gather(self.flat, self.off, np.array(codes, np.int64))
-        return flat, at[np.r_[0, np.cumsum(counts, dtype=np.int64)]]
+                keys.append(mix(np.arange(len(units), dtype=U64) + U64(xxhash.xxh64_intdigest(t.encode(), self.seed))))
+        if len(self.units) > size:
+            self._learn(self.units[size:])
+        rows, flat, off = np.array(codes, np.int64), self.flat, self.off
+        if self.drop and len(rows):
+            key = np.concatenate(keys)
+            met, at = gather(self.met, self.met_off, rows)
+            hit = below(met + np.repeat(key, np.diff(at)), self.drop)
+            total = np.r_[0, np.cumsum(hit)]
+            long = np.array([len(u) > LONG for u in self.units])
+            anew = np.flatnonzero((total[at[1:]] > total[at[:-1]]) | long[rows])
+            flats, sizes = [flat], [np.diff(off)]
+            for a in range(0, len(anew), TOGETHER):  # the matrices of a merge are many times the units
+                now = anew[a:a + TOGETHER]
+                more, more_off = self.pieces.encode_units([self.units[k] for k in rows[now].tolist()], key[now], self.drop)
+                flats.append(more)
+                sizes.append(np.diff(more_off))
+            rows[anew] = len(off) - 1 + np.arange(len(anew))
+            flat, off = np.concatenate(flats), np.r_[0, np.cumsum(np.concatenate(sizes))]
+        out, at = gather(flat, off, rows)
+        return out, at[np.r_[0, np.cumsum(counts, dtype=np.int64)]]
 
 
 def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "ids", dropout: float = DROPOUT,

@@ -98,6 +98,25 @@ def test_dropout_varies_and_decodes(many, model):
     assert len(whole) > len(plain) and len(set(map(tuple, [whole[:6], whole[6:12], whole[12:18]]))) > 1
 
 
+def test_each_occurrence_is_drawn_anew(model):
+    """Ids are those of plain search keyed by text and position; segmentations of a word go on growing."""
+    text = " ".join(["interesting thingstone a", "x" * 120] * 30)
+    flat, at = pieces.Encoder(model, 0.3, 7).encode([text])
+    units = pieces._UNIT.findall(f" {text}")
+    keys = pieces.mix(np.arange(len(units), dtype=np.uint64) + np.uint64(pieces.xxhash.xxh64_intdigest(text.encode(), 7)))
+    assert flat.tolist() == [i for u, k in zip(units, keys) for i in _naive(model, u, k, 0.3)]
+    one = " ".join(["interesting"] * 2000)
+    flat, at = pieces.Encoder(model, 0.3, 7).encode([one, one + " end"])
+    seen, word = [], []
+    for i in flat[at[0]:at[1]].tolist():
+        if word and model.decode(np.array([i]))[:1].tobytes() == b" ":
+            seen.append(tuple(word))
+            word = []
+        word.append(i)
+    assert len(set(seen)) > 10 and len(seen) == 1999
+    assert flat[at[0]:at[0] + 1000].tolist() != flat[at[1]:at[1] + 1000].tolist()
+
+
 def test_encode_and_decode_frames(docs, no_docs, model):
     rows = pieces.tokenize(docs, model).collect()
     assert all(r.lossless for r in rows)
