@@ -3,8 +3,8 @@ P-28, M1-M10).
 
 Boosted trees are trained with ``GBTRegressor`` (distributed histogram
 training). It is the same task as the reference's leaf-wise tree library,
-not the same numbers: no leaf limit, and missing values are encoded as a
-sentinel the trees can split on.
+not the same numbers: trees grow by level, and missing values are encoded as
+a sentinel the trees can split on.
 """
 
 from __future__ import annotations
@@ -12,16 +12,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricewise.functions.rules import np_round, safe_div
-from pricewise.session import materialize
+from pricewise.session import drop_stage, materialize
 
 MISSING = -999.0
+ROWS_A_TASK = 50_000
 
 
 # ------------------------------------------------------------ filters
@@ -124,21 +125,53 @@ def feature_split(df: DataFrame, exclude: Sequence[str]) -> tuple[list[str], lis
     return num, cat
 
 
-def fit_trees(train: DataFrame, num: Sequence[str], cat: Sequence[str], max_iter: int = 900, max_depth: int = 13,
-              step: float = 0.07, seed: int = 82, bins: int = 255, min_leaf: int = 20, smoothing: float = 20.0) -> PipelineModel:
-    """M2 + M4: index categories (unknown kept), encode each by its smoothed mean label
-    (a grouped aggregate, the same for any number of values; unknown ones get the mean of
-    all), assemble, boosted trees. Rounds, depth and rate are the reference's; ``bins`` and
-    ``min_leaf`` are its library's defaults."""
+def encoders(num: Sequence[str], cat: Sequence[str], smoothing: float = 20.0) -> Pipeline:
+    """M2: index categories (unknown kept), encode each by its smoothed mean label (a
+    grouped aggregate, the same for any number of values; unknown ones get the mean of
+    all), assemble."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in cat]
     mean = [TargetEncoder(inputCols=[f"{c}__idx" for c in cat], outputCols=[f"{c}__mean" for c in cat], labelCol="label",
                           targetType="continuous", smoothing=smoothing, handleInvalid="keep")] if cat else []
     # "+ 0" drops the column's mark as a category, which the encoder leaves on it
     plain = SQLTransformer(statement=", ".join(["SELECT *", *(f"`{c}__mean` + 0 AS `{c}__num`" for c in cat)]) + " FROM __THIS__")
     vec = VectorAssembler(inputCols=list(num) + [f"{c}__num" for c in cat], outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=seed,
-                       maxBins=bins, minInstancesPerNode=min_leaf, lossType="squared")
-    return Pipeline(stages=[*idx, *mean, plain, vec, gbt]).fit(train)
+    return Pipeline(stages=[*idx, *mean, plain, vec])
+
+
+def fit_trees(train: DataFrame, num: Sequence[str], cat: Sequence[str], keys: Sequence[str], max_iter: int = 900,
+              max_depth: int = 6, step: float = 0.07, seed: int = 82, bins: int = 255, min_leaf: int = 20,
+              held_out: float = 0.1, tolerance: float = 0.01, first: int = 25) -> tuple[PipelineModel, list[float]]:
+    """M2 + M4: (model, held-out loss after each round tried). Boosted trees at the
+    reference's rate, with its number of rounds as the upper limit; a level-wise depth
+    of 6 has up to 64 leaves, the nearest to its 45. ``bins`` and ``min_leaf`` are the
+    defaults of its library.
+
+    Stop rule: a share of the training rows, by a hash of ``keys``, is held out. Rounds
+    double from ``first`` on as long as that betters the held-out squared loss by
+    ``tolerance`` of it at least; the last number that did is the model's. (A longer
+    run begins with the trees of the shorter one, so all runs have one loss curve.)"""
+    fit, held = split_by_key(train, keys, 1 - held_out, seed + 1)
+    prepared = encoders(num, cat).fit(fit)
+    # the boosting reads its rows once a level and round: they are stored as vectors
+    fit, held = (materialize(prepared.transform(x).select("features", "label"), "training_rows") for x in (fit, held))
+    # a job per level and round: no more tasks than the rows are worth
+    few = fit.coalesce(1 + fit.count() // ROWS_A_TASK)
+
+    def run(rounds: int):
+        model = GBTRegressor(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=max_depth, stepSize=step, seed=seed,
+                             maxBins=bins, minInstancesPerNode=min_leaf, lossType="squared").fit(few)
+        return model, [] if held.isEmpty() else model.evaluateEachIteration(held, "squared")
+
+    model, loss = run(min(first, max_iter))
+    rounds = len(loss)
+    while loss and rounds < max_iter:
+        longer, loss = run(min(2 * rounds, max_iter))
+        if loss[-1] > loss[rounds - 1] * (1 - tolerance):
+            break
+        model, rounds = longer, len(loss)
+    for rows in (fit, held):
+        drop_stage(rows)
+    return PipelineModel([*prepared.stages, model]), loss
 
 
 def split_by_key(df: DataFrame, keys: Sequence[str], train_ratio: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -169,19 +202,28 @@ def feature_importance(model: PipelineModel, num: Sequence[str], cat: Sequence[s
     return sorted(zip(names, imp.tolist()), key=lambda t: -t[1])
 
 
-def train_evaluate(df: DataFrame, level: str, numer: str, denom: str | None, train_ratio: float = 0.75,
-                   seed: int = 82, exclude: Sequence[str] = ("sales_date",), **params) -> tuple[PipelineModel, DataFrame]:
-    """M8: label, sparse-column pruning, split, fit, score the test part (M3-M6)."""
-    # many passes follow (null rates, indexers, split, boosting): cut the
+def train_evaluate(df: DataFrame, path: str, level: str, numer: str, denom: str | None, train_ratio: float = 0.75,
+                   seed: int = 82, exclude: Sequence[str] = ("sales_date",), **params) -> DataFrame:
+    """M8: label, sparse-column pruning, split, fit (M2-M4), and under ``path`` the model
+    (M7), its held-out loss by round, and the test rows as scored by the model read back
+    (M5). Returns the scored table."""
+    # many passes follow (null rates, encoders, split, boosting): cut the
     # lineage once into the checkpoint folder instead of recomputing windows
-    x = materialize(boost_label(df, numer, denom), "model_table")
-    x = prune_sparse_columns(x, 0.98, keep=[level, "sales_date", "label", "y", numer] + ([denom] if denom else []))
+    rows = materialize(boost_label(df, numer, denom), "model_table")
+    x = prune_sparse_columns(rows, 0.98, keep=[level, "sales_date", "label", "y", numer] + ([denom] if denom else []))
     excl = set(exclude) | {level, "label", "y", numer}
     num, cat = feature_split(x, list(excl))
     x = encode_missing(x, num)
     train, test = split_by_key(x, [level, "sales_date"], train_ratio, seed)
-    model = fit_trees(train, num, cat, seed=seed, **params)
-    return model, score_forecast(model, test, denom)
+    model, loss = fit_trees(train, num, cat, [level, "sales_date"], seed=seed, **params)
+    spark = df.sparkSession
+    save_model(model, f"{path}/model")
+    rounds = model.stages[-1].getNumTrees
+    spark.createDataFrame([(k, v, k <= rounds) for k, v in enumerate(loss, 1)], "round int, held_out_loss double, kept boolean").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{path}/loss")
+    score_forecast(load_model(f"{path}/model"), test, denom).drop("features").write.mode("overwrite").parquet(f"{path}/scored")
+    drop_stage(rows)
+    return spark.read.parquet(f"{path}/scored")
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -193,8 +235,14 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def forecast_one_day(model: PipelineModel, features: DataFrame, fcst_date: str, num: Sequence[str],
-                     denom: str | None) -> DataFrame:
+def model_features(model: PipelineModel) -> tuple[list[str], list[str]]:
+    """M7: the numeric and text columns a fitted pipeline reads."""
+    vec = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    cat = [s.getInputCol() for s in model.stages if isinstance(s, StringIndexerModel)]
+    return [c for c in vec.getInputCols() if c not in {f"{x}__num" for x in cat}], cat
+
+
+def forecast_one_day(model: PipelineModel, features: DataFrame, fcst_date: str, denom: str | None) -> DataFrame:
     """M9: rows of the forecast date, encoded as in training, scored."""
     day = features.filter(F.col("sales_date") == F.lit(fcst_date).cast("date"))
-    return score_forecast(model, encode_missing(day, num), denom)
+    return score_forecast(model, encode_missing(day, model_features(model)[0]), denom)

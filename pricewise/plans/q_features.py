@@ -17,7 +17,8 @@ STORES = sorted(k for k, v in STORE_PLATFORM.items() if v == base.PLATFORM)
 BASE = ["sales_date", "season1", "inseason_flag1", "md10", "sales_qty", "sales_amt", "MSRP", "gender_group", "gc_category"]
 
 
-def _features(spark, sf_dir, level):
+def feature_rows(spark, sf_dir, level):
+    """Every base row of the level with its features."""
     v = base.views(spark, sf_dir)
     sku = materialize(base.sku_base(v), "sku_rows")
     if level == "prod_code":
@@ -31,7 +32,11 @@ def _features(spark, sf_dir, level):
     if level == "style_cd":
         inv = inv.join(sku.select("prod_code").distinct(), "prod_code", "left_semi").withColumn("style_cd", F.substring("prod_code", 1, 6))
     inv = inv.groupBy(level, "sales_date").agg(F.sum("inv_qty").alias("lead_inv_qty"))
-    out = ft.modeling_features(rows, level, SHIFT, LEAD, inv, v.traffic(), STORES)
+    return ft.modeling_features(rows, level, SHIFT, LEAD, inv, v.traffic(), STORES)
+
+
+def _features(spark, sf_dir, level):
+    out = feature_rows(spark, sf_dir, level)
     names = [f.format(n=n, stat=s) for specs, f in ROLLING for n, s in specs]
     return out.select(level, *BASE, *names, *REST)
 

@@ -1,56 +1,71 @@
-"""Registered plans: model training / scoring (M1-M10). No SQL oracle:
-boosted-tree training is iterative, so the driver records a rows-only check."""
+"""Registered plans: model training and scoring (P-5, P-7, P-21, P-25, P-27, M1-M5,
+M7, M8, A19). No SQL oracle: boosted-tree training is iterative, so the driver records
+a rows-only check."""
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.operators import competition as cp
 from pricewise.operators import modeling as md
 from pricewise.operators import reports as rp
-from pricewise.operators import timefeatures as tf
 from pricewise.plans import base
 from pricewise.plans.catalog import register
+from pricewise.plans.q_features import feature_rows
+from pricewise.session import path_exists, stage_path
+from pricewise.sources.fixtures import read_table
+
+#: The reference's settings, its dates moved to the fixture's years.
+SEASONS = ["FA1999", "FA2000", "SU2001", "FA2001"]
+KEEP_SINCE, UNDER, UPPER, SEED, RATIO = "2001-04-01", 0.75, 0.15, 82, 0.99
+NUMER, DENOM = "sales_qty", "past_3_median_aps"
+#: Not known before the sale, or a key.
+UNKNOWN = ["sales_amt", "inv_qty", "md", "md10", "grp", "prod_code", "platform", "style_number", "division", "color_desc"]
 
-SHIFT = base.SHIFT
-NUMERIC = ["md1", "MSRP", "inv_qty", "AUR"]
-CATEGORICAL = ["gender_group", "gc_category", "model", "class_platform", "power_item", "inseason_flag1"]
 
+def training_rows(spark, sf_dir) -> DataFrame:
+    """The feature table at style level, as the reference trains on it: rows of the
+    training seasons (P-5, its other filters off), labels after forecast date - lead
+    masked (P-21), and resampled (M1)."""
+    x = md.filter_modeling_rows(cp.aur(feature_rows(spark, sf_dir, "style_cd")), SEASONS, off_season_remove=False,
+                                full_price_remove=False, drop=UNKNOWN)
+    x = md.mask_recent_labels(x, base.FCST_DATE, base.LEAD)
+    rm = base.views(spark, sf_dir).rm_calendar()
+    return md.resample_rows(x, rm, KEEP_SINCE, UNDER, UPPER, SEED, ["style_cd", "sales_date"])
 
-def model_table(spark, sf_dir):
-    """Style-level modeling table: base columns, rolling APS stats (W2),
-    same-md history (W7) and past md (W9), all shifted by SHIFT days."""
-    v = base.views(spark, sf_dir)
-    s = cp.aur(base.style_base(v))
-    w2 = tf.rolling_all_prices(s, "style_cd", SHIFT)
-    w7 = tf.same_md_history(s, "style_cd", SHIFT)
-    w9 = tf.historic_md_avg(s, "style_cd")
-    x = (s.select("style_cd", "sales_date", "md10", "sales_qty", *NUMERIC, *CATEGORICAL)
-         .join(w2, ["style_cd", "sales_date"], "left")
-         .join(w7, ["style_cd", "md10", "sales_date"], "left")
-         .join(w9, ["style_cd", "sales_date"], "left")
-         .drop("md10"))
-    return x
+
+def trained(spark, sf_dir) -> str:
+    """The folder of the model, its loss and its scored test rows: trained once an
+    application and set of input files, then read."""
+    files = sorted(read_table(spark, sf_dir, "lineitem").inputFiles())
+    path = stage_path(spark, "model-" + hashlib.md5("|".join(files).encode()).hexdigest())
+    if not path_exists(spark, f"{path}/scored/_SUCCESS"):
+        md.train_evaluate(training_rows(spark, sf_dir), path, "style_cd", NUMER, DENOM, RATIO, SEED)
+    return path
 
 
 @register("train_boosted_trees")
-def train_boosted_trees(spark, sf_dir, max_iter=900, max_depth=13):
-    """M1-M8: sales boost (qty / past-3 median APS) -> log1p label, sparse
-    columns pruned, 75 / 25 split (by key, seed 82), GBT fit, test rows scored
-    (predict >= 0, forecast qty = denominator x boost).
+def train_boosted_trees(spark, sf_dir):
+    """M8: sales boost (qty / past-3 median APS) -> log1p label (P-7, P-27), sparse columns
+    pruned (P-25), 99 / 1 split by key (M3), boosted trees (M2, M4), stored and read back
+    (M7); the test rows scored (M5: predict >= 0, forecast qty = denominator x boost)."""
+    return spark.read.parquet(f"{trained(spark, sf_dir)}/scored").select(
+        "style_cd", "sales_date", NUMER, DENOM, "prediction", "predict", "predict_sales_qty")
+
 
-    Trains the reference's rounds and depth, 900 level-wise trees of depth 13 at rate
-    0.07, on all training rows."""
-    x = model_table(spark, sf_dir)
-    _, scored = md.train_evaluate(x, "style_cd", "sales_qty", "past_3_median_aps", train_ratio=0.75,
-                                  max_iter=max_iter, max_depth=max_depth)
-    return scored.select("style_cd", "sales_date", "sales_qty", "past_3_median_aps", "prediction",
-                         "predict", "predict_sales_qty")
+@register("training_loss")
+def training_loss(spark, sf_dir):
+    """M4: squared held-out loss of the label after each round tried, and whether the
+    stored model keeps the round."""
+    return spark.read.parquet(f"{trained(spark, sf_dir)}/loss")
 
 
 @register("boost_confusion_matrix")
 def boost_confusion_matrix(spark, sf_dir):
-    """A19 on the scored test rows: 15 quantile bins of the real boost, the
+    """A19 on the stored scored test rows: 15 quantile bins of the real boost, the
     predicted boost cut on the same edges, counts and diagonal share."""
-    scored = train_boosted_trees(spark, sf_dir).withColumn("y", F.try_divide("sales_qty", "past_3_median_aps"))
+    scored = spark.read.parquet(f"{trained(spark, sf_dir)}/scored").withColumn("y", F.try_divide(NUMER, DENOM))
     return rp.confusion_matrix(scored, "y", "predict", 15)

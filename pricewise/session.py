@@ -74,6 +74,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A folder of this application under the checkpoint folder, for results that
+    several queries read."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricewise-{spark.sparkContext.applicationId}/{name}"
+
+
+def path_exists(spark: SparkSession, name: str) -> bool:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(conf).exists(path)
+
+
 def drop_stage(df: DataFrame) -> None:
     """Remove the files of a materialised frame that nothing reads any more."""
     spark = df.sparkSession

@@ -10,7 +10,6 @@ from pricewise.operators import ingest
 from pricewise.operators import modeling as md
 from pricewise.operators import reports as rp
 from pricewise.operators import timefeatures as tf
-from pricewise.plans import q_model
 from pricewise.streaming import increment as inc
 
 D = dt.date(2020, 1, 15)
@@ -20,7 +19,7 @@ def test_many_categories_can_be_fitted(spark):
     for n in (100, 400):
         df = spark.range(1200).select(F.concat(F.lit("c"), F.col("id") % n).alias("c"), (F.col("id") % n).cast("double").alias("x"),
                                       F.log1p(F.col("id") % 3).alias("label"))
-        model = md.fit_trees(df, ["x"], ["c"], max_iter=2, max_depth=3)
+        model, _ = md.fit_trees(df.withColumn("id", F.monotonically_increasing_id()), ["x"], ["c"], ["id"], max_iter=2, max_depth=3)
         assert model.transform(df).where("prediction is null").count() == 0
 
 
@@ -29,22 +28,13 @@ def test_categories_are_encoded_alike_at_any_size(spark):
     for n in (100, 2000):
         df = spark.range(30 * n).select(F.concat(F.lit("c"), F.col("id") % n).alias("c"), F.lit(0.0).alias("x"),
                                         F.when(F.col("id") % n % 40 == 7, 9.0).otherwise(0.0).alias("label"))
-        model = md.fit_trees(df, ["x"], ["c"], max_iter=1, max_depth=3, step=1.0)
+        model, _ = md.fit_trees(df.withColumn("id", F.monotonically_increasing_id()), ["x"], ["c"], ["id"], max_iter=1, max_depth=3, step=1.0)
         off = model.transform(df).agg(F.max(F.abs(F.col("prediction") - F.col("label")))).first()[0]
         assert off < 0.5
         new = df.limit(1).withColumn("c", F.lit("new"))
         assert model.transform(new).where("prediction is not null").count() == 1
 
 
-def test_training_is_the_references(spark, monkeypatch):
-    seen = {}
-    monkeypatch.setattr(q_model, "model_table", lambda spark, sf_dir: None)
-    monkeypatch.setattr(q_model.md, "train_evaluate", lambda *a, **k: seen.update(k) or (None, spark.range(0).selectExpr(
-        *[f"id AS {c}" for c in ("style_cd", "sales_date", "sales_qty", "past_3_median_aps", "prediction", "predict", "predict_sales_qty")])))
-    q_model.train_boosted_trees(spark, "")
-    assert (seen["max_iter"], seen["max_depth"]) == (900, 13)
-
-
 def test_split_follows_the_key(spark):
     df = spark.range(1000).withColumn("d", F.lit(1))
     a = md.split_by_key(df.repartition(3), ["id"], 0.75, 82)
