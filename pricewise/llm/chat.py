@@ -27,7 +27,8 @@ by its nature: a conversation's turns pass one task in order, a batch at a time,
 whatever their number; nothing of it is held but the running digest.
 
 The vocabulary is a byte-level BPE read from a path on the driver and sent to the
-tasks. A text of more than ``SEGMENT`` characters is encoded in pieces of that length.
+tasks. A text of more than ``SEGMENT`` characters, or with more than ``BLANKS`` of white
+space in a row, is encoded in pieces.
 
 Defined cases: a null text or role counts as empty; rows go by turn (null first), ties
 by role and then by their ids; repeated rows are turns of their own; a null
@@ -37,49 +38,49 @@ rows.
 
 from __future__ import annotations
 
+import base64
 import hashlib
-import json
-import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricewise.llm.token_counts import byte_letters
-
-#: The control strings, in the order of their ids; then the vocabulary's own.
+#: The control strings, in the order of their ids.
 MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[ANS]", "[ROLE]", "[/ROLE]", "[/TURN]"]
 OPEN = {"user": "[INST]", "system": "[SYS]", "assistant": "[ANS]"}
 CLOSE = {"[INST]": "[/INST]", "[SYS]": "[/SYS]", "[ANS]": "</s>", "[ROLE]": "[/TURN]"}
 SEGMENT = 1 << 20
+BLANKS = 1000
+_BLANKS = re.compile(rf"\s{{{BLANKS}}}")
 
 
 class ChatVocabulary:
     """A byte-level BPE vocabulary with reserved ids for the marks above it."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            self.spec = f.read()
-        spec = json.loads(self.spec)
-        own = {t["id"]: t["content"] for t in spec["added_tokens"]}
-        byte = {c: b for b, c in enumerate(byte_letters())}
-        ids = {i: bytes(byte[c] for c in token) for token, i in spec["model"]["vocab"].items() if i not in own}
-        first = max([*ids, *own]) + 1
+    def __init__(self, path: str, pattern: str):
+        """``path``: a file of tokens in base 64 and their ranks; ``pattern`` splits text
+        before the merges."""
+        with open(path, "rb") as f:
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.pattern = pattern
+        ids = {i: token for token, i in self.ranks.items()}
+        first = max(ids) + 1
         self.mark = {m: first + k for k, m in enumerate(MARKS)}
         self.first, self.size = first, first + len(MARKS)
         if self.size > 1 << 16:
             raise ValueError("the vocabulary and the marks must fit 16-bit ids")
-        rendered = ids | {i: c.encode() for i, c in own.items()} | {i: m.encode() for m, i in self.mark.items()}
+        rendered = ids | {i: m.encode() for m, i in self.mark.items()}
         parts = [rendered.get(i, b"") for i in range(self.size)]
         self.table = np.frombuffer(b"".join(parts), np.uint8)
         self.at = np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int64)
         #: code points that begin in each token's bytes
         self.points = np.array([sum(b & 0xC0 != 0x80 for b in p) for p in parts], np.int64)
-        body = "|".join(re.escape(c[1:]) for c in [*MARKS, *own.values()])
+        body = "|".join(re.escape(c[1:]) for c in [*MARKS, "<|endoftext|>"])
         self.escapes = re.compile(rf"([<\[])(?=\\*(?:{body}))")
         self.unescapes = re.compile(rf"([<\[])\\(?=\\*(?:{body}))")
         self._encoder = None
@@ -96,18 +97,8 @@ class ChatVocabulary:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, escaped."""
         if self._encoder is None:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-            self._encoder = Tokenizer.from_str(self.spec)
-            self._encoder.encode_special_tokens = True
-        texts = [self.escape(t) for t in texts]
-        pieces = [t[k:k + SEGMENT] for t in texts for k in range(0, max(len(t), 1), SEGMENT)]
-        found = iter(self._encoder.encode_batch_fast(pieces, add_special_tokens=False))
-        out = []
-        for t in texts:
-            ids = [np.array(next(found).ids, np.uint16) for _ in range(0, max(len(t), 1), SEGMENT)]
-            out.append(ids[0] if len(ids) == 1 else np.concatenate(ids))
-        return out
+            self._encoder = tiktoken.Encoding("chat", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
+        return [np.concatenate([np.array(self._encoder.encode_ordinary(p), np.uint16) for p in _pieces(self.escape(t))]) for t in texts]
 
     def bytes_of(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bytes of a run of ids, and where each id's begin."""
@@ -124,6 +115,13 @@ class ChatVocabulary:
         return [mark(start), *named, text, mark(CLOSE[start])]
 
 
+def _pieces(text: str) -> list[str]:
+    """A text as it is encoded: cut every ``SEGMENT`` characters and after every ``BLANKS``
+    of white space in a row, which the pattern could not get past otherwise."""
+    cuts = sorted({*range(0, len(text), SEGMENT), *(m.end() for m in _BLANKS.finditer(text))} | {0, len(text)})
+    return [text[a:b] for a, b in zip(cuts, cuts[1:])] or [""]
+
+
 def _slices(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
     i = total = 0
     for k, t in enumerate(texts):

@@ -18,7 +18,7 @@ CHAT = "conv_id long, turn long, role string, text string, ids string, mask int,
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return chat.ChatVocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return chat.ChatVocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def turns():
