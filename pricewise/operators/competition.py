@@ -1,26 +1,27 @@
 """Competitor features inside price bands.
 
-Price-band counts and sums come from running totals, not joins or sliding
-frames: with the rows of one (date, group) in order of price, the band
-[price - 100, price + 100] (or +/- 300 from 2000 up) holds the total up to its
-upper edge, plus the total from its lower edge on, less the total. Each is one
-pass. When the band belongs to a row on another date (J15, J17) the probe rows
-are stacked with the population of that date and only population values count.
-A row without a group or price is in no band (P3): its counts are 0, its sums
-NULL.
-The one theta join (J18) is bucketed by price so only neighbouring prices
-meet, and its candidate side is pre-aggregated per (date, price).
+Price-band counts and sums are range totals (:mod:`pricewise.operators.bands`): running
+totals over the rows and range ends of a (date, group) in order of price, with large
+groups cut into parts. Counts of rows that are better in a band (a lower md in J14, a
+better rank in W14) are such totals too, over blocks of the rank order. No pairs of
+rows are formed and no list of a frame's rows.
+A row without a group or price is in no band (P3): its counts are 0, its sums NULL.
+J18 asks for each probe and earlier day for the nearest price of another product from
+the band's lower edge on: one row per probe and day in one sorted pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.functions.frames import UNBOUNDED
 from pricewise.functions.rules import day_number, np_round, pct_rank_avg, safe_div
+from pricewise.operators import bands
+from pricewise.session import materialize
 
 NARROW, WIDE, WIDE_FROM = 100.0, 300.0, 2000.0   # band half-widths; wide band from price 2000
 
@@ -46,65 +47,50 @@ def price_band_bounds(df: DataFrame, price: str = "md_price") -> DataFrame:
             .withColumn("comp_price_high", F.col(price) + half))
 
 
-def band_total(value: str, part: Sequence[str], price: str, half: float) -> Column:
-    """Sum of the SQL expression ``value`` over the rows of the partition priced
-    within +/- half of the row (any width): three running totals, one pass each."""
-    v = f"sum(CASE WHEN {price} IS NOT NULL THEN {value} END)"
-    by = f"PARTITION BY {', '.join(part)}"
-    edge = f"RANGE BETWEEN UNBOUNDED PRECEDING AND {float(half)!r}D FOLLOWING"
-    return F.expr(f"{v} OVER ({by} ORDER BY {price} {edge}) + {v} OVER ({by} ORDER BY {price} DESC {edge}) - {v} OVER ({by})")
-
-
-def _band(value: str, part: Sequence[str], price: str) -> Column:
-    """The total over the row's own band; NULL without a price or partition key."""
-    p = F.col(price)
-    known = p.isNotNull()
-    for c in part:
-        known = known & F.col(c).isNotNull()
-    return F.when(~known, None).when(p < WIDE_FROM, band_total(value, part, price, NARROW)) \
-        .otherwise(band_total(value, part, price, WIDE))
-
-
 # ------------------------------------------------------------------ J14
-def price_band_competitors(df: DataFrame, key: str = "style_cd", group: str = "grp") -> DataFrame:
+def price_band_competitors(df: DataFrame, key: str = "style_cd", group: str = "grp", limit: int = bands.LIMIT) -> DataFrame:
     """One row per (key, date) with the lowest md (ties: smaller product
     code); counts of keys on the same date and group priced inside the row's
     band: all, on sale (md < 1), at a lower md than the row (itself included)."""
     w1 = Window.partitionBy(key, "sales_date").orderBy("md10", "prod_code")
     d = (df.withColumn("_rn", F.row_number().over(w1)).filter("_rn = 1")
-         .select(key, "sales_date", group, "md10", "md_price"))
-    # the rows at a lower md: for each md of the (date, group), the rows below it
-    # are stacked under it, so any md values do and a busy group splits by md
-    levels = d.filter(F.col(group).isNotNull()).groupBy("sales_date", group).agg(F.collect_set("md10").alias("_levels"))
-    below = (d.join(levels, ["sales_date", group])
-             .select("sales_date", group, "md_price", F.explode(F.filter("_levels", lambda v: v > F.col("md10"))).alias("_level"),
-                     F.lit(1).alias("_n")))
-    u = d.withColumn("_level", F.col("md10")).withColumn("_n", F.lit(0)).unionByName(below, allowMissingColumns=True)
-    lower = u.withColumn("_low", _band("_n", ["sales_date", group, "_level"], "md_price")).filter("_n = 0")
-    part = ["sales_date", group]
-    out = (lower.withColumn("_all", _band("1", part, "md_price"))
-           .withColumn("_sale", _band("IF(md10 < 10, 1, 0)", part, "md_price")))
-    return out.select(key, "sales_date", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(n) for c, n in (
-        ("_all", "num_styles_in_group"), ("_sale", "num_styles_on_sale_in_group"), ("_low", "num_styles_lower_MD_in_group"))])
+         .select(key, "sales_date", group, "md10", "md_price").withColumn("_id", F.monotonically_increasing_id()))
+    d = price_band_bounds(materialize(d, "band-rows")).withColumnsRenamed({"md_price": "x", "comp_price_low": "lo", "comp_price_high": "hi"})
+    part, out = ["sales_date", group], ["_n", "_sale", "better"]
+    cuts = bands.cut_points(d.where(F.col(group).isNotNull()), part, {"_by_x": F.col("x"), "_by_rank": F.col("md10").cast("double")}, limit)
+    by_x, by_rank = ("_by_x", "_by_rank") if cuts is not None else (None, None)
+    extra = ["_by_x"] if cuts is not None else []
+    d = bands.with_cuts(d, part, cuts).withColumns({"_level": F.lit(-1), "_block": F.lit(0).cast("long"), "_n": F.lit(1.0),
+                                                    "_sale": (F.col("md10") < 10).cast("double")})
+    # rows without a price are in no band, so they need no place in the order of md either
+    better, below = bands.better_events(
+        bands.ranked(d.drop("_level", "_block").where(F.col(group).isNotNull() & F.col("x").isNotNull()), part, "md10", by_rank),
+        part, [key], extra)
+    spot = [*part, "_level", "_block", *extra]
+    sums = bands.range_totals(d.select(*spot, "x", "_n", "_sale").unionByName(better, allowMissingColumns=True),
+                              d.select("_id", key, *spot, "lo", "hi").unionByName(below), [*part, "_level", "_block"], out, by_x, [key, "sales_date"])
+    return sums.select(key, "sales_date", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(n) for c, n in (
+        ("_n", "num_styles_in_group"), ("_sale", "num_styles_on_sale_in_group"), ("better", "num_styles_lower_MD_in_group"))])
 
 
 # ------------------------------------------------------ band sums
-def band_sums(population: DataFrame, probes: DataFrame, group: str = "grp") -> DataFrame:
+def band_sums(population: DataFrame, probes: DataFrame, group: str = "grp", limit: int = bands.LIMIT) -> DataFrame:
     """Sum population inventory values over the probe's band on the probe's
-    date and group. ``probes`` has (probe_id..., _pdate, grp, _pprice);
+    date and group. ``probes`` has (probe columns..., _pdate, grp, _pprice);
     ``population`` has (sales_date, grp, md_price, inv_qty, md1)."""
-    pop = population.select(F.col("sales_date").alias("_pdate"), group,
-                            F.col("md_price").alias("_pprice"),
-                            F.col("inv_qty").alias("_inv"),
-                            (F.col("md_price") * F.col("inv_qty")).alias("_aur_inv"),
-                            (F.rint(F.col("md1") * 10.0) * F.col("inv_qty")).alias("_md_inv"),
-                            F.lit(False).alias("_probe"))
-    u = probes.withColumn("_probe", F.lit(True)).unionByName(pop, allowMissingColumns=True)
-    sums = {name: _band(c, ["_pdate", group], "_pprice")
-            for name, c in (("_s_inv", "_inv"), ("_s_aur", "_aur_inv"), ("_s_md", "_md_inv"))}
-    sums["_s_md"] = sums["_s_md"] / 10.0  # added up in tenths, so exactly
-    return (u.select("*", *[c.alias(k) for k, c in sums.items()]).filter("_probe")
-            .drop("_probe", "_inv", "_aur_inv", "_md_inv"))
+    part, values = ["_pdate", group], ["_s_inv", "_s_aur", "_s_md"]
+    probes = materialize(probes.withColumn("_id", F.monotonically_increasing_id()), "probes")
+    pop = materialize(population.where(F.col(group).isNotNull() & F.col("md_price").isNotNull()).select(
+        F.col("sales_date").alias("_pdate"), group, F.col("md_price").alias("x"), F.col("inv_qty").alias("_s_inv"),
+        (F.col("md_price") * F.col("inv_qty")).alias("_s_aur"), (F.rint(F.col("md1") * 10.0) * F.col("inv_qty")).alias("_s_md")), "population")
+    ends = price_band_bounds(probes, "_pprice").select("_id", *part, F.col("comp_price_low").alias("lo"), F.col("comp_price_high").alias("hi"),
+                                                       F.col("_pprice").alias("x"))
+    cuts = bands.cut_points(pop.select(*part, "x").unionByName(ends.where(F.col(group).isNotNull() & F.col("_pdate").isNotNull()).select(*part, "x")),
+                            part, {"_by_x": F.col("x")}, limit)
+    sums = bands.range_totals(bands.with_cuts(pop, part, cuts), bands.with_cuts(ends, part, cuts), part, values,
+                              None if cuts is None else "_by_x")
+    # md x inventory is added up in tenths, so exactly
+    return probes.join(sums, "_id").withColumn("_s_md", F.col("_s_md") / 10.0).drop("_id")
 
 
 def _shares(own_inv: Column, own_price: Column, own_md: Column, prefix: str, suffix: str) -> list[Column]:
@@ -166,80 +152,123 @@ def asof_last_same_md(df: DataFrame, lead: int, level: str = "prod_code", group:
 
 
 # ------------------------------------------------------------------ J18
-BUCKET = 2 * WIDE   # price bucket width >= widest band, so a band spans <= 2 buckets
-
-
 def competitor_days_same_md(df: DataFrame, bounds: DataFrame, lead: int, level: str = "prod_code",
                             group: str = "grp") -> DataFrame:
     """Distinct dates of the row's calendar season, strictly before
     date - lead, on which another product of the group had this md and a
     price inside the row's band. 0 when none.
 
-    Candidates are pre-aggregated per (season, group, md, date, price) to the
-    number of distinct products and the smallest one; a probe meets only the
-    candidates of its price buckets (equi-join on season, group, md, bucket),
-    so no pairs outside the neighbouring price range are formed."""
+    For each probe and earlier day of its season, the lowest price of another product
+    from the band's lower edge on decides: the day counts if that is within the upper
+    edge. Prices of a (day, group, md) and the probes' lower edges are stacked in
+    descending order, so the last price seen is the next one upwards; a price carries
+    the next one of a different product too, for when it is the probe's own."""
     from pricewise.operators.timefeatures import with_calendar_season
-    cal = with_calendar_season(df, bounds).filter(F.col("cal_season").isNotNull())
-    cand = (cal.groupBy("cal_season", group, "md10", F.col("sales_date").alias("_cd"),
-                        F.col("md_price").alias("_cp"))
-            .agg(F.countDistinct(level).alias("_np"), F.min(level).alias("_minp"))
-            .withColumn("_b", F.floor(F.col("_cp") / BUCKET)))
-    probes = (price_band_bounds(cal, "md_price")
-              .select(level, "sales_date", "md10", "cal_season", group, "comp_price_low", "comp_price_high")
-              .withColumn("_b", F.explode(F.array_distinct(F.array(
-                  F.floor(F.col("comp_price_low") / BUCKET), F.floor(F.col("comp_price_high") / BUCKET))))))
-    hit = probes.join(cand, ["cal_season", group, "md10", "_b"]).where(
-        (F.col("_cp") >= F.col("comp_price_low")) & (F.col("_cp") <= F.col("comp_price_high"))
-        & (F.col("_cd") < F.date_sub("sales_date", lead))
-        & ((F.col("_np") >= 2) | (F.col("_minp") != F.col(level))))
-    counts = hit.groupBy(level, "sales_date", "md10").agg(F.countDistinct("_cd").alias("_c"))
-    return (cal.select(level, "sales_date", "md10").join(counts, [level, "sales_date", "md10"], "left")
-            .select(level, "sales_date", (F.col("md10") / 10.0).alias("md1"),
-                    F.coalesce(F.col("_c"), F.lit(0)).cast("long").alias("num_days_comp_this_md_inseason")))
+    cal = with_calendar_season(df, bounds).filter(F.col("cal_season").isNotNull()).select(
+        level, "sales_date", "md10", "cal_season", "season_start", group, "md_price")
+    cal = materialize(cal.withColumn("_id", F.monotonically_increasing_id()), "season-rows")
+    spot = ["cal_season", group, "md10", "_day"]
+    cand = (cal.where(F.col(group).isNotNull() & F.col("md_price").isNotNull())
+            .groupBy("cal_season", group, "md10", F.col("sales_date").alias("_day"), F.col("md_price").alias("_x"))
+            .agg(F.min(level).alias("_low"), F.max(level).alias("_high")))
+    # a price of one product only continues the run of prices of that product
+    up, down = Window.partitionBy(*spot).orderBy("_x"), Window.partitionBy(*spot).orderBy(F.desc("_x"))
+    starts = ~F.coalesce((F.lag("_low").over(up) == F.col("_low")) & (F.lag("_high").over(up) == F.col("_high"))
+                         & (F.col("_low") == F.col("_high")), F.lit(False))
+    other = F.last(F.when(F.col("_starts"), F.col("_x")), ignorenulls=True).over(down.rowsBetween(UNBOUNDED, -1))
+    cand = cand.withColumn("_starts", starts).withColumn("_other", other) \
+        .select(*spot, "_x", F.struct("_x", "_low", "_high", "_other").alias("_next"))
+    days = F.sequence("season_start", F.date_sub("sales_date", lead + 1))
+    probes = price_band_bounds(cal).where((F.date_sub("sales_date", lead + 1) >= F.col("season_start")) & F.col(group).isNotNull()) \
+        .select("_id", level, "cal_season", group, "md10", F.explode(days).alias("_day"), F.col("comp_price_low").alias("_x"),
+                F.col("comp_price_high").alias("_hi"))
+    w = Window.partitionBy(*spot).orderBy(F.desc("_x"), F.asc_nulls_first("_id")).rowsBetween(UNBOUNDED, 0)
+    near = probes.unionByName(cand, allowMissingColumns=True).withColumn("_next", F.last("_next", ignorenulls=True).over(w)) \
+        .where("_id IS NOT NULL")
+    own = (F.col("_next._low") == F.col(level)) & (F.col("_next._high") == F.col(level))
+    found = F.when(own, F.col("_next._other")).otherwise(F.col("_next._x"))
+    counts = near.where(found <= F.col("_hi")).groupBy("_id").agg(F.count(F.lit(1)).alias("_c"))
+    return cal.select("_id", level, "sales_date", "md10").join(counts, "_id", "left").select(
+        level, "sales_date", (F.col("md10") / 10.0).alias("md1"), F.coalesce("_c", F.lit(0)).cast("long").alias("num_days_comp_this_md_inseason"))
 
 
 # ------------------------------------------------------------ W14 - W16
+@dataclass
+class Position:
+    """One call of W14: a group, the price that ranges are on, and what is compared."""
+
+    group: Sequence[str]
+    name: str = ""
+    price: str = "MSRP"
+    rank: str = "AUR"
+    md: str = "md1"
+    inv: str = "inv_qty"
+    ascending: bool = True
+    label: str | None = None
+
+    def columns(self) -> list[str]:
+        pre = f"same_{self.name}_{self.price}"
+        return [f"{pre}_{self.label or self.md}_competitiveness", f"{pre}_comp_cnt", f"{pre}_{self.rank}_rank"]
+
+
+def positions(df: DataFrame, calls: Sequence[Position], rng: float = 100.0, limit: int = bands.LIMIT) -> DataFrame:
+    """W14 for several calls at once: the rows with a group in every call (P3), and for
+    each call, among rows of the group within +/- rng of the row's price: weight (md x
+    inv) / mean weight (999 when the mean is not > 0), row count, and position = rows
+    with a strictly better rank value / count (2 decimals; ascending: smaller is
+    better). A row without a price is in no range: 999, 0 and NULL.
+
+    The calls' rows are stacked, so all of them take one pass."""
+    rows = df.dropna(subset=sorted({c for call in calls for c in call.group}))
+    rows = materialize(rows.withColumn("_id", F.monotonically_increasing_id()), "position-rows")
+    part, spot = ["_call", "_group"], ["_call", "_group", "_level", "_block"]
+    each = None
+    for k, call in enumerate(calls):
+        rank = F.col(call.rank).cast("double")
+        weight = (F.col(call.md) * F.col(call.inv)).cast("double")
+        one = rows.select(
+            "_id", F.lit(k).alias("_call"), F.to_json(F.struct(*call.group)).alias("_group"), F.col(call.price).cast("double").alias("x"),
+            (rank if call.ascending else -rank).alias("_rank"), weight.alias("_w"), F.when(weight.isNotNull(), 1.0).alias("_nw"))
+        each = one if each is None else each.unionByName(one)
+    each = each.where("x IS NOT NULL").withColumns({"lo": F.col("x") - rng, "hi": F.col("x") + rng})
+    cuts = bands.cut_points(each, part, {"_by_x": F.col("x"), "_by_rank": F.col("_rank")}, limit)
+    by_x, by_rank, extra = ("_by_x", "_by_rank", ["_by_x"]) if cuts is not None else (None, None, [])
+    each = bands.with_cuts(each, part, cuts)
+    better, below = bands.better_events(bands.ranked(each, part, "_rank", by_rank), part, [], extra)
+    whole = each.withColumns({"_level": F.lit(-1), "_block": F.lit(0).cast("long"), "_n": F.lit(1.0)})
+    sums = bands.range_totals(whole.select(*spot, *extra, "x", "_n", "_w", "_nw").unionByName(better, allowMissingColumns=True),
+                              whole.select("_id", *spot, *extra, "lo", "hi").unionByName(below), spot, ["_n", "_w", "_nw", "better"], by_x, ["_call"])
+    wide = sums.groupBy("_id").agg(*[F.max(F.when(F.col("_call") == k, F.col(c))).alias(f"{c}{k}")
+                                     for k in range(len(calls)) for c in ("_n", "_w", "_nw", "better")])
+    out = rows.join(wide, "_id", "left")
+    new = {}
+    for k, call in enumerate(calls):
+        mean = safe_div(f"_w{k}", f"_nw{k}")
+        names = call.columns()
+        new[names[0]] = F.when(mean > 0, F.col(call.md) * F.col(call.inv) / mean).otherwise(F.lit(999.0))
+        new[names[1]] = F.coalesce(F.col(f"_n{k}"), F.lit(0.0)).cast("long")
+        new[names[2]] = np_round(safe_div(f"better{k}", f"_n{k}"), 2)
+    return out.select(*df.columns, *[c.alias(n) for n, c in new.items()])
+
+
 def competitive_position(df: DataFrame, group_cols: Sequence[str], grp_name: str = "",
                          price_col: str = "MSRP", rank_col: str = "AUR", md_col: str = "md1",
                          inv_col: str = "inv_qty", rng: float = 100.0, ascending: bool = True,
-                         md_label: str | None = None) -> DataFrame:
-    """Among rows of the group within +/- rng of the row's price:
-    weight (md x inv) / mean weight (999 when the mean is not > 0), row
-    count, and position = rows with a strictly better rank value / count
-    (2 decimals; ascending: smaller is better). Rows without a group are dropped
-    (P3); ``rng`` may be any number."""
-    df = df.dropna(subset=list(group_cols))
-    frame = (f"OVER (PARTITION BY {', '.join(group_cols)} ORDER BY {price_col} "
-             f"RANGE BETWEEN {float(rng)!r}D PRECEDING AND {float(rng)!r}D FOLLOWING)")
-    weight = F.col(md_col) * F.col(inv_col)
-    mean_w = F.expr(f"avg({md_col} * {inv_col}) {frame}")
-    ranks = F.expr(f"collect_list({rank_col}) {frame}")
-    own = F.col(rank_col)
-    better = F.size(F.filter(ranks, (lambda v: v < own) if ascending else (lambda v: v > own)))
-    n = F.expr(f"count(1) {frame}")
-    pre = f"same_{grp_name}_{price_col}"
-    return df.select(
-        "*",
-        F.when(mean_w > 0, weight / mean_w).otherwise(F.lit(999.0))
-        .alias(f"{pre}_{md_label or md_col}_competitiveness"),
-        n.alias(f"{pre}_comp_cnt"),
-        np_round(better / n, 2).alias(f"{pre}_{rank_col}_rank"))
-
-
-def competing_features(df: DataFrame, level: str, rank_fill: str = "past_7_aps") -> DataFrame:
+                         md_label: str | None = None, limit: int = bands.LIMIT) -> DataFrame:
+    """One call of :func:`positions`."""
+    return positions(df, [Position(list(group_cols), grp_name, price_col, rank_col, md_col, inv_col, ascending, md_label)], rng, limit)
+
+
+def competing_features(df: DataFrame, level: str, rank_fill: str = "past_7_aps", limit: int = bands.LIMIT) -> DataFrame:
     """The reference's competitor calls, group = date + gender + category
     (+ platform class / power item / model / base colour for SKUs), range 100."""
     g = ["sales_date", "gender_group", "gc_category"]
     x = df.fillna({"power_item": "non-power-franchise", rank_fill: 0.0})
-    x = competitive_position(x, g, "", "MSRP", "AUR", "md1", ascending=True, md_label="md")
-    calls = [("", g), ("platform", g + ["class_platform"]), ("pc", g + ["power_item"]),
-             ("Model", g + ["model"])]
+    groups = [("", g), ("platform", g + ["class_platform"]), ("pc", g + ["power_item"]), ("Model", g + ["model"])]
     if level == "prod_code":
-        calls.append(("color", g + ["base_color"]))
-    for name, cols in calls:
-        x = competitive_position(x, cols, name, "AUR", rank_fill, "MSRP", ascending=False)
-    return x
+        groups.append(("color", g + ["base_color"]))
+    return positions(x, [Position(g, label="md"), *[Position(cols, name, "AUR", rank_fill, "MSRP", ascending=False) for name, cols in groups]],
+                     limit=limit)
 
 
 def inventory_rank(df: DataFrame, keys: Sequence[str] = ("sales_date", "gender_group"),

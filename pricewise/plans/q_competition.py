@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pricewise.functions import scalars as sc
 from pricewise.operators import competition as cp
 from pricewise.operators import ingest
 from pricewise.operators import timefeatures as tf
@@ -114,19 +115,27 @@ def competitor_days_same_md(spark, sf_dir):
     return cp.competitor_days_same_md(_sku(spark, sf_dir), ingest.season_bounds(v.season_calendar()), LEAD)
 
 
-def _competing_sql():
+#: W15's base rows: their attributes and past-7 full-price APS.
+COMPETING = {"style_cd": ("style", []), "prod_code": ("sku", ["base_color"])}
+
+
+def _competing_sql(level: str) -> str:
+    table, more = COMPETING[level]
     g = ["sales_date", "gender_group", "gc_category"]
     calls = [("", g, "MSRP", "md", "AUR", True),
              ("", g, "AUR", "MSRP", "past_7_aps", False),
              ("platform", g + ["class_platform"], "AUR", "MSRP", "past_7_aps", False),
              ("pc", g + ["power_item"], "AUR", "MSRP", "past_7_aps", False),
              ("Model", g + ["model"], "AUR", "MSRP", "past_7_aps", False)]
-    ctes = [rolling_ctes(W4_SPECS, SHIFT, "past_{n}_full_price_{stat}_aps", "round_even(md1, 0) > 0.9"),
-            """cb AS (SELECT s.style_cd, s.sales_date, s.gender_group, s.gc_category, s.class_platform,
+    if level == "prod_code":
+        calls.append(("color", g + ["base_color"], "AUR", "MSRP", "past_7_aps", False))
+    colour = "substr(s.prod_code, length(s.prod_code) - 2, 1) AS base_color," if more else ""
+    ctes = [rolling_ctes(W4_SPECS, SHIFT, "past_{n}_full_price_{stat}_aps", "round_even(md1, 0) > 0.9", table, level),
+            f"""cb AS MATERIALIZED (SELECT row_number() OVER () AS r, s.{level}, s.sales_date, s.gender_group, s.gc_category, s.class_platform, {colour}
        coalesce(s.power_item, 'non-power-franchise') AS power_item, s.model, s.MSRP, s.inv_qty,
        s.md1, round_even(s.sales_amt / s.sales_qty, 0) AS AUR,
        coalesce(r.past_7_full_price_avg_aps, 0) AS past_7_aps
-  FROM style s LEFT JOIN roll r ON s.style_cd = r.style_cd AND s.sales_date = r.sales_date)"""]
+  FROM {table} s LEFT JOIN roll r ON s.{level} = r.{level} AND s.sales_date = r.sales_date)"""]
     sel = []
     for i, (name, cols, price, mdc, rank, asc) in enumerate(calls):
         w = "md1" if mdc == "md" else mdc
@@ -134,31 +143,37 @@ def _competing_sql():
         cmp = "<" if asc else ">"
         pre = f"same_{name}_{price}"
         ctes.append(f"""c{i} AS (
-  SELECT x.style_cd, x.sales_date,
+  SELECT x.r, x.{level}, x.sales_date,
          CASE WHEN avg(y.{w} * y.inv_qty) > 0 THEN x.{w} * x.inv_qty / avg(y.{w} * y.inv_qty) ELSE 999.0 END
            AS {pre}_{mdc}_competitiveness,
          count(*) AS {pre}_comp_cnt,
          round_even(sum(CASE WHEN y.{rank} {cmp} x.{rank} THEN 1 ELSE 0 END) / count(*), 2) AS {pre}_{rank}_rank
   FROM cb x JOIN cb y ON {on} AND abs(y.{price} - x.{price}) <= 100
-  GROUP BY x.style_cd, x.sales_date, x.{w}, x.inv_qty, x.{rank})""")
-        sel.append(f"c{i}.* EXCLUDE (style_cd, sales_date)")
-    joins = "\n".join(f"JOIN c{i} ON c{i}.style_cd = c0.style_cd AND c{i}.sales_date = c0.sales_date"
-                      for i in range(1, len(calls)))
+  GROUP BY x.r, x.{level}, x.sales_date, x.{w}, x.inv_qty, x.{rank})""")
+        sel.append(f"c{i}.* EXCLUDE (r, {level}, sales_date)")
+    joins = "\n".join(f"JOIN c{i} ON c{i}.r = c0.r" for i in range(1, len(calls)))
     return ("WITH " + ",\n".join(ctes) +
-            f"\nSELECT c0.style_cd, c0.sales_date, {', '.join(sel)}\nFROM c0\n{joins}")
+            f"\nSELECT c0.{level}, c0.sales_date, {', '.join(sel)}\nFROM c0\n{joins}")
+
 
+def _competing(rows, level):
+    rows = cp.aur(rows)
+    w4 = tf.rolling_full_price(rows, level, SHIFT).select(level, "sales_date", F.col("past_7_full_price_avg_aps").alias("past_7_aps"))
+    x = cp.competing_features(rows.join(w4, [level, "sales_date"], "left"), level)
+    return x.select(level, "sales_date", *[c for c in x.columns if c.startswith("same_")])
 
 
-@register("competitive_position", sql=_competing_sql())
+@register("competitive_position", sql=_competing_sql("style_cd"))
 def competitive_position(spark, sf_dir):
     """W14 + W15: competitiveness, competitor count and rank position in five
     competitor groups (style level; past-7 full-price APS from W4)."""
-    s = cp.aur(base.style_base(base.views(spark, sf_dir)))
-    w4 = tf.rolling_full_price(s, "style_cd", SHIFT).select(
-        "style_cd", "sales_date", F.col("past_7_full_price_avg_aps").alias("past_7_aps"))
-    x = cp.competing_features(s.join(w4, ["style_cd", "sales_date"], "left"), "style_cd")
-    feats = [c for c in x.columns if c.startswith("same_")]
-    return x.select("style_cd", "sales_date", *feats)
+    return _competing(base.style_base(base.views(spark, sf_dir)), "style_cd")
+
+
+@register("competitive_position_sku", sql=_competing_sql("prod_code"))
+def competitive_position_sku(spark, sf_dir):
+    """W15 at SKU level: the five groups and that of equal base colour."""
+    return _competing(base.sku_base(base.views(spark, sf_dir)).withColumn("base_color", sc.base_color()), "prod_code")
 
 
 @register("inventory_rank", sql="""
