@@ -2,17 +2,20 @@
 W22, W23, O3).
 
 Group reports use grouping sets so one aggregation pass gives the total
-and the per-group rows. The cumulative-share report orders the table at
-product grain (catalog-sized, after aggregation), never at row grain.
+and the per-group rows. Medians, quantile edges, running shares and running medians
+come from :mod:`pricewise.operators.order_stats`: no task orders a whole table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewise.functions.frames import UNBOUNDED
 from pricewise.functions.rules import np_round, safe_div
+from pricewise.operators.order_stats import in_order, quantiles, running_median
+from pricewise.session import materialize
 
 PRED = "predict_sales_qty"
 
@@ -79,28 +82,46 @@ def accuracy_share(metrics: DataFrame, key: str = "style_cd") -> DataFrame:
 
 
 def weighted_accuracy(metrics: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """Median error; qty-weighted and row share of rows with error <= threshold."""
+    """Median error; qty-weighted and row share of rows with error <= threshold. The
+    median is selected exactly, without one task that holds the errors."""
+    metrics = materialize(metrics.select("MAPE_qty", "sales_qty"), "errors")
+    median = quantiles(metrics, "MAPE_qty", [0.5])[0]
     ok = F.col("MAPE_qty") <= threshold
-    return metrics.agg(F.percentile("MAPE_qty", 0.5).alias("median_mape"),
+    return metrics.agg(F.lit(median).cast("double").alias("median_mape"),
                        safe_div(F.sum(F.when(ok, F.col("sales_qty")).otherwise(0.0)), F.sum("sales_qty")).alias("qty_share_within"),
                        (F.sum(F.when(ok, 1).otherwise(0)) / F.count(F.lit(1))).alias("row_share_within"))
 
 
+def _by_product(metrics: DataFrame, level: str, pred: str) -> DataFrame:
+    return metrics.groupBy(level).agg(F.sum("sales_qty").alias("sales_qty"), F.sum(pred).alias(pred)) \
+        .withColumn("MAPE", F.abs(safe_div(pred, "sales_qty") - 1))
+
+
+def running_share(rows: DataFrame, keys: Sequence[str], out: str = "cum_prct") -> DataFrame:
+    """Running share of the total qty in descending qty order (ties by ``keys``, which
+    tell rows apart); a row without qty has none (it comes last and adds nothing)."""
+    ran = in_order(rows, [("sales_qty", True), *((k, False) for k in keys)], {"_ran": F.coalesce("sales_qty", F.lit(0.0))})
+    return ran.withColumn(out, F.when(F.col("sales_qty").isNotNull(), safe_div("_ran", "_ran_all"))).drop("_ran", "_ran_all")
+
+
 def cumulative_share(metrics: DataFrame, level: str, share: float = 0.3, pred: str = PRED) -> DataFrame:
     """W22 + W23 + O3: per product: qty, forecast, error; running share of
     total qty in descending qty order (ties by key); running median of the
-    error; flag of the smallest top set reaching ``share``.
+    error; flag of the smallest top set reaching ``share``. Products are ordered in
+    ranges and chunks, never in one task."""
+    a = running_median(_by_product(metrics, level, pred), [("sales_qty", True), (level, False)], "MAPE", "median_mape")
+    return running_share(a, [level]).withColumn("in_top_share", (F.col("cum_prct") <= share).cast("int"))
+
 
-    The ordering is global but runs on the product-grain table (one row per
-    product after the aggregation), whose size is the catalog, not the data."""
-    a = (metrics.groupBy(level).agg(F.sum("sales_qty").alias("sales_qty"), F.sum(pred).alias(pred))
-         .withColumn("MAPE", F.abs(safe_div(pred, "sales_qty") - 1)))
-    order = Window.orderBy(F.col("sales_qty").desc(), F.col(level))
-    run = order.rowsBetween(UNBOUNDED, 0)
-    total = F.sum("sales_qty").over(Window.partitionBy())
-    return (a.withColumn("cum_prct", F.sum("sales_qty").over(run) / total)
-            .withColumn("median_mape", F.percentile("MAPE", 0.5).over(run))
-            .withColumn("in_top_share", (F.col("cum_prct") <= share).cast("int")))
+def top_share_medians(metrics: DataFrame, level: str, keys: Sequence[str], share: float = 0.3, pred: str = PRED) -> DataFrame:
+    """W22 + O3: the median error of the rows that make up the first ``share`` of total
+    qty, in descending order: one row for table rows (told apart by ``keys``), one for
+    products (``level``)."""
+    out = []
+    for grain, rows, by in (("row", metrics.select(*keys, "sales_qty", "MAPE"), keys), ("product", _by_product(metrics, level, pred), [level])):
+        top = materialize(running_share(rows, by).where(F.col("cum_prct") <= share).select("MAPE"), "top-share")
+        out.append((grain, top.count(), quantiles(top, "MAPE", [0.5])[0]))
+    return metrics.sparkSession.createDataFrame(out, "grain string, n_rows long, median_mape double")
 
 
 def confusion_matrix(scored: DataFrame, real: str, predicted: str, bins: int = 15) -> DataFrame:
@@ -108,21 +129,20 @@ def confusion_matrix(scored: DataFrame, real: str, predicted: str, bins: int = 1
     real and predicted boosts are cut on the same right-closed edges, the lowest
     of which is open a thousandth below, so that a boost equal to it is in the
     first bin; counts per (real bin, predicted bin) and the diagonal share."""
-    probs = [i / bins for i in range(bins + 1)]
-    edges = scored.agg(F.array_distinct(F.percentile(F.rint(real), probs)).alias("_e"))
-    x = scored.crossJoin(F.broadcast(edges))  # one row of <= bins + 1 edges
+    x = materialize(scored.select(F.rint(real).alias("_rb"), F.col(predicted).alias("_pb")), "boosts")
+    edges = sorted({e for e in quantiles(x, "_rb", [i / bins for i in range(bins + 1)]) if e is not None})
+    if not edges:
+        edges = [0.0]  # no real boost: no rows
 
     def bin_of(c):
         # index i such that e[i-1] < v <= e[i], with e[0] lowered
-        lo = F.col(c) > F.element_at("_e", 1) - 0.001
-        return F.when(lo & (F.col(c) <= F.element_at("_e", -1)),
-                      F.greatest(F.lit(1), F.size(F.filter("_e", lambda e: e < F.col(c)))))
+        v = F.col(c)
+        i = sum(((v > e).cast("int") for e in edges[1:]), (v > edges[0]).cast("int"))
+        return F.when((v > edges[0] - 0.001) & (v <= edges[-1]), F.greatest(F.lit(1), i))
 
-    x = x.withColumn("_rb", F.rint(real))
-    cm = (x.select(bin_of("_rb").alias("real_bin"), bin_of(predicted).alias("pred_bin"))
+    cm = (x.select(bin_of("_rb").alias("real_bin"), bin_of("_pb").alias("pred_bin"))
           .filter(F.col("real_bin").isNotNull() & F.col("pred_bin").isNotNull())
           .groupBy("real_bin", "pred_bin").count())
-    w = Window.partitionBy()
+    w = Window.partitionBy()  # (bins + 1) ** 2 rows at most
     return cm.withColumn("diag_share", F.sum(F.when(F.col("real_bin") == F.col("pred_bin"), F.col("count"))
                                               .otherwise(0)).over(w) / F.sum("count").over(w))
-

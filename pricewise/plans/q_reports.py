@@ -232,6 +232,20 @@ def cumulative_share(spark, sf_dir):
     return rp.cumulative_share(rp.forecast_metrics(_scored(spark, sf_dir), 0.33), "style_cd")
 
 
+@register("top_share_medians", sql="WITH " + SCORED.format(thr=0.33) + """,
+r AS (SELECT MAPE, sum(sales_qty) OVER w / sum(sales_qty) OVER () AS p FROM m
+      WINDOW w AS (ORDER BY sales_qty DESC, style_cd, sales_date, season1, inseason_flag1 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+a AS (SELECT style_cd, sum(sales_qty) AS sales_qty, sum(predict_sales_qty) AS predict_sales_qty FROM m GROUP BY style_cd),
+b AS (SELECT abs(predict_sales_qty / sales_qty - 1) AS MAPE, sum(sales_qty) OVER w / sum(sales_qty) OVER () AS p FROM a
+      WINDOW w AS (ORDER BY sales_qty DESC, style_cd ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT 'row' AS grain, count(*) AS n_rows, median(MAPE) AS median_mape FROM r WHERE p <= 0.3
+UNION ALL SELECT 'product', count(*), median(MAPE) FROM b WHERE p <= 0.3""")
+def top_share_medians(spark, sf_dir):
+    """W22 at row grain + O3: median error of the top 30% of qty, by rows and by styles."""
+    return rp.top_share_medians(rp.forecast_metrics(_scored(spark, sf_dir), 0.33), "style_cd",
+                                ["style_cd", "sales_date", "season1", "inseason_flag1"])
+
+
 PROBS = ", ".join(f"{i}.0 / 15" for i in range(16))
 
 
