@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.functions.rules import right_closed_bins
+from pricewise.session import materialize
 
 
 def style_code(prod_code: str = "prod_code") -> Column:
@@ -38,15 +39,23 @@ def color_words(desc: Column, lexicon: Column, pos: int) -> Column:
 
 def with_color_features(df: DataFrame, lexicon: DataFrame, desc: str = "color_desc",
                         word: str = "color") -> DataFrame:
-    """F2 + F3 for every row: base colour and major / minor colour words.
-    The lexicon is gathered into one array row (its size is the word list)
-    and broadcast."""
-    lex = F.broadcast(lexicon.agg(F.collect_set(word).alias("_lex")))
-    return (df.crossJoin(lex)
+    """F2 + F3 for every row: base colour and major / minor colour words. The words of
+    the distinct descriptions are joined with the lexicon, so the work is that of the
+    catalog, not of the rows, and the lexicon may be of any size."""
+    low = F.lower(desc)
+    texts = df.select(F.col(desc).alias("_desc")).where("_desc IS NOT NULL").distinct()
+    parts = texts.select("_desc", F.posexplode(F.slice(F.split(F.lower("_desc"), "/"), 1, 2)).alias("_pos", "_part")) \
+        .withColumn("_words", F.split("_part", "[- ]")).where(F.size("_words") > 1)
+    found = parts.select("_desc", "_pos", F.explode(F.array_distinct("_words")).alias("_word")) \
+        .join(lexicon.select(F.col(word).alias("_word")).distinct(), "_word", "left_semi") \
+        .groupBy("_desc", "_pos").agg(F.array_join(F.array_sort(F.collect_set("_word")), " ").alias("_picked"))
+    picked = parts.select("_desc", "_pos").join(found, ["_desc", "_pos"], "left").groupBy("_desc").agg(
+        *[F.max(F.when(F.col("_pos") == k, F.coalesce("_picked", F.lit("")))).alias(c) for k, c in enumerate(("_major", "_minor"))])
+    return (df.join(picked, F.col(desc) == F.col("_desc"), "left")
             .withColumn("base_color", base_color())
-            .withColumn("major_color_desc", color_words(F.col(desc), F.col("_lex"), 0))
-            .withColumn("minor_color_desc", color_words(F.col(desc), F.col("_lex"), 1))
-            .drop("_lex"))
+            .withColumn("major_color_desc", F.coalesce("_major", low))
+            .withColumn("minor_color_desc", F.coalesce("_minor", low))
+            .drop("_desc", "_major", "_minor"))
 
 
 def season_text(season: Column) -> Column:
@@ -63,15 +72,13 @@ AUR_LABELS = [200, 400, 600, 800, 1000, 3000]
 
 def price_buckets(df: DataFrame) -> DataFrame:
     """P-13 + P-14: right-closed MSRP and AUR bands whose last edge is the
-    frame maximum, and MSRP position (MSRP - min) / (max - min). The frame's
-    min / max are one aggregate row joined by broadcast."""
-    mm = F.broadcast(df.agg(F.min("MSRP").alias("_mn"), F.max("MSRP").alias("_mx"),
-                            F.max("AUR").alias("_amx")))
-    x = df.crossJoin(mm)
-    return (x.withColumn("price_band", right_closed_bins("MSRP", MSRP_EDGES + [F.col("_mx")], MSRP_LABELS))
-            .withColumn("AUR_band", right_closed_bins("AUR", AUR_EDGES + [F.col("_amx")], AUR_LABELS))
-            .withColumn("MSRP_pos", F.try_divide(F.col("MSRP") - F.col("_mn"), F.col("_mx") - F.col("_mn")))
-            .drop("_mn", "_mx", "_amx"))
+    frame maximum, and MSRP position (MSRP - min) / (max - min). The three numbers
+    are read first, from a stage of the frame, and enter the plan as constants."""
+    df = materialize(df, "priced")
+    low, high, most = (F.lit(v).cast("double") for v in df.agg(F.min("MSRP"), F.max("MSRP"), F.max("AUR")).first())
+    return (df.withColumn("price_band", right_closed_bins("MSRP", MSRP_EDGES + [high], MSRP_LABELS))
+            .withColumn("AUR_band", right_closed_bins("AUR", AUR_EDGES + [most], AUR_LABELS))
+            .withColumn("MSRP_pos", F.try_divide(F.col("MSRP") - low, high - low)))
 
 
 def fill_missing(df: DataFrame, defaults: dict) -> DataFrame:

@@ -9,14 +9,17 @@ key, which the join checks as it runs.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewise.functions.frames import spine
 from pricewise.operators import competition as cp
 from pricewise.operators import ingest
 from pricewise.operators import modeling as md
+from pricewise.operators import state as st
 from pricewise.operators import timefeatures as tf
 
 
@@ -46,3 +49,46 @@ def modeling_features(rows: DataFrame, level: str, shift: int, lead: int, invent
     out = tf.same_md_frequency(out, level)
     out = cp.inventory_rank(out, ["sales_date", "gender_group"], "lead_inv_qty")
     return ingest.join_site_traffic(out, traffic, stores).withColumn("site_traffic", F.col("site_traffic").cast("long"))
+
+
+def forecast_features(history: DataFrame, day_rows: DataFrame, level: str, day: str, shift: int, lead: int, inventory: DataFrame,
+                      traffic: DataFrame, stores: Sequence[str]) -> DataFrame:
+    """M9: :func:`modeling_features` of the rows of one day, after ``history`` (rows before
+    it), from states as of the days that the features may look back to: no window runs
+    over the history. ``inventory`` has (level, lead_inv_qty) known for the day."""
+    before, known, led = ((dt.date.fromisoformat(day) - dt.timedelta(days=k)).isoformat() for k in (1, shift, lead))
+    seen = history.filter(F.col("sales_date") <= F.lit(known).cast("date"))
+    out, key, md_key = day_rows, [level], [level, "md10"]
+
+    def on_spine(rows, part, keys, cols, upto):
+        """Columns of ``part``, NULL unless the day looked back to is a date of ``rows``."""
+        there = rows.filter(F.col("sales_date") == F.lit(upto).cast("date")).isEmpty()
+        return attach(out, part.select(*keys, *[(F.lit(None).cast("double") if there else F.col(c)).alias(c) for c in cols]), keys)
+
+    for rows, specs, names in ((seen, _specs((1, 3, 7, 14, 21, 28), tf.STATS), "past_{n}_{stat}_aps"),
+                               (tf.md_split(seen, True), _specs((2, 7, 14), ("max", "min", "std", "avg")), "past_{n}_{stat}_mdaps"),
+                               (tf.md_split(seen, False), _specs((7, 14), ("std", "avg")), "past_{n}_full_price_{stat}_aps")):
+        part = st.last_complete_windows(rows, spine(rows), level, specs, names)
+        out = on_spine(rows, part, key, [c for c in part.columns if c != level], known)
+    md = st.state_of(st.md_days(history, level), md_key, before)
+    md_known = st.state_of(st.md_days(seen, level), md_key, known).select(
+        *md_key, F.col("v_max").alias("same_md_hist_max_aps"), F.col("v_min").alias("same_md_hist_min_aps"),
+        F.try_divide("v_sum", "v_n").alias("same_md_hist_mean_aps"))
+    out = on_spine(seen, md_known, md_key, md_known.columns[2:], known)
+    daily = st.days(history, level)
+    q = st.state_of(daily, key, led).select(level, F.col("q_max").alias("hist_max_qty"))
+    out = on_spine(history, q, key, ["hist_max_qty"], led)
+    days = st.state_of(daily, key, before).select(level, (F.try_divide("md_sum", "md_days") / 10.0).alias("hist_md_avg"), "n_rows", "n_inseason")
+    out = attach(attach(out, days, key), md.select(*md_key, F.col("n_rows").alias("_same_md")), md_key)
+    own, own_md = Window.partitionBy(level), Window.partitionBy(*md_key)
+    flagged = F.sum(F.when(F.col("inseason_flag1") == "Y", 1).otherwise(0)).over(own)
+    out = out.withColumns({"num_days_on_mkt": F.coalesce("n_rows", F.lit(0)) + F.count(F.lit(1)).over(own),
+                           "num_days_on_mkt_inseason": F.coalesce("n_inseason", F.lit(0)) + flagged,
+                           "same_md_hist_frequency": F.coalesce("_same_md", F.lit(0)) + F.count(F.lit(1)).over(own_md)}) \
+        .drop("n_rows", "n_inseason", "_same_md")
+    out = cp.inventory_rank(attach(out, inventory, key), ["sales_date", "gender_group"], "lead_inv_qty")
+    return ingest.join_site_traffic(out, traffic, stores).withColumn("site_traffic", F.col("site_traffic").cast("long"))
+
+
+def _specs(lengths: Sequence[int], stats: Sequence[str]) -> list[tuple[int, str]]:
+    return [(n, s) for n in lengths for s in stats if n > 1 or s == "avg"]

@@ -8,6 +8,7 @@ product never has to travel as raw rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -15,15 +16,19 @@ from pyspark.sql import functions as F
 
 from pricewise.functions.rules import grouped_with_median, np_round, safe_div
 from pricewise.sources.fixtures import map_column
+from pricewise.sources.stages import MONTH, in_months, on_dates
 
 SALES_KEYS = ["platform", "season1", "inseason_flag1", "prod_code", "size_cd", "sales_date", "MSRP"]
 DAILY_KEYS = ["platform", "sales_date", "prod_code", "season1", "inseason_flag1"]
 
 
-def scan_sales_window(sales: DataFrame, after=None, upto=None,
+def scan_sales_window(sales: DataFrame, after: str | None = None, upto: str | None = None,
                       exclude_platform: str | None = None,
                       keys: Sequence[str] = SALES_KEYS) -> DataFrame:
-    """Sales with date in (after, upto], one platform excluded, summed by keys."""
+    """Sales with date in (after, upto], one platform excluded, summed by keys. Of a
+    stage by month, only the window's months are read."""
+    if MONTH in sales.columns:
+        sales = in_months(sales, after, upto)
     cond = F.lit(True)
     if after is not None:
         cond &= F.col("sales_date") > F.lit(after).cast("date")
@@ -35,11 +40,17 @@ def scan_sales_window(sales: DataFrame, after=None, upto=None,
             .agg(F.sum("sales_qty").alias("sales_qty"), F.sum("sales_amt").alias("sales_amt")))
 
 
-def scan_inventory_window(inv: DataFrame, after, upto, lead: int, stores: Sequence[str]) -> DataFrame:
-    """Inventory rows with EOP date in (after - 1 - lead, upto] and store in a list."""
-    lo = F.date_sub(F.lit(after).cast("date"), 1 + lead)
-    return inv.filter((F.col("eop_dt") > lo) & (F.col("eop_dt") <= F.lit(upto).cast("date"))
-                      & F.col("store_nm").isin(list(stores)))
+def scan_inventory_window(inv: DataFrame, upto: str, lead: int, stores: Sequence[str], after: str | None = None) -> DataFrame:
+    """Inventory rows with EOP date in (after - 1 - lead, upto - 1 - lead], those known
+    1 + lead days before the sales of the window (after, upto], and store in a list;
+    without ``after``, of the day ``upto`` alone. Of a stage by month, only the window's
+    months are read."""
+    day = dt.date.fromisoformat
+    last = day(upto) - dt.timedelta(days=1 + lead)
+    first = last if after is None else day(after) - dt.timedelta(days=lead)
+    if MONTH in inv.columns:
+        inv = in_months(inv, first.isoformat(), last.isoformat())
+    return inv.filter(F.col("eop_dt").between(F.lit(first), F.lit(last)) & F.col("store_nm").isin(list(stores)))
 
 
 def scan_moment_sales(sales: DataFrame, rm_dates: DataFrame,
@@ -49,8 +60,11 @@ def scan_moment_sales(sales: DataFrame, rm_dates: DataFrame,
     """Sales on retail-moment dates, grouped. The date list is a
     calendar-bounded dimension, so it is broadcast into a left-semi join."""
     s = sales if exclude_platform is None else sales.filter(F.col("platform") != exclude_platform)
-    days = F.broadcast(rm_dates.select("sales_date").distinct())
-    return (s.join(days, "sales_date", "left_semi").groupBy(*keys)
+    if MONTH in s.columns:  # a stage by month: months without a moment aren't read
+        s = on_dates(s, rm_dates)
+    else:
+        s = s.join(F.broadcast(rm_dates.select("sales_date").distinct()), "sales_date", "left_semi")
+    return (s.groupBy(*keys)
             .agg(F.sum("sales_qty").alias("sales_qty"), F.sum("sales_amt").alias("sales_amt")))
 
 

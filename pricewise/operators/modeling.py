@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricewise.functions.rules import np_round, safe_div
+from pricewise.operators.order_stats import in_order
 from pricewise.session import drop_stage, materialize
 
 MISSING = -999.0
@@ -66,6 +67,33 @@ def null_rates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return one.unpivot([], cols, "column_name", "null_rate")
 
 
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """P-28, the other half: per numeric column the count, mean, standard deviation, least
+    and largest value and exact quartiles. All columns are one table of (column, value,
+    count); running counts along it give every quartile, so no task holds a column."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
+    counts = materialize(long.where("value IS NOT NULL AND NOT isnan(value)").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    sums = counts.groupBy("column_name").agg(F.sum("n").alias("count"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
+                                             F.min("value").alias("min"), F.max("value").alias("max"))
+    ran = in_order(counts, [("column_name", False), ("value", False)], {"upto": F.col("n")}).drop("upto_all") \
+        .join(F.broadcast(sums), "column_name")  # a row a column
+    # the running count begins anew with each column
+    start = ran.groupBy("column_name").agg(F.min(F.col("upto") - F.col("n")).alias("_start"))
+    ran = ran.join(F.broadcast(start), "column_name").withColumn("upto", F.col("upto") - F.col("_start"))
+
+    def at(p: float):
+        h = (F.col("count") - 1) * p
+        lower, upper = (F.min(F.when(F.col("upto") > f(h), F.col("value"))) for f in (F.floor, F.ceil))
+        return lower + (upper - lower) * F.max(h - F.floor(h))
+    out = ran.groupBy("column_name").agg(
+        *[F.first(c).alias(c) for c in ("count", "mean", "min", "max")],
+        F.sqrt(F.try_divide(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), F.lit(2.0))), F.max("count") - 1)).alias("std"),
+        *[at(p).alias(name) for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))])
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    return names.join(out, "column_name", "left").select("column_name", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25",
+                                                         "p50", "p75", "max")
+
+
 def prune_sparse_columns(df: DataFrame, threshold: float = 0.98, keep: Sequence[str] = ()) -> DataFrame:
     """P-25: drop columns whose null rate >= threshold. The rates are one
     small row (one value per column) read on the driver."""
@@ -182,7 +210,7 @@ def split_by_key(df: DataFrame, keys: Sequence[str], train_ratio: float, seed: i
 
 
 def encode_missing(df: DataFrame, num: Sequence[str]) -> DataFrame:
-    """Missing numeric values -> sentinel (trees split on it)."""
+    """Missing numeric values, NaN among them (P6) -> sentinel (trees split on it)."""
     return df.fillna(MISSING, subset=list(num))
 
 
@@ -243,6 +271,11 @@ def model_features(model: PipelineModel) -> tuple[list[str], list[str]]:
 
 
 def forecast_one_day(model: PipelineModel, features: DataFrame, fcst_date: str, denom: str | None) -> DataFrame:
-    """M9: rows of the forecast date, encoded as in training, scored."""
+    """M9: rows of the forecast date, encoded as in training, scored. A row without a
+    denominator has a predicted boost but no quantity."""
     day = features.filter(F.col("sales_date") == F.lit(fcst_date).cast("date"))
-    return score_forecast(model, encode_missing(day, model_features(model)[0]), denom)
+    if denom is None:
+        return score_forecast(model, encode_missing(day, model_features(model)[0]), None)
+    scored = score_forecast(model, encode_missing(day.withColumn("_denom", F.col(denom)), model_features(model)[0]), denom)
+    return scored.withColumn(denom, F.col("_denom")).withColumn(
+        "predict_sales_qty", F.when(F.col("_denom").isNotNull(), F.col("predict_sales_qty"))).drop("_denom")

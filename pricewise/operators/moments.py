@@ -19,15 +19,21 @@ from pricewise.functions.rules import grouped_with_median, np_round, pct_rank_av
 from pricewise.operators.ingest import daily_inventory
 
 
-def prepare_moments(rm_sales: DataFrame, master: DataFrame, rm_calendar: DataFrame, inv: DataFrame,
+def style_dimension(sales: DataFrame, attrs: DataFrame, platform: str) -> DataFrame:
+    """(style_cd, division, gender_group) of the products sold on a platform, from the
+    attributes and the sales' two key columns."""
+    sold = sales.filter(F.col("platform") == platform).select("prod_code").distinct()
+    return attrs.join(sold, "prod_code", "left_semi").select(F.col("style_number").alias("style_cd"), "division", "gender_group").distinct()
+
+
+def prepare_moments(rm_sales: DataFrame, styles: DataFrame, rm_calendar: DataFrame, inv: DataFrame,
                     store_platform: dict, platform: str, division: str, level: str = "prod_code") -> DataFrame:
     """rm_data_prepare: RM sales of one platform -> J3 style gender/division
     -> division filter -> A4 per (level, date, gender) -> J4 calendar ->
     lagged inventory -> rm_md, year -> W19 rank / top-10 -> W20 day-1 ratio."""
     r = (rm_sales.filter(F.col("platform") == platform)
          .withColumn("style_cd", F.substring("prod_code", 1, 6)))
-    div = (master.select(F.col("style_number").alias("style_cd"), "division", "gender_group").distinct())
-    r = r.join(div, "style_cd", "left").filter(F.col("division") == division)
+    r = r.join(styles.filter(F.col("division") == division), "style_cd")
     r = (grouped_with_median(r, [level, "sales_date", "gender_group"], "MSRP", ["sales_qty", "sales_amt"])
          .withColumnRenamed("sales_qty", "rm_sales_qty").withColumnRenamed("sales_amt", "rm_sales_amt"))
     # the RM calendar is a few days a year: broadcast
@@ -131,6 +137,7 @@ def days_from_moment(df: DataFrame, season_moment: DataFrame) -> DataFrame:
     return x.withColumn("days_since_rm", F.datediff("sales_date", "rm_start").cast("double")).drop("rm_start")
 
 
+#: The feature table's columns.
 FEATURES = ["last_rm_flag", "last_rm_sales_qty", "last_rm_md", "last_rm_qty_rank", "last_rm_qty_inv_adv",
             "last_rm_interval", "last_same_rm_flag", "last_same_rm_qty", "last_same_rm_md",
             "hist_rm_count", "hist_rm_qty", "hist_rm_md", "hist_top_10_flag", "hist_hot_flag"]

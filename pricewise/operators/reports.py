@@ -124,6 +124,37 @@ def top_share_medians(metrics: DataFrame, level: str, keys: Sequence[str], share
     return metrics.sparkSession.createDataFrame(out, "grain string, n_rows long, median_mape double")
 
 
+#: The numbers of each part of the report set.
+SUMMARY = ["tot_qty", "tot_rev", "full_price_share", "full_price_qty_share", "full_price_amt_share"]
+ERRORS = ["fcst_amt", "real_amt", PRED, "sales_qty", "mape_amt", "mape_qty"]
+ACCURACY = ["real_amt", "sales_qty", "n_rows"]
+PRODUCTS = ["sales_qty", PRED, "MAPE", "cum_prct", "median_mape"]
+
+
+def _long(df: DataFrame, report: str, one, two, values: Sequence[str]) -> DataFrame:
+    """(report, group_1, group_2, metric, value) of a report's numbers."""
+    named = df.select(F.lit(report).alias("report"), one.cast("string").alias("group_1"), two.cast("string").alias("group_2"),
+                      *[F.col(v).cast("double").alias(v) for v in values])
+    return named.unpivot(["report", "group_1", "group_2"], list(values), "metric", "value")
+
+
+def evaluate_report(scored: DataFrame, is_forecast: bool, level: str, keys: Sequence[str], by: str = "gender_group",
+                    by2: str = "gc_category", threshold: float = 0.33, share: float = 0.3, pred: str = PRED) -> DataFrame:
+    """The report set of a scored table, in long form. Of a real forecast: A15. Of a
+    back-test: errors by group (A16), accuracy (A17), products with running share and
+    running median error (W22, W23), median errors of the top share (O3). ``keys`` tell
+    the table's rows apart."""
+    none = F.lit(None)
+    if is_forecast:
+        group = F.when(F.col("is_total") == 1, F.lit("total")).otherwise(F.col(by))
+        return _long(forecast_summary(scored, by, pred=pred), "summary", group, none, SUMMARY)
+    metrics = materialize(forecast_metrics(scored, threshold, pred), "metrics")
+    return _long(error_by_group(metrics, by, by2, pred), "error", F.col(by), F.col(by2), ERRORS) \
+        .unionByName(_long(accuracy_share(metrics, level), "accuracy", F.col("bucket"), none, ACCURACY)) \
+        .unionByName(_long(cumulative_share(metrics, level, share, pred), "product", F.col(level), none, PRODUCTS)) \
+        .unionByName(_long(top_share_medians(metrics, level, keys, share, pred), "top_share", F.col("grain"), none, ["median_mape"]))
+
+
 def confusion_matrix(scored: DataFrame, real: str, predicted: str, bins: int = 15) -> DataFrame:
     """edges = quantiles of the rounded real boost (duplicates dropped);
     real and predicted boosts are cut on the same right-closed edges, the lowest

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 
 from pricewise.functions.rules import md1, md10
 from pricewise.operators import ingest
-from pricewise.sources.fixtures import STORE_PLATFORM, RetailViews
+from pricewise.sources import stages
+from pricewise.sources.fixtures import STORE_PLATFORM, TABLES, RetailViews, read_table
 
 PLATFORM = "MAIN"          # the platform the model is built for
 DIVISION = "FOOTWEAR"      # the division the features are built for
 LEAD = 32                  # days between forecast and sale (reference default)
 SHIFT = LEAD               # shift of the rolling / history features: nothing inside the lead gap
 FCST_DATE = "2001-09-09"   # forecast day of the registered plans (a retail-moment start)
+FCST_SEASON = "FA2001"     # its season
 FCST_TRAFFIC = 5000000     # planned site traffic for the forecast day (P-19)
 
 
@@ -44,3 +46,22 @@ def style_base(v: RetailViews, division: str = DIVISION) -> DataFrame:
     from pricewise.operators.timefeatures import style_rollup
     s = style_rollup(sku_base(v, division))
     return s.withColumn("md10", md10("md")).withColumn("md1", md1("md"))
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> list[str]:
+    return [f for t in TABLES for f in read_table(spark, sf_dir, t).inputFiles()]
+
+
+def stored_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`sku_base` as a stage by month, written once an application."""
+    return stages.stored(spark, "sku", _inputs(spark, sf_dir), lambda: sku_base(views(spark, sf_dir)), "sales_date")
+
+
+def stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales transactions as a stage by month of sale."""
+    return stages.stored(spark, "sales", _inputs(spark, sf_dir), lambda: views(spark, sf_dir).sales_trans(), "sales_date")
+
+
+def stored_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory as a stage by month of EOP date."""
+    return stages.stored(spark, "inventory", _inputs(spark, sf_dir), lambda: views(spark, sf_dir).inventory(), "eop_dt")

@@ -156,14 +156,22 @@ def _competing_sql(level: str) -> str:
             f"\nSELECT c0.{level}, c0.sales_date, {', '.join(sel)}\nFROM c0\n{joins}")
 
 
-def _competing(rows, level):
+COMPETING_SQL = _competing_sql("style_cd")
+
+
+def competing_rows(rows, level):
+    """Base rows with what W15 compares: price paid and past-7 full-price APS."""
     rows = cp.aur(rows)
     w4 = tf.rolling_full_price(rows, level, SHIFT).select(level, "sales_date", F.col("past_7_full_price_avg_aps").alias("past_7_aps"))
-    x = cp.competing_features(rows.join(w4, [level, "sales_date"], "left"), level)
+    return rows.join(w4, [level, "sales_date"], "left")
+
+
+def _competing(rows, level):
+    x = cp.competing_features(competing_rows(rows, level), level)
     return x.select(level, "sales_date", *[c for c in x.columns if c.startswith("same_")])
 
 
-@register("competitive_position", sql=_competing_sql("style_cd"))
+@register("competitive_position", sql=COMPETING_SQL)
 def competitive_position(spark, sf_dir):
     """W14 + W15: competitiveness, competitor count and rank position in five
     competitor groups (style level; past-7 full-price APS from W4)."""

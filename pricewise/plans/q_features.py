@@ -10,6 +10,7 @@ from pricewise.plans import base
 from pricewise.plans.catalog import register
 from pricewise.plans.q_time import W2_SPECS, W3_SPECS, W4_SPECS, rolling_ctes
 from pricewise.session import materialize
+from pricewise.sources.stages import MONTH, in_months
 from pricewise.sources.fixtures import STORE_PLATFORM
 
 LEAD, SHIFT = base.LEAD, base.SHIFT
@@ -110,3 +111,59 @@ def modeling_features_style(spark, sf_dir):
 def modeling_features_sku(spark, sf_dir):
     """J8 + P-26 + J10: the feature table at SKU level, from one stored stage."""
     return _features(spark, sf_dir, "prod_code")
+
+
+# ------------------------------------------------------------ one forecast day
+DAY = base.FCST_DATE
+DAY_STYLES = f"""
+  SELECT sales_date, style_cd, season1, inseason_flag1, sales_qty, sales_amt, md10, md1, MSRP, gender_group, gc_category
+  FROM style WHERE sales_date < DATE '{DAY}'
+  UNION ALL
+  SELECT DATE '{DAY}', style_number, '{base.FCST_SEASON}', 'Y', NULL, NULL, CAST(round_even(10 * m, 0) AS INTEGER), round_even(10 * m, 0) / 10,
+         CAST(100 + CAST(style_number AS INTEGER) AS DOUBLE), gender_group, gc_category
+  FROM (SELECT style_number, gender_group, gc_category, 0.5 + (CAST(style_number AS INTEGER) % 5) / 10.0 AS m,
+               row_number() OVER (PARTITION BY style_number ORDER BY prod_code DESC) AS rn
+        FROM attributes WHERE division = '{base.DIVISION}') a WHERE rn = 1"""
+
+
+def day_plan(attrs):
+    """The planned products of the forecast day: md and price by brand."""
+    brand = F.col("style_number").cast("int")
+    return attrs.select("prod_code", (F.lit(0.5) + (brand % 5).cast("double") / 10.0).alias("md"), (F.lit(100.0) + brand).alias("MSRP"))
+
+
+def day_rows(spark, sf_dir):
+    """S13 at style level: (history before the forecast day, its planned rows)."""
+    from pricewise.functions.rules import md1, md10
+    from pricewise.operators.timefeatures import style_rollup
+    v = base.views(spark, sf_dir)
+    sku = base.stored_sku(spark, sf_dir)
+    history = in_months(sku, last=DAY).drop(MONTH).filter(F.col("sales_date") < F.lit(DAY).cast("date"))
+    attrs = v.attributes().filter(F.col("division") == base.DIVISION)
+    planned = ingest.append_forecast_day(history.limit(0), day_plan(attrs), attrs, DAY) \
+        .withColumns({"season1": F.lit(base.FCST_SEASON), "inseason_flag1": F.lit("Y"), "style_cd": F.col("style_number"),
+                      "grp": F.concat(F.col("gc_category"), F.lit("_"), F.col("gender_group"))})
+
+    def styles(rows):
+        return style_rollup(rows).withColumn("md10", md10("md")).withColumn("md1", md1("md"))
+    none = F.lit(None).cast("double")
+    return materialize(styles(history), "history"), materialize(styles(planned).withColumns({"sales_qty": none, "sales_amt": none}), "planned")
+
+
+def day_feature_rows(spark, sf_dir):
+    """The planned rows of the forecast day with all features."""
+    v = base.views(spark, sf_dir)
+    history, planned = day_rows(spark, sf_dir)
+    stock = ingest.scan_inventory_window(base.stored_inventory(spark, sf_dir), DAY, LEAD, STORES)
+    skus = v.attributes().filter(F.col("division") == base.DIVISION).select("prod_code")
+    stock = ingest.daily_inventory(stock, STORE_PLATFORM, 1 + LEAD).join(skus, "prod_code", "left_semi") \
+        .groupBy(F.substring("prod_code", 1, 6).alias("style_cd")).agg(F.sum("inv_qty").alias("lead_inv_qty"))
+    return ft.forecast_features(history, planned, "style_cd", DAY, SHIFT, LEAD, stock, v.traffic(), STORES)
+
+
+@register("forecast_day_features", sql=_sql("style_f", "style_cd") + f"\nWHERE j.sales_date = DATE '{DAY}'", extra_views={"style_f": DAY_STYLES})
+def forecast_day_features(spark, sf_dir):
+    """S13 + M9's features: those of one future day, from states as of the days they may
+    look back to; equal to the feature table of the history and the planned rows."""
+    names = [f.format(n=n, stat=s) for specs, f in ROLLING for n, s in specs]
+    return day_feature_rows(spark, sf_dir).select("style_cd", *BASE, *names, *REST)

@@ -9,19 +9,13 @@ from pricewise.operators import ingest
 from pricewise.operators import modeling as md
 from pricewise.plans import base
 from pricewise.plans.catalog import register
+from pricewise.plans.q_features import day_plan
 from pricewise.sources.fixtures import STORE_PLATFORM
 
 LEAD, DAY = base.LEAD, base.FCST_DATE
 KEEP_SINCE, UNDER, UPPER, SEED = "1998-06-01", 0.5, 0.3, 82
 
 
-def _plan(attrs):
-    """The planned products of the forecast day: md and price by brand."""
-    brand = F.col("style_number").cast("int")
-    return attrs.select("prod_code", (F.lit(0.5) + (brand % 5).cast("double") / 10.0).alias("md"),
-                        (F.lit(100.0) + brand).alias("MSRP"))
-
-
 @register("forecast_day_rows", sql=f"""
 WITH u AS (
   SELECT prod_code, sales_date, md, MSRP, gender_group, sales_qty, sales_amt FROM sku
@@ -42,7 +36,7 @@ def forecast_day_rows(spark, sf_dir):
     the planned products of one future day, ready for the features."""
     v = base.views(spark, sf_dir)
     attrs = v.attributes().filter(F.col("division") == base.DIVISION)
-    rows = ingest.append_forecast_day(base.sku_base(v), _plan(attrs), attrs, DAY)
+    rows = ingest.append_forecast_day(base.sku_base(v), day_plan(attrs), attrs, DAY)
     rows = md.mask_recent_labels(cp.aur(rows, DAY), DAY, LEAD)
     inv = (ingest.daily_inventory(v.inventory(), STORE_PLATFORM, 1 + LEAD).filter(F.col("platform") == base.PLATFORM)
            .select("prod_code", "sales_date", F.col("inv_qty").alias("lead_inv_qty")))

@@ -1,5 +1,5 @@
 """Registered plans: model training and scoring (P-5, P-7, P-21, P-25, P-27, M1-M5,
-M7, M8, A19). No SQL oracle: boosted-tree training is iterative, so the driver records
+M7-M10, A19). No SQL oracle: boosted-tree training is iterative, so the driver records
 a rows-only check."""
 
 from __future__ import annotations
@@ -9,12 +9,13 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricewise.functions import scalars
 from pricewise.operators import competition as cp
 from pricewise.operators import modeling as md
 from pricewise.operators import reports as rp
 from pricewise.plans import base
 from pricewise.plans.catalog import register
-from pricewise.plans.q_features import feature_rows
+from pricewise.plans.q_features import day_feature_rows, feature_rows
 from pricewise.session import path_exists, stage_path
 from pricewise.sources.fixtures import read_table
 
@@ -69,3 +70,25 @@ def boost_confusion_matrix(spark, sf_dir):
     predicted boost cut on the same edges, counts and diagonal share."""
     scored = spark.read.parquet(f"{trained(spark, sf_dir)}/scored").withColumn("y", F.try_divide(NUMER, DENOM))
     return rp.confusion_matrix(scored, "y", "predict", 15)
+
+
+def forecast_rows(spark, sf_dir):
+    """The planned rows of the forecast day as the model reads them: features from states,
+    planned traffic (P-19), the reference's filter (P-5)."""
+    x = scalars.override_on_date(day_feature_rows(spark, sf_dir), "site_traffic", base.FCST_DATE, base.FCST_TRAFFIC)
+    return md.filter_modeling_rows(cp.aur(x, base.FCST_DATE), SEASONS, off_season_remove=False, full_price_remove=False)
+
+
+@register("forecast_one_day")
+def forecast_one_day(spark, sf_dir):
+    """M9: the planned products of the forecast day, scored by the stored model; forecast
+    qty = denominator x predicted boost, NULL without a denominator."""
+    model = md.load_model(f"{trained(spark, sf_dir)}/model")
+    scored = md.forecast_one_day(model, forecast_rows(spark, sf_dir), base.FCST_DATE, DENOM)
+    return scored.select("style_cd", "sales_date", "gender_group", "gc_category", "md", "AUR", DENOM, "predict", "predict_sales_qty")
+
+
+@register("evaluate_one_day")
+def evaluate_one_day(spark, sf_dir):
+    """M9 + M10: the report set of the forecast day."""
+    return rp.evaluate_report(forecast_one_day(spark, sf_dir), True, "style_cd", ["style_cd", "sales_date"])

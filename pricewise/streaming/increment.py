@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricewise.session import materialize
+
 
 def _d(x):
     return F.lit(x).cast("date")
@@ -59,20 +61,40 @@ def write_date_window(df: DataFrame, path: str, start: str | None = None, end: s
 def reuse_cached(rows: DataFrame, cached: DataFrame, keys: Sequence[str],
                  compute: Callable[[DataFrame], DataFrame], date_col: str = "sales_date") -> DataFrame:
     """Rows inside the cached date range take the cached features
-    (left join on the keys); rows outside it are computed. The date range is
-    one aggregate row, broadcast to the filter."""
-    rng = F.broadcast(cached.agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi")))
-    x = rows.crossJoin(rng)
-    inside = (F.col(date_col) >= F.col("_lo")) & (F.col(date_col) <= F.col("_hi"))
-    old = x.filter(F.coalesce(inside, F.lit(False))).drop("_lo", "_hi")
-    new = x.filter(~F.coalesce(inside, F.lit(False))).drop("_lo", "_hi")
-    done = old.join(cached, list(keys), "left")
-    return done.unionByName(compute(new).select(*done.columns))
+    (left join on the keys); rows outside it are computed. The range is read first and
+    enters the plan as two constants."""
+    low, high = cached.agg(F.min(date_col), F.max(date_col)).first()
+    inside = F.lit(False) if low is None else F.coalesce(F.col(date_col).between(F.lit(low), F.lit(high)), F.lit(False))
+    done = rows.filter(inside).join(cached, list(keys), "left")
+    return done.unionByName(compute(rows.filter(~inside)).select(*done.columns))
+
+
+def touched_cells(rows: DataFrame, cached: DataFrame, keys: Sequence[str], cells: Sequence[str]) -> DataFrame:
+    """The cells (e.g. date and group) that hold a row without a cached one, or had a row
+    that is there no longer: what late data has changed. Cached rows carry their cells."""
+    null_safe = [rows[k].eqNullSafe(cached[k]) for k in keys]
+    new = rows.join(cached, null_safe, "left_anti").select(*cells)
+    gone = cached.join(rows, null_safe, "left_anti").select(*cells)
+    return new.unionByName(gone).distinct()
+
+
+def reuse_cells(rows: DataFrame, cached: DataFrame, keys: Sequence[str], cells: Sequence[str],
+                compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """S14 / S15 under late data: only rows of touched cells are computed anew, all others
+    take the cached features. ``compute`` needs no rows of other cells. Returns the
+    columns of ``cached``."""
+    cells = list(cells)
+    touched = materialize(touched_cells(rows, cached, keys, cells), "touched")
+    same = [touched[c].eqNullSafe(rows[c]) for c in cells]
+    kept = cached.join(touched, [touched[c].eqNullSafe(cached[c]) for c in cells], "left_anti")
+    return kept.unionByName(compute(rows.join(touched, same, "left_semi")).select(*cached.columns))
 
 
 def rows_in_window_count_check(rows: DataFrame, cached: DataFrame, date_col: str = "sales_date") -> DataFrame:
     """S15 check: rows and cached rows per date inside the cached range (the
     reference warns when they differ)."""
-    a = rows.groupBy(date_col).agg(F.count(F.lit(1)).alias("rows"))
+    low, high = cached.agg(F.min(date_col), F.max(date_col)).first()
+    a = rows.filter(F.lit(False) if low is None else F.col(date_col).between(F.lit(low), F.lit(high))) \
+        .groupBy(date_col).agg(F.count(F.lit(1)).alias("rows"))
     b = cached.groupBy(date_col).agg(F.count(F.lit(1)).alias("cached"))
-    return b.join(a, date_col, "left").filter(F.coalesce(F.col("rows"), F.lit(0)) != F.col("cached"))
+    return b.join(a, date_col, "full").select(date_col, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "cached")]).filter("rows <> cached")
