@@ -356,11 +356,11 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     rows, parts = _membership(docs.select("doc_id", "text"))
     mark, many, key = fresh(docs, "mark", "many", "key")
     none = F.lit(-2 ** 63)
-    named = rows.where("n > 0").join(parts, "entity").where("doc_id = component_id") \
-        .groupBy("component_id").agg(F.min("entity").alias(mark))
-    # components whose ids are all null: their smallest entity stands for them
-    keep = named.select(F.col("component_id").alias(key), mark).unionByName(
-        parts.where("component_id IS NULL").groupBy("root").agg(F.min("entity").alias(mark)).select(none.alias(key), mark))
+    # of each component the document with its smallest id (null where all are); one id may
+    # be the smallest of several components, with a text in each
+    keep = rows.where("n > 0").join(parts, "entity").where("doc_id <=> component_id") \
+        .groupBy("root").agg(F.min("entity").alias(mark), F.first("component_id").alias("id")) \
+        .select(F.coalesce("id", none).alias(key), mark)
     schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType()), T.StructField(many, T.LongType())])
 
     def run(batches):

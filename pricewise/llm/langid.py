@@ -26,6 +26,8 @@ that are all rejected.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,6 +42,7 @@ SAMPLE = 2000
 PRIOR = 2000.0  # trigrams' worth of all languages' text that each language starts from
 DAMP = 64.0
 KAPPA = 20.0
+SLICE = 2_000_000  # bytes of text in hand at once
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
@@ -104,16 +107,16 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 def score(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str, name: str) -> DataFrame:
     """The frame with one more column: the text's damped log-likelihoods, the
-    background's last."""
+    background's last. Only the text goes to Python."""
     names, table = model
     held = docs.sparkSession.sparkContext.broadcast(table.astype(np.float32))
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
 
-    def run(batches):
-        for batch in batches:
-            data, off = text_bytes(batch.column(text_col))
-            out = np.zeros((batch.num_rows, len(names) + 1))
-            for i, j in slices(off):
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def likelihoods(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            data, off = text_bytes(texts)
+            out = np.zeros((len(texts), len(names) + 1))
+            for i, j in slices(off, SLICE):
                 cell, at = trigrams(data[off[i]:off[j]], off[i:j + 1] - off[i])
                 n = np.diff(at)
                 weight = 1 / (1 + n / DAMP)
@@ -121,10 +124,9 @@ def score(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str, n
                     total = np.r_[0, np.cumsum(held.value[cell, k], dtype=np.float64)]
                     out[i:j, k] = np.diff(total[at]) * weight
                 out[i:j, -1] = -np.log(CELLS) * n * weight
-            lists = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * out.shape[1], pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=schema.names)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
 
-    return docs.mapInArrow(run, schema)
+    return docs.withColumn(name, likelihoods(F.col(text_col)))
 
 
 def _softmax(logs: Column) -> Column:
@@ -203,11 +205,16 @@ def identify_pages(pages: DataFrame, model: tuple[list[str], np.ndarray], id_col
 
 def keep_known(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The documents whose language is found, with all columns. ``lang`` counts as
-    declared (and labels the sample), ``source`` as host."""
+    declared (and labels the sample), ``source`` as host.
+
+    Each text is scored once, into a stage with its row number; sums and decisions read
+    the numbers and scores alone. The texts meet nothing but the numbers of rejected
+    rows."""
     model = fit(docs, "doc_id", text_col, lang_col)
-    ll, declared, none, host = fresh(docs, "ll", "declared", "nothing", "host")
-    scored = score(docs, model, text_col, ll).withColumn(declared, F.col(lang_col)) \
-        .withColumn(none, F.lit(None).cast("string")).withColumn(host, F.col(source_col))
-    fused = fuse(scored, len(model[0]) + 1, ll, declared, none, host, none)
-    posterior = fused.columns[-1]
-    return fused.where(decide(fused, model[0], posterior)[0].isNotNull()).select(docs.columns)
+    ll, at = fresh(docs, "ll", "at")
+    stage = materialize(score(docs, model, text_col, ll).withColumn(at, F.monotonically_increasing_id()), "scored-docs")
+    narrow = stage.select(F.col(at).alias("at"), F.col(ll).alias("ll"), F.col(lang_col).alias("declared"), F.col(source_col).alias("host"),
+                          F.lit(None).cast("string").alias("nothing"))
+    fused = fuse(narrow, len(model[0]) + 1, "ll", "declared", "nothing", "host", "nothing")
+    rejected = fused.where(decide(fused, model[0], "posterior")[0].isNull()).select(F.col("at").alias(at))
+    return stage.join(materialize(rejected, "rejected"), at, "left_anti").select(docs.columns)

@@ -17,7 +17,7 @@ Archives lie in the folder of ``spark.checkpoint.dir`` (any store that pyarrow
 opens).
 
 Defined cases: a null payload is empty; a null or blank URL is left out, control
-characters in it are escaped; rows with the smallest id of their group are all
+characters in it are escaped; URLs may be of any length and ids any text; rows with the smallest id of their group are all
 responses; a null id is read back as null, and is a response only if no row of the
 group has an id; extra columns are ignored; an empty table gives no records.
 """
@@ -29,6 +29,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from typing import BinaryIO, NamedTuple
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -64,17 +65,26 @@ def member(head: dict[str, str], block: bytes) -> bytes:
     return z.compress(raw.encode()) + z.compress(block) + z.compress(b"\r\n\r\n") + z.flush()
 
 
-def page_record(page_id: str, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
+def _urn(page_id: str | None) -> str:
+    """The name of a page's record: its id with escapes, so any id comes back."""
+    return "<urn:page>" if page_id is None else f"<urn:page:{quote(page_id, safe='')}>"
+
+
+def _page(urn: str | None) -> str | None:
+    return None if urn in (None, "<urn:page>") else unquote(urn[len("<urn:page:"):-1])
+
+
+def page_record(page_id: str | None, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
     """The member of a page: a response, or a revisit of ``refers_to``."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    head = {"WARC-Type": "revisit" if refers_to else "response", "WARC-Record-ID": f"<urn:page:{page_id}>", "WARC-Date": DATE}
+    head = {"WARC-Type": "response" if refers_to is None else "revisit", "WARC-Record-ID": _urn(page_id), "WARC-Date": DATE}
     if url and url.strip():
         head["WARC-Target-URI"] = "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url.strip())
     head["WARC-Payload-Digest"] = f"sha256:{digest}"
-    if refers_to:
-        head |= {"WARC-Refers-To": f"<urn:page:{refers_to}>", "WARC-Profile": _PROFILE}
+    if refers_to is not None:
+        head |= {"WARC-Refers-To": _urn(refers_to), "WARC-Profile": _PROFILE}
     head["Content-Type"] = "application/http; msgtype=response"
-    return member(head, http if refers_to else http + payload)
+    return member(head, http + payload if refers_to is None else http)
 
 
 class _Member:
@@ -104,9 +114,12 @@ class _Member:
         del self.out[:n]
         return got
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
-        while (at := self.out.find(mark)) < 0:
-            if len(self.out) > most or not self.more():
+    def until(self, mark: bytes) -> bytes:
+        """What stands before the mark, of any length; each byte is searched once."""
+        seen = 0
+        while (at := self.out.find(mark, max(0, seen - len(mark) + 1))) < 0:
+            seen = len(self.out)
+            if not self.more():
                 raise ValueError("the record has no end of its head")
         return self.take(at + len(mark))[:-len(mark)]
 
@@ -169,7 +182,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                     out = store.open_output_stream(f"{at}/{path.rsplit('/', 1)[1]}", compression=None)
                     out.write(member({"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": DATE,
                                       "Content-Type": "application/warc-fields"}, b"format: WARC file version 1.1\r\n"))
-                raw = page_record(r["id"] or "", r["url"], r["payload"], r["digest"], r["refers_to"])
+                raw = page_record(r["id"], r["url"], r["payload"], r["digest"], r["refers_to"])
                 out.write(raw)
                 n, size = n + 1, size + len(raw)
                 if size >= VOLUME:
@@ -189,9 +202,6 @@ def read_archives(volumes: DataFrame, id_type: str = "long") -> DataFrame:
     """Per page record of the volumes (path): page_id, target_uri, payload_bytes,
     payload_digest, record_type, refers_to, payload (null for a revisit)."""
 
-    def page(urn: str | None) -> str | None:
-        return urn[len("<urn:page:"):-1] or None if urn else None
-
     names = ["page_id", "target_uri", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -211,8 +221,8 @@ def read_archives(volumes: DataFrame, id_type: str = "long") -> DataFrame:
                                 continue
                             http, _, payload = block.partition(b"\r\n\r\n")
                             length = next(x for x in http.decode().split("\r\n") if x.lower().startswith("content-length:"))
-                            rows.append((page(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), int(length.split(":")[1]),
-                                         head["WARC-Payload-Digest"].split(":")[1], kind, page(head.get("WARC-Refers-To")),
+                            rows.append((_page(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), int(length.split(":")[1]),
+                                         head["WARC-Payload-Digest"].split(":")[1], kind, _page(head.get("WARC-Refers-To")),
                                          payload if kind == "response" else None))
                             size += len(block)
                             if size > 8 << 20:

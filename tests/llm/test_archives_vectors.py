@@ -34,6 +34,20 @@ def test_round_trip(spark, pages):
     assert warc.archive_and_read(pages.limit(0)).count() == 0
 
 
+def test_any_url_and_any_id(spark):
+    ids = ["a\r\nb", "", "<urn:page:x>", " ", "é%0A", None, "9"]
+    rows = [(k, "http://x/" + "y" * 3_000_000 if k == "9" else "http://x", f"payload {k!r} " * 20) for k in ids]
+    rows += [(f"copy of {k!r}", "u", f"payload {k!r} " * 20) for k in ids]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    back = {(r.page_id, r.record_type, r.refers_to): r for r in warc.archive_and_read(pages).collect()}
+    want = set()
+    for k in ids:
+        first = min(x for x in (k, f"copy of {k!r}") if x is not None)
+        want |= {(x, "response" if x == first else "revisit", None if x == first else first) for x in (k, f"copy of {k!r}")}
+    assert set(back) == want
+    assert len(back["9", "response", None].target_uri) > 3_000_000
+
+
 def test_volumes_are_plain_warc(spark, pages, monkeypatch):
     folder = ensure_checkpoint_dir(spark) + "/warc-test-plain"
     vols = warc.write_archives(pages, folder).collect()

@@ -115,3 +115,10 @@ def test_connected_components(spark, edges):
             x, y = {n for n in root if root[n] == root.get(a, a)} | {a}, {n for n in root if root[n] == root.get(b, b)} | {b}
             root |= dict.fromkeys(x | y, min(x | y))
     assert {r.node: r.root for r in components(frame).collect()} == root
+
+
+def test_one_id_with_several_texts_loses_none(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, c), (None, c + " more"), (None, "n " * 9), (None, "n " * 9), (1, ""), (1, None)]
+    kept = jaccard.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (1, b), (4, c), (None, "n " * 9), (1, ""), (1, None)], key=str)
