@@ -25,15 +25,40 @@ class Merges:
     the symbol that it makes."""
 
     def __init__(self, left, right, rank, made):
-        key = np.asarray(left, np.int64) << 32 | np.asarray(right, np.int64)
-        order = np.argsort(key)
-        self.key, self.rank, self.made = key[order], np.asarray(rank, np.int32)[order], np.asarray(made, np.int32)[order]
+        self.key = np.asarray(left, np.int64) << 32 | np.asarray(right, np.int64)
+        self.rank, self.made = np.asarray(rank, np.int32), np.asarray(made, np.int32)
+        # places by hash, an eighth full at most; a pair whose place is taken goes to the next
+        self.bits = max(4, (8 * len(self.key)).bit_length())
+        self.slot = np.full(1 << self.bits, -1, np.int32)
+        self.slot_key = np.full(1 << self.bits, -1, np.int64)
+        rows = np.unique(self.key, return_index=True)[1]
+        at = self._hash(self.key[rows])
+        while len(rows):
+            free = self.slot[at] < 0
+            one = np.flatnonzero(free)[np.unique(at[free], return_index=True)[1]]
+            self.slot[at[one]], self.slot_key[at[one]] = rows[one], self.key[rows[one]]
+            left_over = np.ones(len(rows), bool)
+            left_over[one] = False
+            rows, at = rows[left_over], (at[left_over] + 1) & (len(self.slot) - 1)
+
+    def _hash(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(U64) * _C1) >> U64(64 - self.bits)).astype(np.int64)
 
     def find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the table, whether it is there) of each pair."""
-        key = a.astype(np.int64) << 32 | (b.astype(np.int64) & 0xFFFFFFFF)
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return at, (self.key[at] == key) & (a >= 0) & (b >= 0)
+        key = (a.astype(np.int64) << 32 | (b.astype(np.int64) & 0xFFFFFFFF)).ravel()
+        at = self._hash(key)
+        held = self.slot_key[at]
+        there = held == key
+        rest = np.flatnonzero(~there & (held != -1))
+        while len(rest):
+            at[rest] = (at[rest] + 1) & (len(self.slot) - 1)
+            held = self.slot_key[at[rest]]
+            same = held == key[rest]
+            there[rest[same]] = True
+            rest = rest[~same & (held != -1)]
+        place = np.where(there, self.slot[at], 0).reshape(a.shape)
+        return place, there.reshape(a.shape) & (a >= 0) & (b >= 0)
 
     def ranks(self, a, b, skip=None) -> np.ndarray:
         at, there = self.find(a, b)

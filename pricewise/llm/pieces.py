@@ -80,7 +80,7 @@ class Pieces:
                      ) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units, flat, and offsets."""
         chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        off = np.r_[0, np.cumsum([len(u) for u in units], dtype=np.int64)]
+        off = np.r_[0, np.cumsum(list(map(len, units)), dtype=np.int64)]
         flat, off = merge(self.char[chars], off, self.merges, keys, drop, agenda)
         odd = np.flatnonzero(flat < 0)
         if len(odd):  # these become the bytes of the character
@@ -106,6 +106,39 @@ def gather(flat: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.ndar
     return flat[np.repeat(off[rows] - at[:-1], size) + np.arange(at[-1])], at
 
 
+def scatter(out: np.ndarray, at: np.ndarray, rows: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+    """Put rows of sizes ``size``, one after another in ``flat``, where rows ``rows`` of the
+    ragged array with offsets ``at`` lie."""
+    begin = np.cumsum(size) - size
+    out[np.repeat(at[rows] - begin, size) + np.arange(len(flat))] = flat
+
+
+class Growing:
+    """A ragged array that rows are added to; room is doubled, so adding costs what is
+    added."""
+
+    def __init__(self, dtype):
+        self._flat, self._off, self.n = np.empty(1 << 12, dtype), np.zeros(1 << 10, np.int64), 0
+
+    def add(self, flat: np.ndarray, off: np.ndarray) -> None:
+        have, n = int(self._off[self.n]), len(off) - 1
+        if have + len(flat) > len(self._flat):
+            self._flat = np.r_[self._flat[:have], np.empty(have + 2 * len(flat), self._flat.dtype)]
+        if self.n + n + 1 > len(self._off):
+            self._off = np.r_[self._off[:self.n + 1], np.empty(self.n + 2 * n, np.int64)]
+        self._flat[have:have + len(flat)] = flat
+        self._off[self.n + 1:self.n + n + 1] = off[1:] + have
+        self.n += n
+
+    @property
+    def flat(self) -> np.ndarray:
+        return self._flat[:self._off[self.n]]
+
+    @property
+    def off(self) -> np.ndarray:
+        return self._off[:self.n + 1]
+
+
 class Encoder:
     """Ids of texts, with the plain segmentations and agendas of units seen."""
 
@@ -116,56 +149,56 @@ class Encoder:
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.units: list[str] = []
-        self.flat, self.off = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        self.met, self.met_off = np.zeros(0, U64), np.zeros(1, np.int64)
+        self.plain, self.met, self.long = Growing(np.int32), Growing(U64), Growing(bool)
 
     def _learn(self, new: list[str]) -> None:
         agenda: list | None = [] if self.drop else None
         # a long unit nearly always has a candidate skipped: with dropout it is only merged by occurrence
-        flat, off = self.pieces.encode_units(["" if self.drop and len(u) > LONG else u for u in new], None, 0.0, agenda)
-        self.off = np.r_[self.off, off[1:] + len(self.flat)]
-        self.flat = np.r_[self.flat, flat]
+        self.plain.add(*self.pieces.encode_units(["" if self.drop and len(u) > LONG else u for u in new], None, 0.0, agenda))
         if self.drop:
             rows = np.concatenate([r for r, _ in agenda] or [np.zeros(0, np.int64)])
             order = np.argsort(rows, kind="stable")
-            self.met_off = np.r_[self.met_off, np.cumsum(np.bincount(rows, minlength=len(new))) + len(self.met)]
-            self.met = np.r_[self.met, np.concatenate([p for _, p in agenda] or [np.zeros(0, U64)])[order]]
+            self.met.add(np.concatenate([p for _, p in agenda] or [np.zeros(0, U64)])[order],
+                         np.r_[0, np.cumsum(np.bincount(rows, minlength=len(new)))])
+            self.long.add(np.array([len(u) > LONG for u in new]), np.arange(len(new) + 1))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and offsets."""
-        if len(self.off) > KEPT:
+        if self.plain.n > KEPT:
             self._forget()
         codes, counts, keys, known = [], [], [], self.place
         size = len(self.units)
         for t in texts:
             units = _UNIT.findall(f" {t}") if t else []
-            for u in units:
-                if (at := known.get(u)) is None:
-                    at = known[u] = len(self.units)
-                    self.units.append(u)
-                codes.append(at)
+            for u in set(units).difference(known):
+                known[u] = len(self.units)
+                self.units.append(u)
+            codes += map(known.__getitem__, units)
             counts.append(len(units))
             if self.drop:
                 keys.append(mix(np.arange(len(units), dtype=U64) + U64(xxhash.xxh64_intdigest(t.encode(), self.seed))))
         if len(self.units) > size:
             self._learn(self.units[size:])
-        rows, flat, off = np.array(codes, np.int64), self.flat, self.off
+        rows, sizes, parts = np.array(codes, np.int64), np.zeros(len(codes), np.int64), []
+        old = np.arange(len(rows))
         if self.drop and len(rows):
             key = np.concatenate(keys)
-            met, at = gather(self.met, self.met_off, rows)
-            hit = below(met + np.repeat(key, np.diff(at)), self.drop)
-            total = np.r_[0, np.cumsum(hit)]
-            long = np.array([len(u) > LONG for u in self.units])
-            anew = np.flatnonzero((total[at[1:]] > total[at[:-1]]) | long[rows])
-            flats, sizes = [flat], [np.diff(off)]
+            met, at = gather(self.met.flat, self.met.off, rows)
+            total = np.r_[0, np.cumsum(below(met + np.repeat(key, np.diff(at)), self.drop))]
+            fresh_ = (total[at[1:]] > total[at[:-1]]) | self.long.flat[rows]
+            anew, old = np.flatnonzero(fresh_), np.flatnonzero(~fresh_)
             for a in range(0, len(anew), TOGETHER):  # the matrices of a merge are many times the units
                 now = anew[a:a + TOGETHER]
                 more, more_off = self.pieces.encode_units([self.units[k] for k in rows[now].tolist()], key[now], self.drop)
-                flats.append(more)
-                sizes.append(np.diff(more_off))
-            rows[anew] = len(off) - 1 + np.arange(len(anew))
-            flat, off = np.concatenate(flats), np.r_[0, np.cumsum(np.concatenate(sizes))]
-        out, at = gather(flat, off, rows)
+                parts.append((now, more, np.diff(more_off)))
+        kept, at = gather(self.plain.flat, self.plain.off, rows[old])
+        parts.append((old, kept, np.diff(at)))
+        for now, _, n in parts:
+            sizes[now] = n
+        at = np.r_[0, np.cumsum(sizes)]
+        out = np.empty(at[-1], np.int32)
+        for now, flat, n in parts:
+            scatter(out, at, now, flat, n)
         return out, at[np.r_[0, np.cumsum(counts, dtype=np.int64)]]
 
 

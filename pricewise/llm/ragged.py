@@ -51,7 +51,7 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def slices(off: np.ndarray, limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(off: np.ndarray, limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Runs of whole texts of at most ``limit`` bytes, or a single longer text."""
     i, n = 0, len(off) - 1
     while i < n:

@@ -32,6 +32,7 @@ from pricewise.llm.bpe import Merges, merge
 from pricewise.llm.ragged import slices, text_bytes
 
 KEPT = 800_000
+SLICE = 4_000_000  # bytes of text whose words are looked up together
 #: The vocabulary's pattern of pre-tokens, and Unicode's white space.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -120,7 +121,7 @@ def count_tokens(docs: DataFrame, vocabulary: WordBpe, id_col: str = "doc_id", t
             text = batch.column("text").fill_null("")
             _, off = text_bytes(text)
             n = []
-            for i, j in slices(off):
+            for i, j in slices(off, SLICE):
                 n += counter.count(text.slice(i, j - i).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(off)), pa.array(n, pa.int64())], names=schema.names)
 
