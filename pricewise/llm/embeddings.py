@@ -11,7 +11,9 @@ at least: the union of the blocks' range joins has every link.
 wide as the block's radius, so partners are in the same or the next slab. A slab of
 more than ``CHUNK`` vectors is split by hash into chunks, and each pair of chunks is a
 group of its own: groups are bounded, whatever the number of vectors or copies. In a
-group, distances within the block come from one matrix product at a time.
+group, vectors lie in cells of about ``CELL`` by quantiles of further axes. Two cells
+whose boxes are farther apart than the block's part allows are skipped; for each other
+pair, distances within the block come from a matrix product.
 
 **Verification** is by cosine in double precision on the vectors as given. A verified
 pair counts in one block only, that in which it takes the least of its part. A group
@@ -40,9 +42,9 @@ from pricewise.llm.common import components, materialize
 from pricewise.llm.ragged import U64, mix
 
 COS = 0.9
-WIDTH = 8
+WIDTH = 16
 CHUNK = 1 << 14
-TILE = 1 << 22  # distances held at once
+CELL = 128
 SLACK = 1e-5  # of float32 products, on the filter's side
 
 
@@ -165,6 +167,17 @@ def _deal(vectors: DataFrame, blocks: Blocks) -> DataFrame:
     return vectors.select("node", "copies", "vec").mapInArrow(run, schema)
 
 
+def _cells(z: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """The rows in cells of about ``CELL``, by quantiles of the block's axes after the first
+    (on which a group is narrow already), most on the second."""
+    axes, out = [k % z.shape[1] for k in (1, 2, 3)], [rows]
+    want = len(rows) / CELL
+    for k, axis in enumerate(axes):
+        parts = max(1, round((want / max(1, len(out))) ** (1 / 2 if k < 2 else 1)))
+        out = [part for cell in out for part in np.array_split(cell[np.argsort(z[cell, axis], kind="stable")], parts) if len(part)]
+    return out
+
+
 def _join(blocks: Blocks, t: pa.Table) -> pa.Table:
     """Links of one pair of chunks: (node, links, root) of the vectors that have any."""
     b, side = t.column("block")[0].as_py(), t.column("side").to_numpy()
@@ -176,15 +189,26 @@ def _join(blocks: Blocks, t: pa.Table) -> pa.Table:
     z = x @ blocks.axes[b]
     square = (z ** 2).sum(axis=1, keepdims=True)
     one = np.ones_like(square)
-    left = np.hstack([-2 * z, square, one]).astype(np.float32)[first]
-    right = np.hstack([z, one, square]).astype(np.float32)[second].T.copy()
+    left = np.hstack([-2 * z, square, one]).astype(np.float32)
+    right = np.hstack([z, one, square]).astype(np.float32)
     links, root = np.zeros(len(node), np.int64), np.arange(len(node))
-    step = max(1, TILE // max(1, len(second)))
-    for at in range(0, len(first), step):
-        u, v = np.nonzero(left[at:at + step] @ right <= np.float32(blocks.budget[b] + SLACK))
-        u, v = first[u + at], second[v]
+    most = blocks.budget[b] + SLACK
+    cells = _cells(z, first)
+    others = cells if whole else _cells(z, second)
+    low, high = (np.array([f(z[c], axis=0) for c in others]) for f in (np.min, np.max))
+    for i, cell in enumerate(cells):
+        gap = np.maximum(np.maximum(low - z[cell].max(axis=0), z[cell].min(axis=0) - high), 0)
+        near = np.flatnonzero((gap ** 2).sum(axis=1) <= most)
+        if whole:
+            near = near[near >= i]  # the cell itself first
+        if not len(near):
+            continue
+        rows = np.concatenate([others[j] for j in near])
+        u, v = np.nonzero(left[cell] @ right[rows].T <= np.float32(most))
         if whole:
-            u, v = u[u < v], v[u < v]
+            once = (v >= len(cell)) | (u < v)
+            u, v = u[once], v[once]
+        u, v = cell[u], rows[v]
         for k in range(0, len(u), 1 << 18):
             p, q = u[k:k + (1 << 18)], v[k:k + (1 << 18)]
             good = np.einsum("ij,ij->i", x[p], x[q]) >= blocks.cos
