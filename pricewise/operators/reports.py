@@ -35,17 +35,18 @@ def forecast_metrics(scored: DataFrame, threshold: float = 0.3, pred: str = PRED
 def forecast_summary(scored: DataFrame, by: str = "gender_group", full_price_md: float = 0.8,
                      pred: str = PRED) -> DataFrame:
     """Total qty and revenue of the forecast, share of full-price rows,
-    qty and revenue; overall (is_total = 1) and per group (rollup). Rows without
-    a group count in the total only (P3)."""
+    qty and revenue; overall (is_total = 1, also of no rows) and per group. Rows without
+    a group count in the total only (P3). The total adds up the groups' sums."""
     rev = F.col(pred) * F.col("AUR")
     full = F.col("md") > full_price_md
-    return (scored.filter(F.col(pred).isNotNull()).rollup(by)
-            .agg(F.sum(pred).alias("tot_qty"), F.sum(rev).alias("tot_rev"),
-                 (F.sum(F.when(full, 1).otherwise(0)) / F.count(F.lit(1))).alias("full_price_share"),
-                 safe_div(F.sum(F.when(full, F.col(pred)).otherwise(0.0)), F.sum(pred)).alias("full_price_qty_share"),
-                 safe_div(F.sum(F.when(full, rev).otherwise(0.0)), F.sum(rev)).alias("full_price_amt_share"),
-                 F.grouping(by).cast("int").alias("is_total"))
-            .filter((F.col("is_total") == 1) | F.col(by).isNotNull()))
+    sums = {"tot_qty": F.col(pred), "tot_rev": rev, "_rows": F.lit(1), "_full": F.when(full, 1).otherwise(0),
+            "_full_qty": F.when(full, F.col(pred)).otherwise(0.0), "_full_rev": F.when(full, rev).otherwise(0.0)}
+    groups = scored.filter(F.col(pred).isNotNull()).groupBy(by).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    total = groups.agg(*[F.sum(n).alias(n) for n in sums]).withColumn("is_total", F.lit(1))
+    out = groups.filter(F.col(by).isNotNull()).withColumn("is_total", F.lit(0)).unionByName(total, allowMissingColumns=True)
+    return out.select(by, "tot_qty", "tot_rev", safe_div("_full", "_rows").alias("full_price_share"),
+                      safe_div("_full_qty", "tot_qty").alias("full_price_qty_share"),
+                      safe_div("_full_rev", "tot_rev").alias("full_price_amt_share"), "is_total")
 
 
 def error_by_group(metrics: DataFrame, g1: str = "gender_group", g2: str = "gc_category",

@@ -15,20 +15,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.functions.frames import UNBOUNDED, gate_on_spine, last_value, lookback, spine
-from pricewise.functions.rules import day_number, sum0
+from pricewise.functions.rules import day_number, grouped_with_median, md1, sum0
 
 ATTR_COLS = ["platform", "MSRP", "prod_code", "style_number", "division", "gender_group",
              "gc_category", "model", "class_platform", "power_item", "color_desc", "grp"]
 
 
 # --------------------------------------------------------------- A5 / A6
-def style_rollup(sku: DataFrame, attr_cols: Sequence[str] = ATTR_COLS) -> DataFrame:
+def style_rollup(sku: DataFrame, attr_cols: Sequence[str] = ATTR_COLS, attrs: DataFrame | None = None) -> DataFrame:
     """A5 + O2: per (date, style, season, flag) sums of qty / amount /
     inventory (all-NULL sums are 0, P4), mean md; attributes and MSRP of the
-    best-selling SKU (most qty, then the larger product code)."""
+    best-selling SKU (most qty, then the larger product code). With the attribute
+    table ``attrs`` (prod_code, ...) only the SKU's code travels with the sums; its
+    attributes are joined after."""
     keys = ["sales_date", "style_cd", "season1", "inseason_flag1"]
-    attrs = [c for c in attr_cols if c in sku.columns]
-    best = F.max_by(F.struct(*attrs), F.struct("sales_qty", "prod_code"))
+    later = [] if attrs is None else [c for c in attrs.columns if c in attr_cols and c != "prod_code"]
+    later += ["grp"] if {"gc_category", "gender_group"} <= set(later) else []
+    cols = [c for c in attr_cols if c in sku.columns and c not in later]
+    best = F.max_by(F.struct(*cols), F.struct("sales_qty", "prod_code"))
     agg = (sku.groupBy(*keys)
            .agg(sum0("sales_qty").alias("sales_qty"), sum0("sales_amt").alias("sales_amt"),
                 sum0("inv_qty").alias("inv_qty"),
@@ -36,8 +40,27 @@ def style_rollup(sku: DataFrame, attr_cols: Sequence[str] = ATTR_COLS) -> DataFr
                 # md key does not depend on summation order
                 (F.sum(F.rint(F.col("md") * 100.0)) / F.count("md") / 100.0).alias("md"),
                 best.alias("_best")))
-    return agg.select(*keys, "sales_qty", "sales_amt", "inv_qty", "md",
-                      *[F.col(f"_best.{c}").alias(c) for c in attrs])
+    out = agg.select(*keys, "sales_qty", "sales_amt", "inv_qty", "md",
+                     *[F.col(f"_best.{c}").alias(c) for c in cols])
+    if attrs is None:
+        return out
+    out = out.join(attrs.select("prod_code", *[c for c in later if c != "grp"]), "prod_code", "left")
+    if "grp" in later:
+        out = out.withColumn("grp", F.concat(F.col("gc_category"), F.lit("_"), F.col("gender_group")))
+    return out.select(*keys, "sales_qty", "sales_amt", "inv_qty", "md", *[c for c in attr_cols if c in cols or c in later])
+
+
+def style_rollup_by_amount(sku: DataFrame, attr_cols: Sequence[str] = ("gender_group", "gc_category", "season1")) -> DataFrame:
+    """A5, second form: per (date, style, flag), whatever the season, sums of qty / amount /
+    inventory, median MSRP, mean md rounded to one decimal; attributes and season of the
+    SKU with the largest amount (then the larger product code)."""
+    keys = ["sales_date", "style_cd", "inseason_flag1"]
+    sums = grouped_with_median(sku.withColumn("_md", F.rint(F.col("md") * 100.0)).withColumn("_one", F.col("md").isNotNull().cast("int")),
+                               keys, "MSRP", ["sales_qty", "sales_amt", "inv_qty", "_md", "_one"])
+    best = sku.groupBy(*keys).agg(F.max_by(F.struct(*attr_cols), F.struct("sales_amt", "prod_code")).alias("_best"))
+    zero = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("sales_qty", "sales_amt", "inv_qty")]
+    return sums.join(best, keys).select(*keys, *zero, "MSRP", md1(F.try_divide("_md", "_one") / 100.0).alias("md1"),
+                                        *[F.col(f"_best.{c}").alias(c) for c in attr_cols])
 
 
 def sku_count_in_style(sku: DataFrame, time_scope: str = "season") -> DataFrame:

@@ -44,7 +44,7 @@ def style_base(v: RetailViews, division: str = DIVISION) -> DataFrame:
     """A5 style rollup of the SKU base: per (date, style, season, flag) sums of
     qty / amount / inventory and mean md; attributes of the best-selling SKU."""
     from pricewise.operators.timefeatures import style_rollup
-    s = style_rollup(sku_base(v, division))
+    s = style_rollup(sku_base(v, division), attrs=v.attributes())
     return s.withColumn("md10", md10("md")).withColumn("md1", md1("md"))
 
 

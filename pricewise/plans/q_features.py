@@ -27,7 +27,7 @@ def feature_rows(spark, sf_dir, level):
     else:
         from pricewise.functions.rules import md1, md10
         from pricewise.operators.timefeatures import style_rollup
-        rows = materialize(style_rollup(sku).withColumn("md10", md10("md")).withColumn("md1", md1("md")), "style_rows")
+        rows = materialize(style_rollup(sku, attrs=v.attributes()).withColumn("md10", md10("md")).withColumn("md1", md1("md")), "style_rows")
     # J2, second form: the stock that is known 1 + lead days before the sale
     inv = ingest.daily_inventory(v.inventory(), STORE_PLATFORM, 1 + LEAD).filter(F.col("platform") == base.PLATFORM)
     if level == "style_cd":

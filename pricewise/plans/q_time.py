@@ -33,6 +33,18 @@ STYLE_COLS = ["sales_date", "style_cd", "season1", "inseason_flag1", "sales_qty"
               "gender_group", "gc_category", "model", "class_platform", "power_item", "color_desc", "grp"]
 
 
+@register("style_rollup_by_amount", sql="""
+SELECT g.*, b.gender_group, b.gc_category, b.season1 FROM (
+  SELECT sales_date, style_cd, inseason_flag1, sum(sales_qty) AS sales_qty, sum(sales_amt) AS sales_amt, coalesce(sum(inv_qty), 0) AS inv_qty,
+         median(MSRP) AS MSRP, round_even(sum(round_even(md * 100, 0)) / count(md) / 100.0 * 10, 0) / 10 AS md1
+  FROM sku GROUP BY 1, 2, 3) g
+JOIN (SELECT *, row_number() OVER (PARTITION BY sales_date, style_cd, inseason_flag1 ORDER BY sales_amt DESC, prod_code DESC) AS rn FROM sku) b
+  ON b.rn = 1 AND b.sales_date = g.sales_date AND b.style_cd = g.style_cd AND b.inseason_flag1 = g.inseason_flag1""")
+def style_rollup_by_amount(spark, sf_dir):
+    """A5, second form: by (date, style, flag), median MSRP, attributes of the largest amount."""
+    return tf.style_rollup_by_amount(base.sku_base(base.views(spark, sf_dir)))
+
+
 @register("style_rollup", sql=f"SELECT {', '.join(STYLE_COLS)} FROM style")
 def style_rollup(spark, sf_dir):
     """A5 + O2: style-level daily rollup with the best-selling SKU's attributes."""
