@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return
 the columns of ``docs``. ``run`` writes each stage's result as a table and reads it
 again for the next, so a lost executor costs a stage at most.
+
+Defined cases, beside those of the operators: a null, empty or wordless text has no
+language evidence of its own, fails the quality rules' base and so goes in the second
+stage; very long texts go through whole; of repeated rows (equal id and shingle set) one
+stays in the third stage, while one id with several texts keeps one of each group of
+copies; a null id is an id; null is a language that is declared by none and a source of
+its own; the fourth stage may take a document several times; extra columns stay, whatever
+their names (the last stage's ids get a name that is free); an empty table passes as one.
 """
 
 from __future__ import annotations
