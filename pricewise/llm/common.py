@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -9,9 +10,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewise.session import materialize
+from pricewise.session import drop_stage, materialize
 
-__all__ = ["BLANK", "components", "fresh", "materialize", "n_words", "ship", "table", "words"]
+__all__ = ["BLANK", "components", "drop_stage", "fresh", "materialize", "n_words", "release", "ship", "table", "words"]
 
 #: The characters between words; words are runs of anything else.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -71,7 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
     roots and the remaining edges are written as tables after every round; hubs
     are handled by partial aggregation and plain joins.
     """
-    left, tree = edges.where("a <> b").select("a", "b"), None
+    left, tree, done = edges.where("a <> b").select("a", "b"), None, []
     while tree is None or not left.isEmpty():
         both = left.unionByName(left.selectExpr("b AS a", "a AS b"))
         step = materialize(both.groupBy("a").agg(F.min("b").alias("to"))
@@ -79,10 +80,22 @@ def components(edges: DataFrame) -> DataFrame:
         if tree is None:
             tree = step.withColumnRenamed("to", "root")
         else:
-            tree = materialize(tree.join(step.withColumnRenamed("node", "root"), "root", "left")
-                               .select("node", F.coalesce("to", "root").alias("root")), "tree")
+            old, tree = tree, materialize(tree.join(step.withColumnRenamed("node", "root"), "root", "left")
+                                          .select("node", F.coalesce("to", "root").alias("root")), "tree")
+            done += [old, step]
         a = step.withColumnsRenamed({"node": "a", "to": "ta"})
         b = step.withColumnsRenamed({"node": "b", "to": "tb"})
         left = materialize(left.join(a, "a").join(b, "b").where("ta <> tb")
                            .selectExpr("least(ta, tb) AS a", "greatest(ta, tb) AS b").distinct(), "edges")
+        for stage in done:
+            drop_stage(stage)
+        done = [left]
+    drop_stage(left)
     return tree
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of stages that nothing refers to any more: it
+    does so when the driver's memory is cleaned up, which may be hours away."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

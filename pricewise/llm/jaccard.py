@@ -27,8 +27,9 @@ entry never fails this.
 Within a signature a member is compared with a hub, not with all others; members
 that already are in one component need no comparison. Hub rounds, with new hubs each,
 go on until the pairs left to compare are few against the entries or stop shrinking;
-then exactly the pairs of different components that share a signature are compared. Every link
-between different components is found, so components are exact.
+then all pairs of different components that share a signature are compared, each made at
+few of the signatures it shares. Every link between different components is found, so
+components are exact.
 
 **Verification.** Parity bits of the sets (half a byte per shingle) bound the
 difference of two sets from below and drop most pairs that don't link; what is
@@ -48,11 +49,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricewise.llm.common import components, fresh, materialize
+from pricewise.llm.common import components, drop_stage, fresh, materialize, release
 from pricewise.llm.ragged import U64, mix, shingle_hashes, slices, text_bytes
 
 CELLS = 1 << 22
@@ -281,6 +282,19 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 _NEAR = "4 * least(n, m) >= 3 * greatest(n, m) AND 7 * least(most, qost) >= 3 * (n + m)"
 
 
+def _remaining(left: DataFrame) -> DataFrame:
+    """All pairs (a, b, n, m) of different parts that share a signature, from the entries
+    (sig, entity, n, most, part). A pair meets at every signature that both hold. Where
+    both hold the same one just before it, that is passed over: they meet there too.
+    Signatures go by what the set can still share, falling, so a pair that is near enough
+    at one is so before it."""
+    before = F.lag("sig").over(Window.partitionBy("entity").orderBy(F.desc("most"), "sig"))
+    left = materialize(left.withColumn("prev", before), "left")
+    other = left.selectExpr("sig", "entity AS b", "n AS m", "most AS qost", "part AS qart", "prev AS qrev")
+    return left.withColumnRenamed("entity", "a").join(other, "sig") \
+        .where(f"part <> qart AND a < b AND NOT (prev <=> qrev AND prev IS NOT NULL) AND {_NEAR}").select("a", "b", "n", "m")
+
+
 def _links(docs: DataFrame, every: DataFrame, codes, frequent: int) -> DataFrame:
     """Roots (node, root) of the entities that link with another."""
     shared = materialize(
@@ -303,9 +317,7 @@ def _links(docs: DataFrame, every: DataFrame, codes, frequent: int) -> DataFrame
         if todo == 0:
             break
         if last := (turn > 0 and (todo <= entries // 16 or todo > 0.9 * before)):
-            left = known.join(mixed.select("sig"), "sig", "left_semi")
-            other = left.selectExpr("sig", "entity AS b", "n AS m", "most AS qost", "part AS qart")
-            pairs = left.withColumnRenamed("entity", "a").join(other, "sig").where(f"part <> qart AND a < b AND {_NEAR}")
+            pairs = _remaining(known.join(mixed.select("sig"), "sig", "left_semi"))
         else:
             # a few hubs for members that share many signatures, not one for each
             chance = F.xxhash64("entity", F.lit(turn), F.pmod("sig", F.lit(HUBS)))
@@ -317,11 +329,18 @@ def _links(docs: DataFrame, every: DataFrame, codes, frequent: int) -> DataFrame
             pairs.join(parities.withColumnsRenamed({"entity": "a", "parity": "pa"}), "a")
             .join(parities.withColumnsRenamed({"entity": "b", "parity": "pb"}), "b").mapInArrow(_close, "a long, b long"), "close")
         sets = materialize(_entity_sets(docs, close.selectExpr("explode(array(a, b)) AS entity").distinct()), "sets")
+        old = found, roots, close, sets
         found = materialize(found.unionByName(_verify(close, sets)), "links")
         roots = components(found)
+        for stage in old:
+            drop_stage(stage)
+        del old, known, mixed, pairs, close, sets
+        release(docs.sparkSession)
         if last:
             break
         before, turn = todo, turn + 1
+    for stage in (shared, found, *([parities] if entries else [])):
+        drop_stage(stage)
     return roots
 
 

@@ -122,3 +122,21 @@ def test_one_id_with_several_texts_loses_none(spark):
     rows = [(1, a), (1, b), (2, a), (3, b), (4, c), (None, c + " more"), (None, "n " * 9), (None, "n " * 9), (1, ""), (1, None)]
     kept = jaccard.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (1, b), (4, c), (None, "n " * 9), (1, ""), (1, None)], key=str)
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_remaining_pairs_are_all_that_share_a_signature(spark, seed):
+    rng = np.random.default_rng(seed)
+    size, part = {e: int(rng.integers(80, 120)) for e in range(60)}, {e: int(rng.choice([100, 100, 101, 200 + e])) for e in range(60)}
+    rows = {(int(s), e, size[e], size[e] - int(rng.integers(0, 30)), part[e]) for e in range(60) for s in rng.choice(40, rng.integers(1, 25), False)}
+    # what a set can still share falls along its signatures, in an order of theirs
+    place = rng.permutation(40).tolist()
+    rows = [(s, e, n, n - place[s] // 2, p) for s, e, n, _, p in rows]
+    left = spark.createDataFrame(rows, "sig long, entity long, n int, most int, part long").repartition(3)
+    found = Counter((min(r.a, r.b), max(r.a, r.b)) for r in jaccard._remaining(left).collect())
+    near = lambda x, y: 4 * min(x[2], y[2]) >= 3 * max(x[2], y[2])
+    must = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[4] != y[4] and near(x, y)
+            and 7 * min(x[3], y[3]) >= 3 * (x[2] + y[2])}
+    assert must == set(found) and len(must) > 100
+    assert all(part[a] != part[b] for a, b in found)
+    assert sum(found.values()) < 0.9 * len([1 for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[4] != y[4]])
