@@ -177,15 +177,17 @@ class Encoder:
             counts.append(len(units))
             if self.drop:
                 keys.append(mix(np.arange(len(units), dtype=U64) + U64(xxhash.xxh64_intdigest(t.encode(), self.seed))))
-        if len(self.units) > size:
-            self._learn(self.units[size:])
+        for a in range(size, len(self.units), TOGETHER):
+            self._learn(self.units[a:a + TOGETHER])
         rows, sizes, parts = np.array(codes, np.int64), np.zeros(len(codes), np.int64), []
         old = np.arange(len(rows))
         if self.drop and len(rows):
             key = np.concatenate(keys)
-            met, at = gather(self.met.flat, self.met.off, rows)
-            total = np.r_[0, np.cumsum(below(met + np.repeat(key, np.diff(at)), self.drop))]
-            fresh_ = (total[at[1:]] > total[at[:-1]]) | self.long.flat[rows]
+            fresh_ = self.long.flat[rows]
+            for a in range(0, len(rows), TOGETHER):  # a unit meets several candidates
+                met, at = gather(self.met.flat, self.met.off, rows[a:a + TOGETHER])
+                total = np.r_[0, np.cumsum(below(met + np.repeat(key[a:a + TOGETHER], np.diff(at)), self.drop))]
+                fresh_[a:a + TOGETHER] |= total[at[1:]] > total[at[:-1]]
             anew, old = np.flatnonzero(fresh_), np.flatnonzero(~fresh_)
             for a in range(0, len(anew), TOGETHER):  # the matrices of a merge are many times the units
                 now = anew[a:a + TOGETHER]
@@ -209,6 +211,7 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker held
         encoder = Encoder(held.value, dropout, seed)
         for batch in batches:
             text = batch.column(text_col)
