@@ -39,14 +39,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of all texts, and int64 offsets; a null counts as empty."""
+    """The UTF-8 bytes of all texts, and int64 offsets; a null counts as empty. The bytes
+    are those of the column, not a copy."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = col.cast(pa.large_string()).fill_null("")
+    if not (pa.types.is_string(col.type) or pa.types.is_large_string(col.type)):
+        col = col.cast(pa.large_string())
     if len(col) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = col.buffers()
-    off = np.frombuffer(offsets, np.int64)[col.offset:col.offset + len(col) + 1]
+    kind = np.int32 if pa.types.is_string(col.type) else np.int64
+    off = np.frombuffer(offsets, kind)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+    if col.null_count and np.diff(off)[col.is_null().to_numpy(zero_copy_only=False)].any():
+        return text_bytes(col.fill_null(""))  # bytes under a null
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return raw[off[0]:off[-1]], off - off[0]
 
