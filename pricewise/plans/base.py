@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pricewise.functions.rules import md1, md10
 from pricewise.operators import ingest
 from pricewise.sources import stages
-from pricewise.sources.fixtures import STORE_PLATFORM, TABLES, RetailViews, read_table
+from pricewise.sources.fixtures import STORE_PLATFORM, RetailViews
 
 PLATFORM = "MAIN"          # the platform the model is built for
 DIVISION = "FOOTWEAR"      # the division the features are built for
@@ -32,7 +32,16 @@ def master(v: RetailViews, platform: str = PLATFORM, lag_days: int = 1) -> DataF
 
 def sku_base(v: RetailViews, division: str = DIVISION) -> DataFrame:
     """Master rows of one division at SKU level, with the 1-decimal md, its
-    integer key md10, the style code and the competitor group."""
+    integer key md10, the style code and the competitor group: a stage by month, written
+    once an application."""
+    return _sku_stage(v, division).drop(stages.MONTH)
+
+
+def _sku_stage(v: RetailViews, division: str) -> DataFrame:
+    return stages.stored(v.spark, f"sku-{division}", v.inputs(), lambda: _sku_rows(v, division), "sales_date")
+
+
+def _sku_rows(v: RetailViews, division: str) -> DataFrame:
     m = master(v).filter(F.col("division") == division)
     return (m.withColumn("style_cd", F.substring("prod_code", 1, 6))
             .withColumn("md10", md10("md"))
@@ -48,20 +57,17 @@ def style_base(v: RetailViews, division: str = DIVISION) -> DataFrame:
     return s.withColumn("md10", md10("md")).withColumn("md1", md1("md"))
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> list[str]:
-    return [f for t in TABLES for f in read_table(spark, sf_dir, t).inputFiles()]
-
-
 def stored_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`sku_base` as a stage by month, written once an application."""
-    return stages.stored(spark, "sku", _inputs(spark, sf_dir), lambda: sku_base(views(spark, sf_dir)), "sales_date")
+    """The stage of :func:`sku_base`, with its months."""
+    return _sku_stage(views(spark, sf_dir), DIVISION)
 
 
 def stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales transactions as a stage by month of sale."""
-    return stages.stored(spark, "sales", _inputs(spark, sf_dir), lambda: views(spark, sf_dir).sales_trans(), "sales_date")
+    return views(spark, sf_dir).stored_sales()
 
 
 def stored_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventory as a stage by month of EOP date."""
-    return stages.stored(spark, "inventory", _inputs(spark, sf_dir), lambda: views(spark, sf_dir).inventory(), "eop_dt")
+    v = views(spark, sf_dir)
+    return stages.stored(spark, "inventory", v.inputs(), v.inventory, "eop_dt")

@@ -55,7 +55,7 @@ RM_COLS = ["prod_code", "sales_date", "gender_group", "rm_sales_qty", "rm_sales_
 
 def _rm(spark, sf_dir, level="prod_code"):
     v = base.views(spark, sf_dir)
-    rm_sales = ingest.scan_moment_sales(v.sales_trans(), v.rm_calendar())
+    rm_sales = ingest.scan_moment_sales(base.stored_sales(spark, sf_dir), v.rm_calendar())
     return mo.prepare_moments(rm_sales, mo.style_dimension(v.sales_trans(), v.attributes(), base.PLATFORM), v.rm_calendar(), v.inventory(),
                               STORE_PLATFORM, base.PLATFORM, base.DIVISION, level)
 

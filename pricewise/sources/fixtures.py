@@ -7,7 +7,9 @@ pruning reach the scans. The same definitions exist as DuckDB CTEs in
 Join strategy: lineitem x orders and lineitem x part are fact x large-dimension
 joins; their sides grow with the data, so no broadcast is forced and Spark/AQE
 choose from measured sizes. Only calendar-bounded dimensions (type codes,
-calendars) are broadcast explicitly.
+calendars) are broadcast explicitly. The joined lines are a stage by month, written
+once an application: all views of sales read it, so the lines are joined once whatever
+a query asks of them, and a file's lines share their days.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricewise.sources import stages
+
 # Fixed values of the fixture definition.
 # Store (order priority) -> platform dictionary (P-16), unmapped names pass through.
 STORE_PLATFORM = {
@@ -69,6 +73,30 @@ def part_sku(part: DataFrame) -> DataFrame:
                              F.col("type_code").cast("string")).alias("prod_code")))
 
 
+def _sales_columns(lines: DataFrame) -> DataFrame:
+    """The columns of ``sales_trans`` from joined lines dealt by month."""
+    sales_date = F.col("sales_date")
+    md_pct = F.lit(100.0) - F.lit(5.0) * F.col("discount_pct")
+    msrp = (F.col("p_size") * 50).cast("double")
+    off = (F.col("brand_no") + F.quarter(sales_date)) % 3 == 0
+    return lines.select(
+        F.col("o_orderpriority").alias("store_nm"),
+        map_column(F.col("o_orderpriority"), STORE_PLATFORM).alias("platform"),
+        "sales_date",
+        # out-of-season rows sell goods of the season before
+        F.when(off, season_of(F.add_months(sales_date, -3))).otherwise(season_of(sales_date)).alias("season1"),
+        F.when(off, F.lit("N")).otherwise(F.lit("Y")).alias("inseason_flag1"),
+        "style_cd", "prod_code",
+        F.col("p_size").cast("string").alias("size_cd"),
+        msrp.alias("MSRP"),
+        (md_pct / 100.0).alias("md_line"),
+        F.col("l_quantity").alias("sales_qty"),
+        (msrp * md_pct * F.col("l_quantity") / 100.0).alias("sales_amt"),
+        F.col("l_linenumber").alias("line_no"),
+        stages.MONTH,
+    )
+
+
 @dataclass
 class RetailViews:
     spark: SparkSession
@@ -77,37 +105,32 @@ class RetailViews:
     def _t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    def inputs(self) -> list[str]:
+        """The files that the sales are made from."""
+        return [f for t in TABLES for f in self._t(t).inputFiles()]
+
     # ---------------------------------------------------------------- sales
     def sales_trans(self) -> DataFrame:
         """One row per line: store, platform, date, season, flag, SKU, size,
         MSRP, line md, qty, amount. md = (100 - 5 x round(100 x discount)) / 100;
         amount = MSRP x md x qty, computed through integers so it is exact."""
-        li = self._t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
-                                        "l_quantity", "l_discount", "l_shipdate")
+        return self.stored_sales().drop(stages.MONTH)
+
+    def stored_sales(self) -> DataFrame:
+        """:meth:`sales_trans` as a stage by month of sale. The joins and the deal by
+        month carry the lines' own numbers; texts are made of them after it."""
+        return stages.stored(self.spark, "sales", self.inputs(), self._lines, "sales_date", _sales_columns)
+
+    def _lines(self) -> DataFrame:
+        li = self._t("lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", F.to_date("l_shipdate").alias("sales_date"),
+            F.round(F.col("l_discount") * 100.0).alias("discount_pct"))
         orders = self._t("orders").select("o_orderkey", "o_orderpriority")
-        sku = part_sku(self._t("part"))
-        sales_date = F.to_date("l_shipdate")
-        k = F.round(F.col("l_discount") * 100.0)
-        md_pct = F.lit(100.0) - F.lit(5.0) * k
-        msrp = (F.col("p_size") * 50).cast("double")
-        off = (F.col("brand_no") + F.quarter(sales_date)) % 3 == 0
+        sku = part_sku(self._t("part")).select("p_partkey", "p_size", "brand_no", "style_cd", "prod_code")
         return (li.join(orders, li.l_orderkey == orders.o_orderkey)
                 .join(sku, li.l_partkey == sku.p_partkey)
-                .select(
-                    F.col("o_orderpriority").alias("store_nm"),
-                    map_column(F.col("o_orderpriority"), STORE_PLATFORM).alias("platform"),
-                    sales_date.alias("sales_date"),
-                    # out-of-season rows sell goods of the season before
-                    F.when(off, season_of(F.add_months(sales_date, -3))).otherwise(season_of(sales_date)).alias("season1"),
-                    F.when(off, F.lit("N")).otherwise(F.lit("Y")).alias("inseason_flag1"),
-                    "style_cd", "prod_code",
-                    F.col("p_size").cast("string").alias("size_cd"),
-                    msrp.alias("MSRP"),
-                    (md_pct / 100.0).alias("md_line"),
-                    F.col("l_quantity").alias("sales_qty"),
-                    (msrp * md_pct * F.col("l_quantity") / 100.0).alias("sales_amt"),
-                    F.col("l_linenumber").alias("line_no"),
-                ))
+                .select("o_orderpriority", "sales_date", "brand_no", "style_cd", "prod_code", "p_size",
+                        "discount_pct", "l_quantity", "l_linenumber"))
 
     # ----------------------------------------------------------- attributes
     def attributes(self) -> DataFrame:

@@ -26,17 +26,20 @@ def month_no(date: Column | str) -> Column:
     return F.year(date) * 100 + F.month(date)
 
 
-def stored(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame], date_col: str | None = None) -> DataFrame:
+def stored(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame], date_col: str | None = None,
+           finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The frame that ``build`` gives, from its stage; written first if it isn't there.
     ``inputs``: the files it is made from. With ``date_col`` the stage is partitioned by
-    month (rows without a date are in a partition of their own)."""
+    month (rows without a date are in a partition of their own); ``finish`` then adds the
+    columns that follow from others row by row, which so needn't be shuffled."""
     path = stage_path(spark, f"{name}-{hashlib.md5('|'.join(sorted(inputs)).encode()).hexdigest()}")
     if not path_exists(spark, f"{path}/_SUCCESS"):
         rows = build()
         if date_col is None:
             rows.write.mode("overwrite").parquet(path)
         else:
-            rows.withColumn(MONTH, month_no(date_col)).repartition(MONTH).write.partitionBy(MONTH).mode("overwrite").parquet(path)
+            dealt = rows.withColumn(MONTH, month_no(date_col)).repartition(MONTH)
+            (finish(dealt) if finish else dealt).write.partitionBy(MONTH).mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
