@@ -119,6 +119,7 @@ def top_share_medians(metrics: DataFrame, level: str, keys: Sequence[str], share
     qty, in descending order: one row for table rows (told apart by ``keys``), one for
     products (``level``)."""
     out = []
+    metrics = materialize(metrics.select(*dict.fromkeys([*keys, level, "sales_qty", "MAPE", pred])), "metrics")  # ordered in ranges twice
     for grain, rows, by in (("row", metrics.select(*keys, "sales_qty", "MAPE"), keys), ("product", _by_product(metrics, level, pred), [level])):
         top = materialize(running_share(rows, by).where(F.col("cum_prct") <= share).select("MAPE"), "top-share")
         out.append((grain, top.count(), quantiles(top, "MAPE", [0.5])[0]))

@@ -1,7 +1,8 @@
-"""The fact tables are joined once an application."""
+"""The fact tables are joined once an application; a table that is ordered twice is computed once."""
 import pytest
 from pyspark.sql import functions as F
 
+from pricewise.operators import reports as rp
 from pricewise.plans import base, catalog
 from pricewise.sources import stages
 
@@ -54,3 +55,18 @@ def test_base_rows_are_read_from_their_stage(spark, sf):
     plan = _plan(base.sku_base(base.views(spark, sf)))
     assert "Join" not in plan and "Aggregate" not in plan
     assert stages.MONTH not in base.sku_base(base.views(spark, sf)).columns
+
+
+def test_top_share_computes_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+    rows = [(f"s{i % 7}", i, float(i % 5 + 1), float(i % 3), abs(i % 3 / (i % 5 + 1) - 1)) for i in range(60)]
+    metrics = spark.createDataFrame(rows, f"style_cd string, day int, sales_qty double, {rp.PRED} double, MAPE double")
+    metrics = metrics.mapInPandas(counted, metrics.schema)
+    got = {r.grain: r.n_rows for r in rp.top_share_medians(metrics, "style_cd", ["style_cd", "day"]).collect()}
+    assert read.value == 60
+    assert got["row"] > 0 and got["product"] > 0
