@@ -25,11 +25,14 @@ entry never fails this.
 
 **Candidates.** Index entries are sorted by signature and singletons dropped.
 Within a signature a member is compared with a hub, not with all others; members
-that already are in one component need no comparison. Hub rounds, with new hubs each,
-go on until the pairs left to compare are few against the entries or stop shrinking;
-then all pairs of different components that share a signature are compared, each made at
-few of the signatures it shares. Every link between different components is found, so
-components are exact.
+that already are in one component need no comparison. The hub is the member with the
+fewest shingles before the signature, so the least changed of near copies: most of the
+others link with it, and the same few are hubs of many signatures. A hub has met all at
+its signature and leaves it. Hub rounds go on until the pairs left to compare are few
+against the entries or stop shrinking; then all pairs of different components that still
+share a signature are compared, each made at few of the signatures it shares. Every link
+between different components is found, so components are exact. Each round joins
+components by its own links alone.
 
 **Verification.** Parity bits of the sets (half a byte per shingle) bound the
 difference of two sets from below and drop most pairs that don't link; what is
@@ -59,8 +62,8 @@ from pricewise.llm.ragged import U64, mix, shingle_hashes, slices, text_bytes
 CELLS = 1 << 22
 BLOCKS = 64
 _MASK = U64(CELLS - 1)
-#: Hubs of a round for members that share many signatures.
-HUBS = 16
+#: Signatures before one that tell whether a pair has met already.
+PASSED = 8
 #: Frequent shingles of one group in an average document of a level.
 GROUP = 8
 
@@ -78,8 +81,8 @@ def parity(shingles: np.ndarray) -> bytes:
 
 
 def _close(batches):
-    """The pairs (a, b, n, m) whose parities allow a link: linked sets differ in
-    (n + m) / 7 shingles at most."""
+    """The pairs (a, b, n, m, and more columns but the parities) whose parities allow a
+    link: linked sets differ in (n + m) / 7 shingles at most."""
     for batch in batches:
         keep = []
         for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "pa", "pb"))):
@@ -89,7 +92,8 @@ def _close(batches):
                     x, y = y, x
                 y = y[:len(y) // 2] ^ y[len(y) // 2:]
             keep.append(7 * int(np.bitwise_count(x ^ y).sum()) <= n + m)
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
+        rest = [c for c in batch.schema.names if c not in ("n", "m", "pa", "pb")]
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in rest], names=rest)
 
 
 def _sets(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -270,12 +274,12 @@ def _entity_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """The pairs that link."""
     left = sets.withColumnsRenamed({"entity": "a", "shingles": "sa"})
     right = sets.withColumnsRenamed({"entity": "b", "shingles": "sb"})
     both = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(left, "a").join(right, "b") \
-        .where(100 * both >= 75 * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+        .where(100 * both >= 75 * (F.size("sa") + F.size("sb") - both)).select(pairs.columns)
 
 
 # a linked pair's sizes, and what it shares: 3 / 7 of both sizes together at least
@@ -283,65 +287,87 @@ _NEAR = "4 * least(n, m) >= 3 * greatest(n, m) AND 7 * least(most, qost) >= 3 *
 
 
 def _remaining(left: DataFrame) -> DataFrame:
-    """All pairs (a, b, n, m) of different parts that share a signature, from the entries
-    (sig, entity, n, most, part). A pair meets at every signature that both hold. Where
-    both hold the same one just before it, that is passed over: they meet there too.
-    Signatures go by what the set can still share, falling, so a pair that is near enough
-    at one is so before it."""
-    before = F.lag("sig").over(Window.partitionBy("entity").orderBy(F.desc("most"), "sig"))
-    left = materialize(left.withColumn("prev", before), "left")
+    """All pairs (a, b, n, m, part, qart) of different parts that share a signature, from
+    the entries (sig, entity, n, most, part). A pair meets at every signature that both
+    hold. Where both hold one of the few just before it, that is passed over: they meet
+    there too. Signatures go by what the set can still share, falling, so a pair that is
+    near enough at one is so before it."""
+    few = Window.partitionBy("entity").orderBy(F.desc("most"), "sig").rowsBetween(-PASSED, -1)
+    left = materialize(left.withColumn("prev", F.collect_list("sig").over(few)), "left")
     other = left.selectExpr("sig", "entity AS b", "n AS m", "most AS qost", "part AS qart", "prev AS qrev")
     return left.withColumnRenamed("entity", "a").join(other, "sig") \
-        .where(f"part <> qart AND a < b AND NOT (prev <=> qrev AND prev IS NOT NULL) AND {_NEAR}").select("a", "b", "n", "m")
+        .where(f"part <> qart AND a < b AND {_NEAR} AND NOT arrays_overlap(prev, qrev)").select("a", "b", "n", "m", "part", "qart")
+
+
+def _open_entries(left: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The entries of signatures that two parts or more still hold, each with its part, the
+    signature's hub (b, m, qost, qart) and ``open``, the pairs of different parts there.
+    The hub is the member with the fewest shingles before the signature."""
+    if roots is None:
+        known = left.withColumn("part", F.col("entity"))
+    else:
+        known = left.join(roots, left["entity"] == roots["node"], "left") \
+            .select(*COLUMNS, F.coalesce("root", "entity").alias("part"))
+    known = known.repartition("sig")
+    first = F.struct((F.col("n") - F.col("most")).alias("lack"), F.xxhash64("entity").alias("chance"), "entity", "n", "most", "part")
+    hubs = known.groupBy("sig", "part").agg(F.count("*").alias("k"), F.min(first).alias("h")).groupBy("sig") \
+        .agg(F.expr("(sum(k) * sum(k) - sum(k * k)) div 2").alias("open"), F.min("h").alias("h")).where("open > 0") \
+        .selectExpr("sig", "open", "h.entity AS b", "h.n AS m", "h.most AS qost", "h.part AS qart")
+    return materialize(known.join(hubs, "sig"), "entries")
+
+
+def _join_parts(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Roots (node, root) after the links (part, qart) between parts. A part that is no
+    node yet is an entity of its own."""
+    tree = components(links.selectExpr("part AS a", "qart AS b"))
+    if roots is None:
+        return tree
+    step = tree.selectExpr("node AS root", "root AS to")
+    moved = roots.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    full = materialize(moved.unionByName(tree.join(roots, "node", "left_anti")), "roots")
+    drop_stage(tree)
+    return full
 
 
 def _links(docs: DataFrame, every: DataFrame, codes, frequent: int) -> DataFrame:
     """Roots (node, root) of the entities that link with another."""
-    shared = materialize(
+    left = materialize(
         _index(docs, codes, frequent).repartition("sig").sortWithinPartitions("sig", "entity")
         .mapInArrow(_shared, ENTRY), "shared")
-    none = docs.sparkSession.range(0)
-    entries = shared.count()
-    roots = none.selectExpr("id AS node", "id AS root")
-    found = none.selectExpr("id AS a", "id AS b")
+    entries, roots = left.count(), None
     if entries:
         parities = materialize(every.where("parity IS NOT NULL").groupBy("entity").agg(F.first("parity").alias("parity"))
-                               .join(shared.select("entity").distinct(), "entity", "left_semi"), "parities")
-    before, turn = 0, 0
-    while entries:
-        known = shared.join(roots, shared["entity"] == roots["node"], "left") \
-            .select(*COLUMNS, F.coalesce("root", "entity").alias("part"))
-        mixed = known.groupBy("sig", "part").agg(F.count("*").alias("k")).groupBy("sig") \
-            .agg(F.expr("(sum(k) * sum(k) - sum(k * k)) div 2").alias("open")).where("open > 0")
-        todo = mixed.agg(F.sum("open")).first()[0] or 0
+                               .join(left.select("entity").distinct(), "entity", "left_semi"), "parities")
+    before, turn, last = 0, 0, False
+    while entries and not last:
+        held = _open_entries(left, roots)
+        drop_stage(left)
+        left = held
+        todo = held.where("entity = b").agg(F.sum("open")).first()[0] or 0
         if todo == 0:
             break
         if last := (turn > 0 and (todo <= entries // 16 or todo > 0.9 * before)):
-            pairs = _remaining(known.join(mixed.select("sig"), "sig", "left_semi"))
+            pairs = _remaining(held.select(*COLUMNS, "part"))
         else:
-            # a few hubs for members that share many signatures, not one for each
-            chance = F.xxhash64("entity", F.lit(turn), F.pmod("sig", F.lit(HUBS)))
-            hub = known.groupBy("sig").agg(F.min(F.struct(chance, "entity", "n", "most", "part")).alias("h")) \
-                .selectExpr("sig", "h.entity AS b", "h.n AS m", "h.most AS qost", "h.part AS qart")
-            pairs = known.withColumnRenamed("entity", "a").join(hub, "sig").where(f"part <> qart AND {_NEAR}")
-        pairs = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "least(n, m) AS n", "greatest(n, m) AS m").distinct()
+            pairs = held.withColumnRenamed("entity", "a").where(f"part <> qart AND {_NEAR}")
+            left = held.where("entity <> b").select(COLUMNS)  # all others at its signature have met the hub
+        pairs = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "least(n, m) AS n", "greatest(n, m) AS m",
+                                 "if(a < b, part, qart) AS part", "if(a < b, qart, part) AS qart").distinct()
         close = materialize(
             pairs.join(parities.withColumnsRenamed({"entity": "a", "parity": "pa"}), "a")
-            .join(parities.withColumnsRenamed({"entity": "b", "parity": "pb"}), "b").mapInArrow(_close, "a long, b long"), "close")
+            .join(parities.withColumnsRenamed({"entity": "b", "parity": "pb"}), "b")
+            .mapInArrow(_close, "a long, b long, part long, qart long"), "close")
         sets = materialize(_entity_sets(docs, close.selectExpr("explode(array(a, b)) AS entity").distinct()), "sets")
-        old = found, roots, close, sets
-        found = materialize(found.unionByName(_verify(close, sets)), "links")
-        roots = components(found)
-        for stage in old:
+        links = materialize(_verify(close, sets).select("part", "qart").distinct(), "links")
+        old, roots = roots, _join_parts(roots, links)
+        for stage in (close, sets, links, *([old] if old is not None else [])):
             drop_stage(stage)
-        del old, known, mixed, pairs, close, sets
+        del old, pairs, close, sets, links
         release(docs.sparkSession)
-        if last:
-            break
         before, turn = todo, turn + 1
-    for stage in (shared, found, *([parities] if entries else [])):
+    for stage in (left, *([parities] if entries else [])):
         drop_stage(stage)
-    return roots
+    return docs.sparkSession.range(0).selectExpr("id AS node", "id AS root") if roots is None else roots
 
 
 def _membership(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -140,3 +140,23 @@ def test_remaining_pairs_are_all_that_share_a_signature(spark, seed):
     assert must == set(found) and len(must) > 100
     assert all(part[a] != part[b] for a, b in found)
     assert sum(found.values()) < 0.9 * len([1 for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[4] != y[4]])
+
+
+def test_a_group_of_near_copies_takes_few_pairs(spark, monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(d, " ".join(f"x{d}" if k in at else w for k, w in enumerate(base)))
+            for d in range(300) for at in [set(rng.choice(120, rng.integers(0, 5), False).tolist())]]
+    verify, joined, seen, edges = jaccard._verify, jaccard.components, [], []
+    monkeypatch.setattr(jaccard, "_verify", lambda pairs, sets: (seen.append(pairs.count()), verify(pairs, sets))[1])
+    monkeypatch.setattr(jaccard, "components", lambda links: (edges.append(links.count()), joined(links))[1])
+    # the words of all are frequent, those of one text rare
+    codes = np.zeros(jaccard.CELLS, np.uint8)
+    for s in ragged.shingle_hashes(*ragged.text_bytes(pa.array([" ".join(base)]))):
+        codes[(s & np.uint64(jaccard.CELLS - 1)).astype(np.int64)] = 200
+    monkeypatch.setattr(jaccard, "_frequency_codes", lambda d: (codes, 100))
+    got = [tuple(r) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert Counter(got) == Counter(brute(rows))
+    # each text is verified against a few, and each link joins components in one round only
+    assert sum(seen) < 4 * len(rows) and sum(edges) < 2 * len(rows)
